@@ -215,6 +215,15 @@ class ByteBpe:
         return pieces.cast("binary")
 
 
+def digests(bpe: ByteBpe, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """id, n_tokens, ids_sha256 (of decimal ids joined by commas), decoded_sha256."""
+    ids = F.col("ids")
+    joined = F.array_join(F.transform(ids, lambda i: i.cast("string")), ",")
+    return bpe.encode(docs.select(id_col, F.col(text_col).alias("text")), "text", "ids").select(
+        id_col, F.size(ids).cast("long").alias("n_tokens"), F.sha2(joined.cast("binary"), 256).alias("ids_sha256"), F.sha2(bpe.decode(ids), 256).alias("decoded_sha256")
+    )
+
+
 def heap_udf(ranks: dict[bytes, int]):
     @F.pandas_udf("array<int>")
     def merged(words: pd.Series) -> pd.Series:

@@ -7,6 +7,7 @@ import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 #: White space of the contracts, as a Java and DuckDB class.
 SPACE = r"[\x20\x09-\x0D]"
@@ -44,3 +45,17 @@ def fold_of(doc_id: str | Column, k: int) -> Column:
     """crc32 of the id as text, modulo k; a null id counts as the empty text."""
     c = F.col(doc_id) if isinstance(doc_id, str) else doc_id
     return F.pmod(F.crc32(F.coalesce(c.cast("string"), F.lit(""))), F.lit(k))
+
+
+def text_key(text: str | Column) -> Column:
+    return F.xxhash64(text_or_empty(text))
+
+
+def pick_rows(docs: DataFrame, picked: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """The rows of docs that picked (id, text_key) names, one for each, with all columns. Moves each text once."""
+    k, n = fresh(docs, "text_key"), fresh(docs, "place")
+    p = picked.select(F.col("id").alias("picked_id"), F.col("text_key").alias("picked_key"))
+    rows = docs.withColumn(k, text_key(text_col))
+    rows = rows.join(p, (F.col(k) == F.col("picked_key")) & F.col(id_col).eqNullSafe(F.col("picked_id")), "left_semi")
+    one = Window.partitionBy(k, id_col).orderBy(F.lit(0))
+    return rows.withColumn(n, F.row_number().over(one)).where(F.col(n) == 1).select(*docs.columns)

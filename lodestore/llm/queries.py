@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestore.llm import byte_bpe, curriculum, exact_dedup, token_orc, warc
-from lodestore.llm.common import shared_dir
+from lodestore.llm import byte_bpe, chosen_path, curriculum, exact_dedup, html_crf, kernel_langid, quality_cnn, tile_dedup, token_orc, warc
+from lodestore.llm.common import fold_of, shared_dir
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -31,6 +31,37 @@ def op3_token_orc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_orc.digests(spark, path)
 
 
+def op4_quality_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, held_out = _table(spark, sf_dir, "documents"), fold_of("doc_id", 5) == 0
+    net = quality_cnn.learn(docs, _table(spark, sf_dir, "labels"), ~held_out)
+    rows = quality_cnn.score(docs.select("doc_id", "text"), net)
+    return rows.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= quality_cnn.CUT).cast("int").alias("predicted"))
+
+
+def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bpe = byte_bpe.ByteBpe(spark, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+    return byte_bpe.digests(bpe, _table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def op6_kernel_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, held_out = _table(spark, sf_dir, "documents"), fold_of("doc_id", 3) == 1
+    model = kernel_langid.learn(docs, ~held_out)
+    return kernel_langid.predict(docs.select("doc_id", "text"), model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
+def op7_chosen_path(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chosen_path.near_copies(_table(spark, sf_dir, "documents")).drop("text_key")
+
+
+def op8_tile_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tile_dedup.near_copies(_table(spark, sf_dir, "embeddings"))
+
+
+def op9_html_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = html_crf.extract(_table(spark, sf_dir, "pages"), html_crf.train())
+    return pages.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
+
+
 def op10_curriculum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return curriculum.plan(_table(spark, sf_dir, "documents")).withColumn("target", F.round("target", 6))
 
@@ -39,6 +70,12 @@ QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_warc": op2_warc,
     "op3_token_orc": op3_token_orc,
+    "op4_quality_cnn": op4_quality_cnn,
+    "op5_byte_bpe": op5_byte_bpe,
+    "op6_kernel_langid": op6_kernel_langid,
+    "op7_chosen_path": op7_chosen_path,
+    "op8_tile_dedup": op8_tile_dedup,
+    "op9_html_crf": op9_html_crf,
     "op10_curriculum_mix": op10_curriculum_mix,
 }
 
