@@ -1,6 +1,7 @@
 """Quality classifier: a byte-level convolutional network in numpy.
 
-A text's bytes are cut into chunks of two blocks, each chunk overlapping the next by a
+A text's bytes, each marked if the four bytes from it on stand a few bytes before as well
+(no short filter can learn that two places are equal), are cut into chunks of two blocks, each chunk overlapping the next by a
 block, from its first byte to its last. Learned filters slide over the bytes with a
 stride; their responses are max-pooled within each chunk. The mean and the maximum of
 the chunks' pooled features give, through a logistic layer, one probability.
@@ -29,24 +30,30 @@ from lodestore.llm.common import fresh, text_or_empty
 
 WIDTH, STRIDE, BLOCK, FILTERS = 8, 4, 256, 16
 #: Labelled rows learned from, at most; score from which a text is good.
-SAMPLE, CUT = 2000, 0.3
+SAMPLE, CUT = 3000, 0.3
+#: Bytes back within which a repetition is marked; values of a marked or unmarked byte.
+LAGS, VALUES = range(3, 25), 512
 #: Bytes laid out at once.
 BATCH_BYTES = 1 << 20
 
 
 def layout(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """The texts in one row of bytes, each filled with zeros to whole blocks; the first block of each."""
+    """The texts in one row of marked bytes, each filled with zeros to whole blocks; the first block of each."""
     sizes = np.array([max(1, -(-len(t) // BLOCK)) for t in texts])
     first = np.concatenate([[0], np.cumsum(sizes)])
     out = np.zeros(int(first[-1]) * BLOCK + WIDTH, np.uint8)
     for t, at in zip(texts, first[:-1], strict=True):
         out[at * BLOCK : at * BLOCK + len(t)] = np.frombuffer(t, np.uint8)
-    return out, first
+    four = np.lib.stride_tricks.as_strided(out, (len(out) - 3, 4), (1, 1)).copy().view(np.uint32)[:, 0]
+    again = np.zeros(len(out), bool)
+    for lag in LAGS:
+        again[lag : len(four)] |= four[lag:] == four[:-lag]
+    return out + 256 * (again & (out > 0)).astype(np.uint16), first
 
 
 @dataclass
 class Network:
-    tables: np.ndarray  # (WIDTH, 256, FILTERS): the filters on one-hot bytes
+    tables: np.ndarray  # (WIDTH, VALUES, FILTERS): the filters on one-hot bytes
     bias: np.ndarray
     weights: np.ndarray  # of the mean and the maximum of chunks
     shift: float
@@ -84,7 +91,7 @@ class Network:
 def fit(texts: list[bytes], labels: np.ndarray, epochs: int = 12, seed: int = 3) -> Network:
     rng = np.random.default_rng(seed)
     net = Network(
-        rng.normal(0, 0.15, (WIDTH, 256, FILTERS)).astype(np.float32), np.zeros(FILTERS, np.float32),
+        rng.normal(0, 0.15, (WIDTH, VALUES, FILTERS)).astype(np.float32), np.zeros(FILTERS, np.float32),
         rng.normal(0, 0.1, 2 * FILTERS).astype(np.float32), 0.0,
     )
     share = labels.mean() if len(labels) else 0.5
@@ -128,29 +135,36 @@ def _gradients(net: Network, texts: list[bytes], labels: np.ndarray) -> dict[str
     b, f = np.nonzero(dblocks)
     g = dblocks[b, f]
     place = b * BLOCK + best[b, f] * STRIDE
-    dt = np.zeros((WIDTH, 256 * FILTERS))
+    dt = np.zeros((WIDTH, VALUES * FILTERS))
     for k in range(WIDTH):
-        dt[k] = np.bincount(data[place + k].astype(np.int64) * FILTERS + f, g, 256 * FILTERS)
+        dt[k] = np.bincount(data[place + k].astype(np.int64) * FILTERS + f, g, VALUES * FILTERS)
     return {
-        "tables": dt.reshape(WIDTH, 256, FILTERS).astype(np.float32), "bias": np.bincount(f, g, FILTERS).astype(np.float32),
+        "tables": dt.reshape(WIDTH, VALUES, FILTERS).astype(np.float32), "bias": np.bincount(f, g, FILTERS).astype(np.float32),
         "weights": x.T @ d, "shift": np.array([d.sum()], np.float32),
     }
 
 
-def sample(docs: DataFrame, labels: DataFrame, learn_from: Column, label_col: str, id_col: str, text_col: str, most: int) -> tuple[list[bytes], np.ndarray]:
-    """Texts and labels of at most ``most`` rows, half of them of each label where there are enough; chosen by a hash of the id."""
+def sample(docs: DataFrame, labels: DataFrame, learn_from: Column, label_col: str, id_col: str, text_col: str, most: int) -> tuple[list[bytes], np.ndarray, float]:
+    """Texts and labels of at most ``most`` rows, half of them of each label where there are enough, chosen by a hash of
+    the id; the share of label 1 among all that may be learned from."""
     known = labels.where(learn_from & F.col(id_col).isNotNull() & F.col(label_col).isin(0, 1)).select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label"))
     by_hash = Window.partitionBy("label").orderBy(F.xxhash64("id"), "id")
     chosen = known.withColumn("rank", F.row_number().over(by_hash)).where(F.col("rank") <= most // 2).drop("rank")
     rows = docs.select(F.col(id_col).alias("doc"), text_or_empty(text_col).alias("text"))
     got = rows.join(F.broadcast(chosen), F.col("doc") == F.col("id")).select("id", "text", "label").limit(2 * most).collect()
     got.sort(key=lambda x: (str(x.id), x.label, x.text))
-    return [x.text.encode() for x in got], np.array([x.label for x in got], np.float32)
+    share = known.agg(F.avg("label")).first()[0]
+    return [x.text.encode() for x in got], np.array([x.label for x in got], np.float32), 0.5 if share is None else share
 
 
 def learn(docs: DataFrame, labels: DataFrame, learn_from: Column, label_col: str = "quality", id_col: str = "doc_id", text_col: str = "text", most: int = SAMPLE) -> Network:
     """The network fitted on labels where learn_from, a condition on the columns of labels, holds."""
-    return fit(*sample(docs, labels, learn_from, label_col, id_col, text_col, most))
+    texts, marks, share = sample(docs, labels, learn_from, label_col, id_col, text_col, most)
+    net = fit(texts, marks)
+    if 0 < share < 1 and 0 < marks.sum() < len(marks):  # the sample is balanced, the corpus isn't
+        drawn = float(marks.mean())
+        net.shift += float(np.log(share / (1 - share)) - np.log(drawn / (1 - drawn)))
+    return net
 
 
 def score(docs: DataFrame, net: Network, text_col: str = "text", score_col: str = "score") -> DataFrame:
