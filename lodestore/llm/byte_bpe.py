@@ -2,11 +2,14 @@
 
 Each match of the split pattern is a word. A word that is a token itself is one id;
 any other is cut into its bytes and an ``aggregate`` folds the merges, lowest rank and
-then leftmost first, looking ranks up in a literal map of the vocabulary (hash buckets,
-as Spark's own map lookup is a linear scan). Distinct words that a bounded sample of
-the texts holds often are folded once and kept as a second literal; it is a cache only,
-no result depends on it. Words over ``LONG_WORD`` bytes, for which a fold of arrays is
-quadratic, go through an exact heap merge in Arrow batches.
+then leftmost first, looking ranks up in a literal map from pairs of ids. Spark looks maps
+up by a linear scan, so the literal is the pairs' sparse matrix with its rows displaced into
+one array, where a lookup is two array accesses. What is folded are distinct words: those that a
+bounded sample of the texts holds often, once, and the others once for each document that
+holds them. The sample decides how often a word is folded, never to what. An Arrow
+batch then sets each document's ids in the order of its words. Words over ``LONG_WORD``
+bytes, for which a fold of arrays is quadratic, are merged there by an exact heap.
+Decoding takes the ids' binary pieces from a literal vocabulary and concatenates them.
 
 Defined results: null text counts as empty; an empty text has no ids, and the hashes of
 empty strings. Repeated rows are encoded each. Other columns pass through untouched.
@@ -17,8 +20,11 @@ from __future__ import annotations
 import base64
 import heapq
 import json
+from collections.abc import Iterator
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,10 +32,8 @@ from lodestore.llm.common import fresh
 
 #: Bytes of a word beyond which the fold gives way to the heap.
 LONG_WORD = 96
-#: Buckets of the literal rank map.
-BUCKETS = 1 << 16
-#: Words kept in the cache of frequent words and documents of its sample, at most.
-CACHED_WORDS, SAMPLE_DOCS = 1 << 16, 20_000
+#: Frequent words that are folded beforehand, and documents of their sample, at most.
+CACHED_WORDS, SAMPLE_DOCS = 1 << 17, 20_000
 #: No merge: larger than any rank.
 NEVER = 1 << 30
 
@@ -44,82 +48,85 @@ def java_pattern(pattern: str) -> str:
     return "(?U)" + pattern
 
 
-class Bucketed:
-    """A literal hash map: buckets of keys and, in the same places, buckets of values."""
-
-    def __init__(self, spark: SparkSession, keys: list, values: list, key_type: str, value_type: str, buckets: int):
-        code = [base64.b64encode(k).decode() if isinstance(k, bytes) else k for k in keys]
-        slots = spark.createDataFrame(
-            [(i, bytes(k) if isinstance(k, bytes) else k) for i, k in enumerate(keys)], f"i int, k {key_type}"
-        ).select("i", F.pmod(F.xxhash64("k"), F.lit(buckets)).cast("int").alias("b")).toPandas() if keys else None
-        ks: list[list] = [[] for _ in range(buckets)]
-        vs: list[list] = [[] for _ in range(buckets)]
-        if slots is not None:
-            for i, b in zip(slots.i.tolist(), slots.b.tolist(), strict=True):
-                ks[b].append(code[i])
-                vs[b].append(values[i])
-        self.buckets = buckets
-        self.keys = F.from_json(F.lit(json.dumps(ks)), f"array<array<{key_type}>>")
-        self.values = F.from_json(F.lit(json.dumps(vs)), f"array<array<{value_type}>>")
-
-    @property
-    def column(self) -> Column:
-        return F.struct(self.keys.alias("k"), self.values.alias("v"))
+def merge_pairs(ranks: dict[bytes, int]) -> dict[int, list[tuple[int, int]]]:
+    """For each id the ids that may follow it in a merge, with the rank, which is the new id."""
+    out: dict[int, list[tuple[int, int]]] = {}
+    for token, rank in ranks.items():
+        for i in range(1, len(token)):
+            if (a := ranks.get(token[:i])) is not None and (b := ranks.get(token[i:])) is not None:
+                out.setdefault(a, []).append((b, rank))
+    return out
+
+
+def displaced(rows: dict[int, list[tuple[int, int]]], size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """A sparse matrix in one array: the shift of each row, and for each place its row and value; first fit, long rows first."""
+    step = 4096
+    free = np.ones(size + step, bool)
+    shift, where = np.zeros(size, np.int64), []
+    last, at = None, 0
+    for a, row in sorted(rows.items(), key=lambda x: -len(x[1])):
+        if len(row) != last:
+            last, at = len(row), 0
+        columns = np.array([b for b, _ in row])
+        while True:
+            if at + size + step > len(free):
+                free = np.concatenate([free, np.ones(len(free), bool)])
+            fits = free[at + columns[0] : at + columns[0] + step].copy()
+            for c in columns[1:]:
+                fits &= free[at + c : at + c + step]
+            if fits.any():
+                break
+            at += step
+        shift[a] = at + int(fits.argmax())
+        free[shift[a] + columns] = False
+        where.append((a, shift[a] + columns, np.array([r for _, r in row])))
+    n = int(np.flatnonzero(~free)[-1]) + size + 1 if where else size
+    owner, value = np.full(n, -1, np.int64), np.zeros(n, np.int64)
+    for a, places, values in where:
+        owner[places], value[places] = a, values
+    return shift, owner, value
+
+
+def literal(values, kind: str) -> Column:
+    """A long array as one literal: the optimizer folds the parse away."""
+    return F.from_json(F.lit(json.dumps(values)), f"array<{kind}>")
 
 
 def bind(value: Column, body) -> Column:
     """body(value) with value computed once: a lambda variable instead of a repeated expression."""
-    return F.element_at(F.transform(F.array(value), body), 1)
-
-
-def look_up(table: Column, buckets: int, key: Column) -> Column:
-    """The value at key, or null."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
 
-    def found(slot: Column) -> Column:
-        return bind(
-            F.array_position(F.element_at(table["k"], slot), key),
-            lambda at: F.when(at > 0, F.element_at(F.element_at(table["v"], slot), at.cast("int"))),
-        )
 
-    return bind(F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int") + 1, found)
+def fold_word(word: Column, t: Column) -> Column:
+    """Ids of one word. t: the literals. State: ids of the pieces, rank of each piece with its successor."""
 
+    def rank(a: Column, b: Column) -> Column:
+        place = F.get(t["shift"], a) + b
+        return F.when(F.get(t["owner"], place) == a, F.get(t["rank"], place)).otherwise(F.lit(NEVER))
 
-def fold_word(word: Column, ranks: Column) -> Column:
-    """Ids of one word given as binary. State: pieces, the rank of each piece with its successor."""
-    rank = lambda a, b: F.coalesce(look_up(ranks, BUCKETS, F.concat(a, b)), F.lit(NEVER))
-    n = F.octet_length(word)
-    bytes_of = F.transform(F.sequence(F.lit(1), n), lambda i: F.substring(word, i, F.lit(1)))
+    characters = F.split(F.decode(F.encode(word, "UTF-8"), "ISO-8859-1"), "")
+    start = F.transform(characters, lambda c: F.get(t["byte"], F.ascii(c)))
 
-    def start(pieces: Column) -> Column:
-        pairs = F.when(
-            n > 1, F.transform(F.sequence(F.lit(1), n - 1), lambda i: rank(F.element_at(pieces, i), F.element_at(pieces, i + 1)))
-        ).otherwise(F.array().cast("array<int>"))
-        return F.struct(pieces.alias("p"), pairs.alias("r"))
+    def begin(ids: Column) -> Column:
+        return F.struct(ids.alias("p"), F.zip_with(F.slice(ids, 1, F.size(ids) - 1), F.slice(ids, 2, F.size(ids)), rank).alias("r"))
 
-    def merge(state: Column, _: Column) -> Column:
-        p, r = state["p"], state["r"]
+    def merge(s: Column, _: Column) -> Column:
+        p, r = s["p"], s["r"]
 
-        def at(i: Column) -> Column:
-            def joined(new: Column) -> Column:
-                left = F.when(i > 1, F.array(rank(F.element_at(p, i - 1), new))).otherwise(F.array().cast("array<int>"))
-                right = F.when(i + 1 < F.size(p), F.array(rank(new, F.element_at(p, i + 2)))).otherwise(F.array().cast("array<int>"))
+        def joined(least: Column) -> Column:
+            def at(i: Column) -> Column:  # counted from 1
+                left = F.when(i > 1, F.array(rank(F.get(p, i - 2), least))).otherwise(F.array().cast("array<int>"))
+                right = F.when(i < F.size(r), F.array(rank(least, F.get(p, i + 1)))).otherwise(F.array().cast("array<int>"))
                 return F.struct(
-                    F.concat(F.slice(p, 1, i - 1), F.array(new), F.slice(p, i + 2, F.size(p))).alias("p"),
+                    F.concat(F.slice(p, 1, i - 1), F.array(least), F.slice(p, i + 2, F.size(p))).alias("p"),
                     F.concat(F.slice(r, 1, F.greatest(i - 2, F.lit(0))), left, right, F.slice(r, i + 2, F.size(p))).alias("r"),
                 )
 
-            return bind(F.concat(F.element_at(p, i), F.element_at(p, i + 1)), joined)
+            return F.when(least < NEVER, bind(F.array_position(r, least).cast("int"), at)).otherwise(s)
 
-        least = F.coalesce(F.array_min(r), F.lit(NEVER))
-        return bind(least, lambda m: F.when(m >= NEVER, state).otherwise(bind(F.array_position(r, m).cast("int"), at)))
+        return bind(F.coalesce(F.array_min(r), F.lit(NEVER)), joined)
 
-    steps = F.when(n > 1, F.sequence(F.lit(1), n - 1)).otherwise(F.array().cast("array<int>"))
-    return bind(
-        bytes_of,
-        lambda pieces: F.aggregate(
-            steps, start(pieces), merge, lambda s: F.transform(s["p"], lambda x: look_up(ranks, BUCKETS, x))
-        ),
-    )
+    return bind(start, lambda ids: F.aggregate(F.slice(ids, 2, F.size(ids)), begin(ids), merge, lambda s: s["p"]))
 
 
 def heap_merge(word: bytes, ranks: dict[bytes, int]) -> list[int]:
@@ -153,65 +160,61 @@ class ByteBpe:
     def __init__(self, spark: SparkSession, rank_path: str, pattern: str):
         self.spark, self.pattern = spark, java_pattern(pattern)
         self.ranks = load_ranks(rank_path)
-        tokens = list(self.ranks)
-        self.rank_map = Bucketed(spark, tokens, [self.ranks[t] for t in tokens], "binary", "int", BUCKETS)
-        by_id: list[str | None] = [None] * (max(self.ranks.values(), default=-1) + 1)
+        size = max(self.ranks.values(), default=-1) + 1
+        shift, owner, value = displaced(merge_pairs(self.ranks), size)
+        of_byte = [self.ranks.get(bytes([i]), 0) for i in range(256)]
+        self.tables = F.struct(
+            literal(shift.tolist(), "int").alias("shift"), literal(owner.tolist(), "int").alias("owner"),
+            literal(value.tolist(), "int").alias("rank"), literal(of_byte, "int").alias("byte"),
+        )
+        by_id: list[str | None] = [None] * size
         for t, i in self.ranks.items():
             by_id[i] = base64.b64encode(t).decode()
-        self.vocabulary = F.from_json(F.lit(json.dumps(by_id)), "array<binary>")
-        self.cache: Bucketed | None = None
+        self.vocabulary = literal(by_id, "binary")
+        self.known: tuple[list[str], list[list[int]]] | None = None
 
     def words(self, text: Column) -> Column:
         return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(self.pattern), F.lit(0))
 
-    def fit_cache(self, docs: DataFrame, text: str) -> None:
-        """Folds the distinct words that a bounded sample holds most often."""
+    def fold_frequent(self, docs: DataFrame, text: str) -> None:
+        """The words known beforehand: tokens, and the distinct others that a bounded sample holds most often, folded."""
+        tokens = {}
+        for t, i in self.ranks.items():
+            try:
+                tokens[t.decode()] = i
+            except UnicodeDecodeError:  # no word by itself
+                continue
         n = docs.count()
         part = docs if n <= SAMPLE_DOCS else docs.sample(SAMPLE_DOCS / n, seed=7).limit(2 * SAMPLE_DOCS)
         often = (
             part.select(F.explode(self.words(F.col(text))).alias("w"))
             .where(F.octet_length("w") <= LONG_WORD)
-            .groupBy("w").count().orderBy(F.desc("count"), "w").limit(CACHED_WORDS)
+            .groupBy("w").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "w").limit(CACHED_WORDS + len(tokens))
         )
-        folded = often.select("w", bind(self.rank_map.column, lambda t: self._one(F.col("w"), t)).alias("ids")).collect()
-        self.cache = Bucketed(self.spark, [x.w for x in folded], [x.ids for x in folded], "string", "array<int>", 1 << 16)
+        others = self.docs_of([x.w for x in often.collect() if x.w not in tokens][:CACHED_WORDS])
+        folded = others.select("w", bind(self.tables, lambda t: fold_word(F.col("w"), t)).alias("ids")).collect()
+        self.known = [*tokens, *(x.w for x in folded)], [*([i] for i in tokens.values()), *(x.ids for x in folded)]
 
-    def _one(self, word: Column, ranks: Column) -> Column:
-        return bind(
-            word.cast("binary"),
-            lambda b: bind(look_up(ranks, BUCKETS, b), lambda whole: F.when(whole.isNotNull(), F.array(whole)).otherwise(fold_word(b, ranks))),
-        )
-
-    def encode_words(self, words: Column) -> Column:
-        """Ids of an array of words none of which is over LONG_WORD bytes."""
-        tables = F.struct(self.rank_map.column.alias("r"), *([self.cache.column.alias("c")] if self.cache else []))
-
-        def one(word: Column, t: Column) -> Column:
-            if not self.cache:
-                return self._one(word, t["r"])
-            return bind(look_up(t["c"], 1 << 16, word), lambda ids: F.coalesce(ids, self._one(word, t["r"])))
-
-        return bind(tables, lambda t: F.flatten(F.transform(words, lambda w: one(w, t))))
+    def docs_of(self, words: list[str]) -> DataFrame:
+        return self.spark.createDataFrame([(w,) for w in words], "w string").repartition(self.spark.sparkContext.defaultParallelism)
 
     def encode(self, docs: DataFrame, text: str = "text", ids: str = "ids") -> DataFrame:
-        """docs with a column of ids. Texts with a word over LONG_WORD bytes have those words merged by the heap."""
-        if self.cache is None:
-            self.fit_cache(docs, text)
-        w, long_word = fresh(docs, "words"), fresh(docs, "long")
+        """docs with a column of ids."""
+        if self.known is None:
+            self.fold_frequent(docs, text)
+        known, known_ids = self.known
+        w, rare, folded = fresh(docs, "words"), fresh(docs, "rare"), fresh(docs, "folded")
+        quoted = ",".join("'" + x.replace("\\", "\\\\").replace("'", "\\'") + "'" for x in known) or "''"
         split = docs.withColumn(w, self.words(F.col(text)))
-        split = split.withColumn(long_word, F.exists(w, lambda x: F.octet_length(x) > LONG_WORD))
-        heap = heap_udf(self.ranks)
-
-        def piecewise(c: Column) -> Column:
-            return self.encode_words(c)
-
-        short = split.where(~F.col(long_word)).withColumn(ids, piecewise(F.col(w)))
-        long_ = split.where(F.col(long_word)).withColumn(ids, heap(F.col(w)))
-        return short.unionByName(long_).drop(w, long_word)
+        split = split.withColumn(rare, F.expr(f"array_distinct(filter(`{w}`, x -> octet_length(x) <= {LONG_WORD} AND x NOT IN ({quoted})))"))
+        split = split.withColumn(folded, bind(self.tables, lambda t: F.transform(F.col(rare), lambda x: fold_word(x, t))))
+        kept = docs.columns
+        schema = docs.select(*kept).withColumn(ids, F.array().cast("array<int>")).schema
+        return split.select(*kept, w, rare, folded).mapInArrow(_in_order(known, known_ids, self.ranks, schema.names), schema)
 
     def decode(self, ids: Column) -> Column:
         """The bytes of an array of ids: their binary pieces, put together."""
-        pieces = bind(self.vocabulary, lambda v: F.array_join(F.transform(ids, lambda i: F.element_at(v, i + 1).cast("string")), ""))
+        pieces = bind(self.vocabulary, lambda v: F.array_join(F.transform(ids, lambda i: F.get(v, i).cast("string")), ""))
         return pieces.cast("binary")
 
 
@@ -224,16 +227,40 @@ def digests(bpe: ByteBpe, docs: DataFrame, id_col: str = "doc_id", text_col: str
     )
 
 
-def heap_udf(ranks: dict[bytes, int]):
-    @F.pandas_udf("array<int>")
-    def merged(words: pd.Series) -> pd.Series:
-        def ids(ws) -> list[int]:
-            out: list[int] = []
-            for w in ws:
-                b = w.encode()
-                out.extend([ranks[b]] if b in ranks else heap_merge(b, ranks))
-            return out
-
-        return words.map(ids)
-
-    return merged
+def _in_order(known: list[str], known_ids: list[list[int]], ranks: dict[bytes, int], names: list[str]):
+    """A mapInArrow function: from words, rare words and their ids, the last three columns, to the ids of each row in order."""
+    offsets = np.concatenate([[0], np.cumsum([len(x) for x in known_ids])]).astype(np.int64)
+    flat = np.array([i for x in known_ids for i in x], np.int32)
+
+    def lay(part: pa.RecordBatch) -> pa.RecordBatch:
+        words, rare, folded = (part.column(part.num_columns - k) for k in (3, 2, 1))
+        each, new, new_ids = words.flatten(), rare.flatten(), folded.flatten()
+        values = pa.concat_arrays([pa.array(known, pa.string()), new.cast(pa.string())])
+        at = np.concatenate([offsets, offsets[-1] + np.cumsum(new_ids.value_lengths().to_numpy(zero_copy_only=False))]).astype(np.int64)
+        pool = np.concatenate([flat, new_ids.flatten().to_numpy(zero_copy_only=False)])
+        index = pc.index_in(each.cast(pa.string()), value_set=values)
+        if index.null_count:  # words too long to fold
+            long_words = pc.unique(each.filter(index.is_null()))
+            merged = [heap_ids(x.encode(), ranks) for x in long_words.to_pylist()]
+            values = pa.concat_arrays([values, long_words.cast(pa.string())])
+            at = np.concatenate([at, at[-1] + np.cumsum([len(x) for x in merged])])
+            pool = np.concatenate([pool, np.concatenate([np.array(x, np.int32) for x in merged])])
+            index = pc.index_in(each.cast(pa.string()), value_set=values)
+        i = index.to_numpy(zero_copy_only=False).astype(np.int64)
+        size = at[i + 1] - at[i]
+        end = np.concatenate([[0], np.cumsum(size)])
+        ids = pool[np.repeat(at[i] - end[:-1], size) + np.arange(end[-1])].astype(np.int32)
+        first = np.concatenate([[0], np.cumsum(words.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))])
+        lists = pa.ListArray.from_arrays(pa.array(end[first], pa.int32()), pa.array(ids, pa.int32()))
+        return pa.RecordBatch.from_arrays([*part.columns[:-3], lists], names=names)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for k in range(0, b.num_rows, 1000):
+                yield lay(b.slice(k, 1000))
+
+    return run
+
+
+def heap_ids(word: bytes, ranks: dict[bytes, int]) -> list[int]:
+    return [ranks[word]] if word in ranks else heap_merge(word, ranks)
