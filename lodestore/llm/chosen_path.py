@@ -37,6 +37,8 @@ N, THRESHOLD, RECALL = 5, 0.8, 0.999
 PLACES, BRANCH, DEPTH, SMALL, TILE = 64, 1.6, 4, 48, 512
 #: Standard deviations below the threshold at which a sketch still counts as near.
 MARGIN = 4.0
+#: Candidates up to which their keys are broadcast to the texts; more are joined by a shuffle.
+BROADCAST_ROWS = 200_000
 #: Bytes of text in a tile of the exact comparison.
 TILE_BYTES = 4 << 20
 
@@ -234,25 +236,27 @@ def _bucket_edges(reps: DataFrame, seed: int, recall: float) -> DataFrame:
     """Which classes hang together by their sketches: stars of edges (a, b)."""
     runs = runs_for(recall)
     rows = reps.select("rep", "sketch").mapInPandas(_split(0, runs, seed), "node long, rep long")
-    edges = None
+    edges = sketch = None
     for level in range(DEPTH + 1):
         rows = stored(rows, "nodes")
         sizes = rows.groupBy("node").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
         live = stored(rows.join(sizes, "node"), "buckets")
-        small = live.where(F.col("n") <= SMALL).select("rep", "node").join(reps.select("rep", "sketch"), "rep")
+        if sketch is None:  # of those that met another class: the others have no link
+            sketch = stored(reps.select("rep", "sketch").join(live.select("rep").distinct(), "rep", "left_semi"), "met")
+        small = live.where(F.col("n") <= SMALL).select("rep", "node").join(sketch, "rep")
         new = small.repartition("node").sortWithinPartitions("node").mapInPandas(_small_buckets, _EDGES)
         large = live.where(F.col("n") > SMALL)
         if level == DEPTH:
             tiles = F.ceil(F.col("n") / TILE).cast("int")
             dealt = large.withColumn("tile", F.pmod(F.xxhash64("rep"), tiles).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), tiles - 1)))
-            dealt = dealt.select("node", F.least("tile", "other").alias("lo"), F.greatest("tile", "other").alias("hi"), "tile", "rep").join(reps.select("rep", "sketch"), "rep")
+            dealt = dealt.select("node", F.least("tile", "other").alias("lo"), F.greatest("tile", "other").alias("hi"), "tile", "rep").join(sketch, "rep")
             new = new.unionByName(dealt.groupBy("node", "lo", "hi").applyInPandas(_tile_pair, _EDGES))
         new = stored(new.distinct(), "stars")
         edges = new if edges is None else edges.unionByName(new)
         if level < DEPTH:
             if large.isEmpty():
                 break
-            rows = large.select("node", "rep").join(reps.select("rep", "sketch"), "rep").select("node", "rep", "sketch").mapInPandas(_split(level + 1, 1, seed), "node long, rep long").distinct()
+            rows = large.select("node", "rep").join(sketch, "rep").select("node", "rep", "sketch").mapInPandas(_split(level + 1, 1, seed), "node long, rep long").distinct()
     return edges
 
 
@@ -322,7 +326,8 @@ def _classes(docs: DataFrame, id_col: str, text_col: str, seed: int, recall: flo
     groups = components(_bucket_edges(reps, seed, recall)).select(F.col("node").alias("rep"), F.col("component").alias("comp"))
     members = stored(groups.join(reps.drop("sketch"), "rep"), "members")
     tiles = members.groupBy("comp").agg(F.ceil(F.sum("bytes") / TILE_BYTES).cast("int").alias("tiles"))
-    dealt = members.join(tiles, "comp").withColumn("tile", F.pmod(F.xxhash64("rep"), "tiles").cast("int"))
+    dealt = stored(members.join(tiles, "comp").withColumn("tile", F.pmod(F.xxhash64("rep"), "tiles").cast("int")), "dealt")
+    dealt = F.broadcast(dealt) if dealt.count() <= BROADCAST_ROWS else dealt
     texts = docs.select(F.col(id_col).alias("doc"), F.col(text_col).alias("text"), text_key(text_col).alias("key"))
     met = texts.join(dealt, (F.col("key") == F.col("text_key")) & F.col("doc").eqNullSafe(F.col("id")))
     met = met.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1))).select("comp", F.least("tile", "other").alias("lo"), F.greatest("tile", "other").alias("hi"), "tile", "rep", "n", "text")
