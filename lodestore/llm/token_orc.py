@@ -18,7 +18,9 @@ from __future__ import annotations
 
 import os
 import re
+import unicodedata
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -28,13 +30,16 @@ from pyspark.sql.window import Window
 
 from lodestore.llm.common import text_or_empty
 
-#: Chunks that a worker's cache holds; it starts anew beyond.
-CACHE_CHUNKS = 1_000_000
-#: Bytes up to which a chunk is kept.
-CACHE_BYTES = 64
+#: Chunks, and parts of chunks, that a worker's caches hold; they start anew beyond.
+CACHE_CHUNKS = 700_000
+#: Stands between chunks that are encoded together.
+MARK = "\x01"
 #: Bytes that Python counts as white space and the tokenizer doesn't.
 _ODD = re.compile("[\x1c-\x1f]")
 _BLANK = re.compile("[ \t\n\r]+")
+#: Marks that may end a chunk; letters whose lower case is more than one letter or depends on others.
+MARKS = ".,;:!?*%$&#|"
+_LOWER_BY_CONTEXT = re.compile("[İΣ]")
 _workers: dict = {}
 
 
@@ -48,6 +53,8 @@ class _Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.cache: dict[str, bytes] = {}
+        self.parts: dict[str, bytes] = {}
+        (self.mark,) = self._encode(MARK)
 
     def learn(self, texts: list[str]) -> list[list[str]]:
         """The chunks of each text, all of them in the cache afterwards."""
@@ -56,13 +63,42 @@ class _Encoder:
         if len(self.cache) + len(new) > CACHE_CHUNKS:
             self.cache.clear()
             new = set().union(*chunks)
-        new_list = list(new)
-        for at in range(0, len(new_list), 20_000):
-            part = new_list[at : at + 20_000]
-            for c, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                self.cache[c] = np.array(e.ids, "<u4").tobytes()
+        cut = {c: self._cut(c) for c in new}
+        parts = set(chain.from_iterable(cut.values())) - self.parts.keys()
+        if len(self.parts) + len(parts) > CACHE_CHUNKS:
+            self.parts.clear()
+            parts = set(chain.from_iterable(cut.values()))
+        plain = [c for c in parts if MARK not in c]
+        for at in range(0, len(plain), 2000):
+            some = plain[at : at + 2000]
+            # many parts in one call, with a mark between them that is a token by itself
+            ids = np.array(self._encode(f" {MARK} ".join(some)), "<u4")
+            ends = np.flatnonzero(ids == self.mark)
+            starts = np.concatenate([[0], ends + 1])
+            for c, i, j in zip(some, starts.tolist(), [*ends.tolist(), len(ids)], strict=True):
+                self.parts[c] = ids[i:j].tobytes()
+        for c in parts:
+            if MARK in c:
+                self.parts[c] = np.array(self._encode(c), "<u4").tobytes()
+        for c, ps in cut.items():
+            self.cache[c] = b"".join(map(self.parts.__getitem__, ps))
         return chunks
 
+    @staticmethod
+    def _cut(chunk: str) -> tuple[str, ...]:
+        """A chunk of letters and then marks in two, in lower case: the tokenizer cuts there and lowers itself.
+
+        Only where lowering is by the letter and the chunk is composed already.
+        """
+        stem = chunk.rstrip(MARKS)
+        if not stem.isalpha() or not (chunk.isascii() or (unicodedata.is_normalized("NFC", chunk) and not _LOWER_BY_CONTEXT.search(chunk))):
+            return (chunk,)
+        low = stem.lower()
+        return (low, chunk[len(stem) :]) if len(stem) < len(chunk) else (low,)
+
+    def _encode(self, text: str) -> list[int]:
+        return self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
+
     def ids(self, texts: list[str]) -> list[bytes]:
         out = []
         for at in range(0, len(texts), 64):
