@@ -122,7 +122,7 @@ def vector_dimension(s, d):
 # --- BM25 and hybrid search
 
 _TOK = r"regexp_extract_all(lower(coalesce({0}, '')), '[\p{{L}}\p{{N}}_\p{{M}}]{{2,}}')"
-_BM25 = f"""
+_BM25_SQL = f"""
 WITH d AS (SELECT doc_id AS id, {_TOK.format('text')} AS t FROM documents),
 w AS (SELECT count(*)::DOUBLE AS n, greatest(avg(len(t)), 1) AS mean FROM d),
 q AS (SELECT item_id AS query_id, unnest(list_distinct({_TOK.format('text')})) AS term FROM benchmark),
@@ -130,25 +130,29 @@ p AS (SELECT id, len(t)::DOUBLE AS length, unnest(t) AS term FROM d),
 tf AS (SELECT term, id, length, count(*)::DOUBLE AS tf FROM p WHERE term IN (SELECT term FROM q) GROUP BY ALL),
 df AS (SELECT term, count(*)::DOUBLE AS df FROM tf GROUP BY term),
 s AS (SELECT q.query_id, tf.id, sum(ln((n - df + 0.5) / (df + 0.5) + 1) * tf * (k1 + 1) / (tf + k1 * (1 - 0.75 + 0.75 * length / mean))) AS score
-      FROM tf JOIN df USING (term) JOIN q USING (term), w, (SELECT {{k1}} AS k1) GROUP BY 1, 2),
+      FROM tf JOIN df USING (term) JOIN q USING (term), w, (SELECT %K1% AS k1) GROUP BY 1, 2),
 r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(score, 6) DESC, id) AS rank FROM s)"""
 
 
+def _bm25_sql(k1: str = "1.5::DOUBLE") -> str:
+    return _BM25_SQL.replace("%K1%", k1)
+
+
 def _bm25_top(s, d, k, **kw):
     return bm25.top_k(bm25.corpus_scores(t.chunks(s, d), t.queries(s, d), **kw), k)
 
 
-@query(_BM25.format(k1="1.5::DOUBLE") + "SELECT query_id, id, round(score, 4) AS score, CAST(rank AS INT) AS rank FROM r WHERE rank <= 5")
+@query(_bm25_sql("1.5::DOUBLE") + "SELECT query_id, id, round(score, 4) AS score, CAST(rank AS INT) AS rank FROM r WHERE rank <= 5")
 def bm25_topk(s, d):
     return _bm25_top(s, d, 5).select("query_id", "id", F.round("score", 4).alias("score"), "rank")
 
 
-@query(_BM25.format(k1="1.2::DOUBLE") + "SELECT query_id, id, round(1 / (1 + score), 6) AS distance FROM r WHERE rank <= 10")
+@query(_bm25_sql("1.2::DOUBLE") + "SELECT query_id, id, round(1 / (1 + score), 6) AS distance FROM r WHERE rank <= 10")
 def fulltext_pseudo_distance(s, d):
     return _bm25_top(s, d, 10, k1=1.2).select("query_id", "id", F.round(1 / (1 + F.col("score")), 6).alias("distance"))
 
 
-_CAND = _BM25.format(k1="1.5::DOUBLE") + rf""",
+_CAND = _bm25_sql("1.5::DOUBLE") + rf""",
 c AS (SELECT r.query_id, r.id, b.text AS query, x.text AS document, r.rank / 20.0 AS distance FROM r JOIN benchmark b ON b.item_id = r.query_id JOIN documents x ON x.doc_id = r.id WHERE rank <= 10),
 ct AS (SELECT query_id, id, {_TOK.format('document')} AS t, list_distinct({_TOK.format('query')}) AS qt, distance FROM c),
 cn AS (SELECT *, len(t)::DOUBLE AS length, count(*) OVER (PARTITION BY query_id)::DOUBLE AS n, avg(len(t)) OVER (PARTITION BY query_id) AS mean FROM ct),
@@ -218,7 +222,7 @@ def hydrate_best_chunk(s, d):
     return out.select("source_file", F.col("best_index").cast("long").alias("best_index"), "total", "text")
 
 
-@query(_BM25.format(k1="1.5::DOUBLE") + r""", c AS (SELECT r.query_id, r.id, r.rank / 20.0 AS d, lower(x.text) AS doc, list_distinct(regexp_extract_all(lower(b.text), '[a-z]{3,}')) AS k
+@query(_bm25_sql("1.5::DOUBLE") + r""", c AS (SELECT r.query_id, r.id, r.rank / 20.0 AS d, lower(x.text) AS doc, list_distinct(regexp_extract_all(lower(b.text), '[a-z]{3,}')) AS k
  FROM r JOIN benchmark b ON b.item_id = r.query_id JOIN documents x ON x.doc_id = r.id WHERE rank <= 10)
 SELECT query_id, id, round(d * (1 - 0.3 * CASE WHEN len(k) > 0 THEN len(list_filter(k, x -> contains(doc, x))) / len(k) ELSE 0 END), 6) AS distance FROM c""")
 def keyword_overlap_rerank(s, d):
@@ -664,7 +668,7 @@ def _relevant(s, d):
     return met.select("query_id", "id").distinct()
 
 
-@query(_BM25.format(k1="1.5::DOUBLE") + f""", v AS ({_REL}), p AS (SELECT query_id, count(*) AS want, count(*) FILTER (rank <= 1) AS g1, count(*) FILTER (rank <= 5) AS g5 FROM v LEFT JOIN r USING (query_id, id) GROUP BY 1),
+@query(_bm25_sql("1.5::DOUBLE") + f""", v AS ({_REL}), p AS (SELECT query_id, count(*) AS want, count(*) FILTER (rank <= 1) AS g1, count(*) FILTER (rank <= 5) AS g5 FROM v LEFT JOIN r USING (query_id, id) GROUP BY 1),
 x AS (SELECT want, 1 AS k, g1 AS got FROM p UNION ALL SELECT want, 5, g5 FROM p)
 SELECT CAST(k AS INT) AS k, round(avg((got > 0)::INT), 6) AS recall_any, round(avg((got = want)::INT), 6) AS recall_all FROM x GROUP BY k""")
 def recall_at_k(s, d):
@@ -672,7 +676,7 @@ def recall_at_k(s, d):
     return m.select("k", F.round("recall_any", 6).alias("recall_any"), F.round("recall_all", 6).alias("recall_all"))
 
 
-@query(_BM25.format(k1="1.5::DOUBLE") + f""", v AS ({_REL}), h AS (SELECT r.query_id, r.rank, CASE WHEN v.id IS NULL THEN 0.0 ELSE 1.0 END AS rel FROM r LEFT JOIN v USING (query_id, id) WHERE rank <= 5),
+@query(_bm25_sql("1.5::DOUBLE") + f""", v AS ({_REL}), h AS (SELECT r.query_id, r.rank, CASE WHEN v.id IS NULL THEN 0.0 ELSE 1.0 END AS rel FROM r LEFT JOIN v USING (query_id, id) WHERE rank <= 5),
 i AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY rel DESC, rank) AS ideal FROM h)
 SELECT query_id, round(coalesce(sum(rel / log2(rank + 1)) / nullif(sum(rel / log2(ideal + 1)), 0), 0), 6) AS ndcg FROM i GROUP BY 1""")
 def ndcg_at_k(s, d):
