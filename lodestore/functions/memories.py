@@ -58,8 +58,8 @@ def segments(text: Column) -> Column:
 
 
 def score(prose: Column, kind: str) -> Column:
-    low = F.lower(prose)
-    return sum((F.regexp_count(low, F.lit(m)) for m in MARKERS[kind]), F.lit(0))
+    """Matches of all markers. Inside a lambda, as so many patterns are too much for one generated method."""
+    return F.get(F.transform(F.array(F.lower(prose)), lambda low: sum((F.regexp_count(low, F.lit(m)) for m in MARKERS[kind]), F.lit(0))), F.lit(0))
 
 
 def _sentiment(prose: Column) -> Column:

@@ -191,7 +191,7 @@ def paragraph_chunks(docs: DataFrame, id_col: str = "id", text_col: str = "text"
 
 def candidate_names(x: str | Column, window: int = 5000) -> Column:
     """Capitalised words in the first characters, in order, repeated as they are."""
-    return F.filter(F.regexp_extract_all(F.substring(_c(x), 1, window), F.lit(r"\b([A-Z][a-z]{2,19})\b"), F.lit(1)), lambda w: ~w.isin(*NOT_NAMES))
+    return F.filter(F.regexp_extract_all(F.substring(_c(x), 1, window), F.lit(r"(?U)\b([A-Z][a-z]{2,19})\b"), F.lit(1)), lambda w: ~w.isin(*NOT_NAMES))
 
 
 def entity_tags(x: str | Column, known: Sequence[str] = (), most: int = 25) -> Column:
