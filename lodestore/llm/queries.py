@@ -118,7 +118,7 @@ ORACLE_SQL = {
             FROM c),
         t AS (
             SELECT source, source_size,
-                   CAST(least(cap, weight * (SELECT min(level) FROM l WHERE level <= ratio)) AS DOUBLE) AS target
+                   CAST(least(cap, weight * (SELECT max(level) FROM l WHERE level <= ratio)) AS DOUBLE) AS target
             FROM l),
         p AS (
             SELECT d.*, t.source_size, t.target,
