@@ -20,6 +20,7 @@ from __future__ import annotations
 import base64
 import heapq
 import json
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,6 +37,10 @@ LONG_WORD = 96
 CACHED_WORDS, SAMPLE_DOCS = 1 << 17, 20_000
 #: No merge: larger than any rank.
 NEVER = 1 << 30
+#: Buckets of the literal set of known words.
+BUCKETS = 1 << 16
+#: Characters of a plan's printed form: the literals would fill megabytes of it.
+PLAN_CHARS = "20000"
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -92,6 +97,18 @@ def literal(values, kind: str) -> Column:
     return F.from_json(F.lit(json.dumps(values)), f"array<{kind}>")
 
 
+def _bucket(x: Column) -> Column:
+    return (F.crc32(x.cast("binary")) % BUCKETS).cast("int")
+
+
+def _bucketed(words: list[str]) -> Column:
+    """A set of words as one literal, in buckets by hash."""
+    out: list[list[str]] = [[] for _ in range(BUCKETS)]
+    for x in words:
+        out[zlib.crc32(x.encode()) % BUCKETS].append(x)
+    return literal(out, "array<string>")
+
+
 def bind(value: Column, body) -> Column:
     """body(value) with value computed once: a lambda variable instead of a repeated expression."""
     return F.get(F.transform(F.array(value), body), F.lit(0))
@@ -159,6 +176,7 @@ class ByteBpe:
 
     def __init__(self, spark: SparkSession, rank_path: str, pattern: str):
         self.spark, self.pattern = spark, java_pattern(pattern)
+        spark.conf.set("spark.sql.maxPlanStringLength", PLAN_CHARS)
         self.ranks = load_ranks(rank_path)
         size = max(self.ranks.values(), default=-1) + 1
         shift, owner, value = displaced(merge_pairs(self.ranks), size)
@@ -204,9 +222,9 @@ class ByteBpe:
             self.fold_frequent(docs, text)
         known, known_ids = self.known
         w, rare, folded = fresh(docs, "words"), fresh(docs, "rare"), fresh(docs, "folded")
-        quoted = ",".join("'" + x.replace("\\", "\\\\").replace("'", "\\'") + "'" for x in known) or "''"
         split = docs.withColumn(w, self.words(F.col(text)))
-        split = split.withColumn(rare, F.expr(f"array_distinct(filter(`{w}`, x -> octet_length(x) <= {LONG_WORD} AND x NOT IN ({quoted})))"))
+        new = lambda t: F.filter(F.col(w), lambda x: (F.octet_length(x) <= LONG_WORD) & ~F.array_contains(F.get(t, _bucket(x)), x))
+        split = split.withColumn(rare, F.array_distinct(bind(_bucketed(known), new)))
         split = split.withColumn(folded, bind(self.tables, lambda t: F.transform(F.col(rare), lambda x: fold_word(x, t))))
         kept = docs.columns
         schema = docs.select(*kept).withColumn(ids, F.array().cast("array<int>")).schema
