@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import ahocorasick
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -140,6 +142,35 @@ def room_routed(room_scores: DataFrame, chunks: DataFrame, k: int) -> DataFrame:
     return chunks.join(keep, "room")
 
 
+#: Phrases that are looked for in one pass over the texts.
+PHRASES = 100_000
+
+
+def containing(chunks: DataFrame, phrases: DataFrame) -> DataFrame:
+    """phrases (query_id, query), a stated set checked for size: query_id, id of the chunks whose document holds the phrase.
+
+    One automaton of all phrases reads each text once; empty phrases and null texts match nothing.
+    """
+    got = phrases.where(F.col("query") != "").select("query_id", "query").limit(PHRASES + 1).collect()
+    if len(got) > PHRASES:
+        raise ValueError(f"more than {PHRASES} phrases: look for them in parts")
+    by: dict[str, list] = {}
+    for x in got:
+        by.setdefault(x.query, []).append(x.query_id)
+    id_type, q_type = (df.schema[c].dataType.simpleString() for df, c in ((chunks, "id"), (phrases, "query_id")))
+
+    def find(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        automaton = ahocorasick.Automaton()
+        for q in by:
+            automaton.add_word(q, q)
+        automaton.make_automaton()
+        for b in batches:
+            rows = [(i, d) for d, t in zip(b.id, b.document, strict=True) if t and by for q in {q for _, q in automaton.iter(t)} for i in by[q]]
+            yield pd.DataFrame(rows, columns=["query_id", "id"])
+
+    return chunks.select("id", "document").mapInPandas(find, f"query_id {q_type}, id {id_type}")
+
+
 def best_per_corpus_id(hits: DataFrame) -> DataFrame:
     """One row per query and corpus_id: its nearest."""
     return hits.groupBy("query_id", "corpus_id").agg(F.min("distance").alias("distance"))

@@ -657,14 +657,12 @@ _REL = "SELECT item_id AS query_id, doc_id AS id FROM benchmark b JOIN documents
 
 
 def _relevant(s, d):
-    """Planted passages: only rows that hold the passage's first words as shingle candidates are searched for it."""
-    q = t.queries(s, d)
-    first = lambda c: F.array_join(F.slice(F.split(c, r"[ \n\t]+"), 2, 4), " ")
-    words = F.split("document", r"[ \n\t]+")
-    keys = F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.size(words) - 3, F.lit(1))), lambda i: F.array_join(F.slice(words, i, 4), " ")))
-    rows = t.chunks(s, d).select("id", "document", F.explode(keys).alias("k"))
-    met = rows.join(q.withColumn("k", first(F.col("query"))), "k").where(F.contains("document", F.col("query")))
-    return met.select("query_id", "id").distinct()
+    return search.containing(t.chunks(s, d), t.queries(s, d))
+
+
+@query(_REL)
+def planted_passages(s, d):
+    return _relevant(s, d)
 
 
 @query(_bm25_sql("1.5::DOUBLE") + f""", v AS ({_REL}), pq AS (SELECT query_id, count(*) AS want, count(*) FILTER (rank <= 1) AS g1, count(*) FILTER (rank <= 5) AS g5 FROM v LEFT JOIN r USING (query_id, id) GROUP BY 1),
