@@ -56,18 +56,16 @@ class _Encoder:
         self.parts: dict[str, bytes] = {}
         (self.mark,) = self._encode(MARK)
 
-    def learn(self, texts: list[str]) -> list[list[str]]:
-        """The chunks of each text, all of them in the cache afterwards."""
-        chunks = [_BLANK.split(t) if _ODD.search(t) else t.split() for t in texts]
-        new = set().union(*chunks) - self.cache.keys()
+    def learn(self, new: set[str]) -> dict[str, bytes]:
+        """The ids of chunks that the cache hasn't, which has them afterwards."""
         if len(self.cache) + len(new) > CACHE_CHUNKS:
             self.cache.clear()
-            new = set().union(*chunks)
         cut = {c: self._cut(c) for c in new}
-        parts = set(chain.from_iterable(cut.values())) - self.parts.keys()
+        needed = set(chain.from_iterable(cut.values()))
+        parts = [c for c in needed if c not in self.parts]
         if len(self.parts) + len(parts) > CACHE_CHUNKS:
             self.parts.clear()
-            parts = set(chain.from_iterable(cut.values()))
+            parts = list(needed)
         plain = [c for c in parts if MARK not in c]
         for at in range(0, len(plain), 2000):
             some = plain[at : at + 2000]
@@ -80,9 +78,9 @@ class _Encoder:
         for c in parts:
             if MARK in c:
                 self.parts[c] = np.array(self._encode(c), "<u4").tobytes()
-        for c, ps in cut.items():
-            self.cache[c] = b"".join(map(self.parts.__getitem__, ps))
-        return chunks
+        learned = {c: b"".join(map(self.parts.__getitem__, ps)) for c, ps in cut.items()}
+        self.cache.update(learned)
+        return learned
 
     @staticmethod
     def _cut(chunk: str) -> tuple[str, ...]:
@@ -102,8 +100,11 @@ class _Encoder:
     def ids(self, texts: list[str]) -> list[bytes]:
         out = []
         for at in range(0, len(texts), 64):
-            for cs in self.learn(texts[at : at + 64]):
-                out.append(b"".join(map(self.cache.__getitem__, cs)))
+            chunks = [_BLANK.split(t) if _ODD.search(t) else t.split() for t in texts[at : at + 64]]
+            found = [list(map(self.cache.get, cs)) for cs in chunks]
+            learned = self.learn({c for cs, fs in zip(chunks, found, strict=True) if None in fs for c, f in zip(cs, fs, strict=True) if f is None})
+            for cs, fs in zip(chunks, found, strict=True):
+                out.append(b"".join(fs if None not in fs else [learned[c] if f is None else f for c, f in zip(cs, fs, strict=True)]))
         return out
 
 
