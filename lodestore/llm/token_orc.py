@@ -28,10 +28,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from lodestore.llm.common import text_or_empty
+from lodestore.llm.common import stored, text_or_empty
 
 #: Chunks, and parts of chunks, that a worker's caches hold; they start anew beyond.
-CACHE_CHUNKS = 700_000
+CACHE_CHUNKS, CACHE_PARTS = 600_000, 1_200_000
 #: Stands between chunks that are encoded together.
 MARK = "\x01"
 #: Bytes that Python counts as white space and the tokenizer doesn't.
@@ -63,7 +63,7 @@ class _Encoder:
         cut = {c: self._cut(c) for c in new}
         needed = set(chain.from_iterable(cut.values()))
         parts = [c for c in needed if c not in self.parts]
-        if len(self.parts) + len(parts) > CACHE_CHUNKS:
+        if len(self.parts) + len(parts) > CACHE_PARTS:
             self.parts.clear()
             parts = list(needed)
         plain = [c for c in parts if MARK not in c]
@@ -174,6 +174,6 @@ def digests(spark: SparkSession, path: str, id_type: str = "bigint") -> DataFram
 
     rows = spark.read.schema(f"doc_id {id_type}, ids array<int>").orc(path)
     rows = rows.select(F.col("_metadata.file_name").alias("file"), F.monotonically_increasing_id().alias("row"), "doc_id", "ids")
-    slim = rows.mapInArrow(crc, f"file string, row long, doc_id {id_type}, n long, ids_crc32 long")
+    slim = stored(rows.mapInArrow(crc, f"file string, row long, doc_id {id_type}, n long, ids_crc32 long"), "digests")  # read twice below
     slim = slim.withColumn("n_tokens", F.col("n"))
     return _placed(slim).select("doc_id", "start", "n_tokens", "ids_crc32")
