@@ -29,12 +29,12 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestore.llm.common import fresh
+from lodestore.llm.common import fresh, stored
 
 #: Bytes of a word beyond which the fold gives way to the heap.
 LONG_WORD = 96
 #: Frequent words that are folded beforehand, and documents of their sample, at most.
-CACHED_WORDS, SAMPLE_DOCS = 1 << 17, 20_000
+CACHED_WORDS, SAMPLE_DOCS = 1 << 16, 20_000
 #: No merge: larger than any rank.
 NEVER = 1 << 30
 #: Buckets of the literal set of known words.
@@ -209,12 +209,11 @@ class ByteBpe:
             .where(F.octet_length("w") <= LONG_WORD)
             .groupBy("w").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "w").limit(CACHED_WORDS + len(tokens))
         )
-        others = self.docs_of([x.w for x in often.collect() if x.w not in tokens][:CACHED_WORDS])
-        folded = others.select("w", bind(self.tables, lambda t: fold_word(F.col("w"), t)).alias("ids")).collect()
-        self.known = [*tokens, *(x.w for x in folded)], [*([i] for i in tokens.values()), *(x.ids for x in folded)]
-
-    def docs_of(self, words: list[str]) -> DataFrame:
-        return self.spark.createDataFrame([(w,) for w in words], "w string").repartition(self.spark.sparkContext.defaultParallelism)
+        often = stored(often.select("w"), "words").repartition(self.spark.sparkContext.defaultParallelism)
+        folded = often.select("w", bind(self.tables, lambda t: fold_word(F.col("w"), t)).alias("ids")).toArrow()  # rows as objects would fill the driver
+        words, ids = folded.column("w").to_pylist(), folded.column("ids").to_pylist()
+        new = [i for i, w in enumerate(words) if w not in tokens]
+        self.known = [*tokens, *(words[i] for i in new)], [*([i] for i in tokens.values()), *(ids[i] for i in new)]
 
     def encode(self, docs: DataFrame, text: str = "text", ids: str = "ids") -> DataFrame:
         """docs with a column of ids."""
