@@ -49,7 +49,8 @@ def rooms_per_wing(chunks: DataFrame) -> DataFrame:
 def traverse(chunks: DataFrame, start: str, max_hops: int = 2, most: int = 50) -> DataFrame:
     """Rooms reached from start over shared wings: room, hop, count, connected_via (wings shared with the first discoverer by name).
 
-    A frontier joins the pairs of room and wing; each hop is one join, and hops are at most ten.
+    A wing carries its first frontier room by name, so that each hop is one join that gives at most
+    the pairs of room and wing: where a room's first discoverer is in a wing, it is first there too. Hops are at most ten.
     """
     rooms = _rooms(chunks)
     w = rooms.select("room", "wing").distinct()
@@ -57,7 +58,7 @@ def traverse(chunks: DataFrame, start: str, max_hops: int = 2, most: int = 50) -
     frontier = w.where(F.col("room") == start).select("room").distinct()
     seen = frontier.select("room", F.lit(0).alias("hop"), F.array().cast("array<string>").alias("connected_via"))
     for hop in range(1, min(max(1, max_hops), 10) + 1):
-        via = frontier.withColumnRenamed("room", "source").join(w.withColumnRenamed("room", "source"), "source")
+        via = frontier.join(w, "room").groupBy("wing").agg(F.min("room").alias("source"))
         met = via.join(w, "wing").join(seen.select("room"), "room", "left_anti")
         found = met.groupBy("room", "source").agg(F.sort_array(F.collect_set("wing")).alias("shared"))
         found = found.groupBy("room").agg(F.min_by("shared", "source").alias("connected_via")).select("room", F.lit(hop).alias("hop"), "connected_via")

@@ -368,7 +368,7 @@ c AS (SELECT DISTINCT b.room FROM w x JOIN w b USING (wing) WHERE x.room IN (SEL
 h AS (SELECT room, 0 AS hop FROM s UNION ALL SELECT room, 1 FROM a UNION ALL SELECT room, 2 FROM c)
 SELECT h.room, CAST(hop AS INT) AS hop, count(*) AS count FROM h JOIN p ON p.room = h.room GROUP BY 1, 2 ORDER BY hop, count DESC, h.room LIMIT 50""")
 def traverse_2hop(s, d):
-    p = t.table(s, d, "lineitem").where("l_orderkey < 400").select(F.col("l_partkey").cast("string").alias("room"), F.col("l_suppkey").cast("string").alias("wing"))
+    p = t.table(s, d, "lineitem").select(F.col("l_partkey").cast("string").alias("room"), F.col("l_suppkey").cast("string").alias("wing"))
     p = p.withColumns({"hall": F.lit(""), "date": F.lit("")})
     return graph.traverse(p, p.agg(F.min("room")).first()[0], 2).select("room", "hop", "count")
 

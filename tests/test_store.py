@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
 from lodestore.operators import browse, collection, filters, graph, kg, quality
+from lodestore.plans import catalogue
 from lodestore.schema import DuplicateId, UnsupportedFilter
 
 CHUNKS = [
@@ -154,6 +157,34 @@ def test_traverse(spark):
     assert graph.traverse(c, "nowhere").count() == 0
 
 
+def reached(pairs, start, hops):
+    """Breadth-first over shared wings, room by room: hop and wings shared with the first discoverer by name."""
+    wings = {r: {w for x, w in pairs if x == r} for r, _ in pairs}
+    seen, frontier = {start: (0, [])}, [start]
+    for hop in range(1, hops + 1):
+        found = {r: next(sorted(wings[r] & wings[f]) for f in sorted(frontier) if wings[r] & wings[f]) for r in wings if r not in seen and any(wings[r] & wings[f] for f in frontier)}
+        seen |= {r: (hop, via) for r, via in found.items()}
+        frontier = list(found)
+    return seen
+
+
+def test_traverse_equals_breadth_first_search(spark):
+    r = random.Random(3)
+    pairs = [(f"r{r.randrange(60)}", f"w{r.randrange(50)}") for _ in range(110)]
+    c = spark.createDataFrame([(*x, "", "") for x in pairs], PLACE)
+    assert {x.room: (x.hop, x.connected_via) for x in graph.traverse(c, pairs[0][0], 3, 1000).collect()} == reached(pairs, pairs[0][0], 3)
+
+
+def test_traverse_2hop_reads_all_line_items(spark, tmp_path):
+    r = random.Random(4)
+    items = [(390 + i, r.randrange(40), r.randrange(30)) for i in range(70)]
+    spark.createDataFrame(items, "l_orderkey long, l_partkey long, l_suppkey long").write.parquet(f"{tmp_path}/lineitem.parquet")
+    pairs = [(str(p), str(s)) for _, p, s in items]
+    want = [(x, hop, sum(x == p for p, _ in pairs)) for x, (hop, _) in reached(pairs, min(pairs)[0], 2).items()]
+    got = [tuple(x) for x in catalogue.QUERIES["traverse_2hop"](spark, str(tmp_path)).collect()]
+    assert got == sorted(want, key=lambda x: (x[1], -x[2], x[0]))[:50] and len(got) > 10
+
+
 def test_links_are_symmetric_and_keep_their_creation(spark):
     end = "struct<wing:string,room:string,drawer_id:string>"
     empty = spark.createDataFrame([], f"id string, source {end}, target {end}, label string, created_at string, updated_at string")
