@@ -2,11 +2,12 @@
 
 Queries are a stated set: their matrix, checked for size, goes with the tasks. Rows stay where
 they are; a batch gives, for each query, only its best k rows, and a window merges the tasks'.
+The check for duplicates has no k: a batch gives every row at the threshold or above.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -38,18 +39,19 @@ def similarity(distance: Column) -> Column:
     return F.bround(F.greatest(F.lit(0.0), 1 - distance), 3)
 
 
-def top_k(rows: DataFrame, queries: DataFrame, k: int, id_col: str = "id", vec_col: str = "embedding", max_distance: float | None = None) -> DataFrame:
-    """queries (query_id, embedding) -> query_id, id, distance, rank (from 1; by distance, then id)."""
+def _pairs(rows: DataFrame, queries: DataFrame, pick: Callable[[np.ndarray], tuple[np.ndarray, np.ndarray]], id_col: str, vec_col: str) -> DataFrame:
+    """query_id, id, distance of what pick chooses from the distances (queries by rows) of each batch."""
     got = queries.select("query_id", "embedding").orderBy("query_id").limit(QUERIES + 1).collect()
     if len(got) > QUERIES:
         raise ValueError(f"more than {QUERIES} queries: search them in parts")
-    q_ids = [x.query_id for x in got]
+    q_ids = np.empty(len(got), object)
+    q_ids[:] = [x.query_id for x in got]
     q = np.array([x.embedding for x in got], np.float64).reshape(len(got), -1)
     q /= np.maximum(np.linalg.norm(q, axis=1, keepdims=True), 1e-300)
     id_type = rows.schema[id_col].dataType.simpleString()
     q_type = queries.schema["query_id"].dataType.simpleString()
 
-    def nearest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def chosen(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             b = b[b.v.notna()]
             for at in range(0, len(b), 2048):
@@ -59,20 +61,33 @@ def top_k(rows: DataFrame, queries: DataFrame, k: int, id_col: str = "id", vec_c
                     raise DimensionMismatch(f"{x.shape[1]} components against {q.shape[1]}")
                 x /= np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-300)
                 d = 1 - q @ x.T
-                n = min(k, len(part))
-                for i, row in enumerate(d):
-                    edge = np.partition(row, n - 1)[n - 1]
-                    best = np.flatnonzero(row <= edge)  # ties at the edge are for the window to settle
-                    yield pd.DataFrame({"query_id": [q_ids[i]] * len(best), "id": part.i.to_numpy()[best], "distance": row[best]})
+                i, j = pick(d)
+                yield pd.DataFrame({"query_id": q_ids[i], "id": part.i.to_numpy()[j], "distance": d[i, j]})
 
-    found = rows.select(F.col(id_col).alias("i"), F.col(vec_col).alias("v")).mapInPandas(nearest, f"query_id {q_type}, id {id_type}, distance double")
-    if max_distance:
-        found = found.where(F.col("distance") <= max_distance)
+    return rows.select(F.col(id_col).alias("i"), F.col(vec_col).alias("v")).mapInPandas(chosen, f"query_id {q_type}, id {id_type}, distance double")
+
+
+def _ranked(found: DataFrame, k: int) -> DataFrame:
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.round("distance", 9), "id"))
     return found.withColumn("rank", rank).where(F.col("rank") <= k)
 
 
-def duplicates(rows: DataFrame, queries: DataFrame, threshold: float = 0.9, k: int = 5, **names) -> DataFrame:
-    """The nearest k of each query that are at least as similar as the threshold."""
-    found = top_k(rows, queries, k, **names).withColumn("similarity", F.bround(1 - F.col("distance"), 3))
-    return found.where(F.col("similarity") >= threshold)
+def top_k(rows: DataFrame, queries: DataFrame, k: int, id_col: str = "id", vec_col: str = "embedding", max_distance: float | None = None) -> DataFrame:
+    """queries (query_id, embedding) -> query_id, id, distance, rank (from 1; by distance, then id)."""
+
+    def nearest(d: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        n = min(k, d.shape[1])
+        return np.nonzero(d <= np.partition(d, n - 1, axis=1)[:, n - 1 : n])  # ties at the edge are for the window to settle
+
+    found = _pairs(rows, queries, nearest, id_col, vec_col)
+    if max_distance:
+        found = found.where(F.col("distance") <= max_distance)
+    return _ranked(found, k)
+
+
+def duplicates(rows: DataFrame, queries: DataFrame, threshold: float = 0.9, k: int | None = None, id_col: str = "id", vec_col: str = "embedding") -> DataFrame:
+    """All rows that are at least as similar to a query as the threshold; where k is given, a report of each query's nearest k of them."""
+    near = 1 - threshold + 0.001  # similarity is rounded to three places below
+    found = _pairs(rows, queries, lambda d: np.nonzero(d <= near), id_col, vec_col).withColumn("similarity", F.bround(1 - F.col("distance"), 3))
+    found = found.where(F.col("similarity") >= threshold)
+    return found if k is None else _ranked(found, k)

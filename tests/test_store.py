@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from lodestore.operators import browse, collection, filters, graph, kg, quality
+from lodestore.operators import browse, collection, filters, graph, kg, quality, vectors
 from lodestore.plans import catalogue
 from lodestore.schema import DuplicateId, UnsupportedFilter
 
@@ -185,6 +186,20 @@ def test_traverse_2hop_reads_all_line_items(spark, tmp_path):
     assert got == sorted(want, key=lambda x: (x[1], -x[2], x[0]))[:50] and len(got) > 10
 
 
+def test_duplicates_are_all_found(spark):
+    r = np.random.default_rng(5)
+    base = r.normal(size=(4, 16))
+    data = [(i, [float(x) for x in base[i % 4] + r.normal(size=16) * (0.05 if i < 90 else 0.4)]) for i in range(200)]
+    rows = spark.createDataFrame(data, "id long, embedding array<double>").repartition(3)
+    unit = np.array([v for _, v in data])
+    unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+    want = {(q, i) for q in range(4) for i in range(200) if unit[q] @ unit[i] >= 0.8995}
+    queries = rows.where("id < 4").withColumnRenamed("id", "query_id")
+    assert {(x.query_id, x.id) for x in vectors.duplicates(rows, queries).collect()} == want and len(want) > 80
+    few = vectors.duplicates(rows, queries, k=5).collect()
+    assert sorted((x.query_id, x["rank"]) for x in few) == [(q, n) for q in range(4) for n in range(1, 6)]
+
+
 def test_links_are_symmetric_and_keep_their_creation(spark):
     end = "struct<wing:string,room:string,drawer_id:string>"
     empty = spark.createDataFrame([], f"id string, source {end}, target {end}, label string, created_at string, updated_at string")
