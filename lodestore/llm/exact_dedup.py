@@ -50,8 +50,9 @@ def heavy_winners(slim: DataFrame, support: float = SUPPORT) -> DataFrame:
     """Digest, count and winner of each digest with over a ``support`` share of the rows."""
     spark = slim.sparkSession
     rows = slim.count()
-    named = slim.stat.freqItems(["digest"], support).first()[0] if rows else []
-    maybe = spark.createDataFrame([(bytes(x),) for x in named], "digest binary")
+    keys = slim.select(F.hex("digest").alias("digest"))  # the counters compare binary values by identity
+    named = keys.stat.freqItems(["digest"], support).first()[0] if rows else []
+    maybe = spark.createDataFrame([(bytes.fromhex(x),) for x in named], "digest binary")
     found = _winners(slim.join(F.broadcast(maybe), "digest", "left_semi")).where(F.col("n") > rows * support)
     return spark.createDataFrame(found.collect(), found.schema)
 

@@ -72,6 +72,20 @@ def test_exact_dedup(spark, awkward, support):
     assert sorted(squeezed(x.text) for x in kept.collect()) == sorted({squeezed(x.text) for x in data})
 
 
+@pytest.mark.parametrize("parts", [1, 8])
+def test_heavy_winners_names_every_digest_over_the_support(spark, tmp_path, parts):
+    n, support = 12_000, 1 / 256
+    # at the start of the table: 3000 rows of one digest, then 60, 50 and 47 of others; 46 are under the support; the rest is single
+    sizes = [3000, 60, 50, 47, 46]
+    keys = [f"g{g}" for g, m in enumerate(sizes) for _ in range(m)]
+    keys += [f"s{i}" for i in range(n - len(keys))]
+    data = [(i, hashlib.sha256(k.encode()).digest(), 1, i) for i, k in enumerate(keys)]
+    spark.createDataFrame(data, "id long, digest binary, cp int, row long").coalesce(1).sortWithinPartitions("id").repartitionByRange(parts, "id").write.parquet(f"{tmp_path}/slim")
+    for slim in (spark.read.parquet(f"{tmp_path}/slim"), spark.createDataFrame(data, "id long, digest binary, cp int, row long")):
+        got = {bytes(x.digest): (x.n, x["first"].id) for x in exact_dedup.heavy_winners(slim, support).collect()}
+        assert got == {hashlib.sha256(f"g{g}".encode()).digest(): (sizes[g], sum(sizes[:g])) for g in range(4)}
+
+
 def test_exact_dedup_is_native_and_empty(awkward, none):
     plan = exact_dedup.groups(awkward)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
