@@ -1,6 +1,6 @@
 """Exact cosine search: query vectors against all rows, best k for each query.
 
-Queries are a stated set: their matrix, checked for size, goes with the tasks. Rows stay where
+Queries are a stated set: their matrix goes with the tasks, in one pass over the rows for each QUERIES of them. Rows stay where
 they are; a batch gives, for each query, only its best k rows, and a window merges the tasks'.
 The check for duplicates has no k: a batch gives every row at the threshold or above.
 """
@@ -8,10 +8,11 @@ The check for duplicates has no k: a batch gives every row at the threshold or a
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -41,15 +42,18 @@ def similarity(distance: Column) -> Column:
 
 def _pairs(rows: DataFrame, queries: DataFrame, pick: Callable[[np.ndarray], tuple[np.ndarray, np.ndarray]], id_col: str, vec_col: str) -> DataFrame:
     """query_id, id, distance of what pick chooses from the distances (queries by rows) of each batch."""
-    got = queries.select("query_id", "embedding").orderBy("query_id").limit(QUERIES + 1).collect()
-    if len(got) > QUERIES:
-        raise ValueError(f"more than {QUERIES} queries: search them in parts")
+    got = queries.select("query_id", "embedding").collect()
+    kinds = {"query_id": queries.schema["query_id"].dataType, "id": rows.schema[id_col].dataType}
+    schema = ", ".join([*(f"{k} {v.simpleString()}" for k, v in kinds.items()), "distance double"])
+    passes = [_pass(rows, got[at : at + QUERIES], pick, schema, id_col, vec_col) for at in range(0, len(got), QUERIES)]
+    return reduce(DataFrame.unionByName, passes) if passes else rows.sparkSession.createDataFrame([], schema)
+
+
+def _pass(rows: DataFrame, got: list[Row], pick: Callable[[np.ndarray], tuple[np.ndarray, np.ndarray]], schema: str, id_col: str, vec_col: str) -> DataFrame:
     q_ids = np.empty(len(got), object)
     q_ids[:] = [x.query_id for x in got]
-    q = np.array([x.embedding for x in got], np.float64).reshape(len(got), -1)
+    q = np.array([x.embedding for x in got], np.float64)
     q /= np.maximum(np.linalg.norm(q, axis=1, keepdims=True), 1e-300)
-    id_type = rows.schema[id_col].dataType.simpleString()
-    q_type = queries.schema["query_id"].dataType.simpleString()
 
     def chosen(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -64,7 +68,7 @@ def _pairs(rows: DataFrame, queries: DataFrame, pick: Callable[[np.ndarray], tup
                 i, j = pick(d)
                 yield pd.DataFrame({"query_id": q_ids[i], "id": part.i.to_numpy()[j], "distance": d[i, j]})
 
-    return rows.select(F.col(id_col).alias("i"), F.col(vec_col).alias("v")).mapInPandas(chosen, f"query_id {q_type}, id {id_type}, distance double")
+    return rows.select(F.col(id_col).alias("i"), F.col(vec_col).alias("v")).mapInPandas(chosen, schema)
 
 
 def _ranked(found: DataFrame, k: int) -> DataFrame:

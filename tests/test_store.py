@@ -200,6 +200,19 @@ def test_duplicates_are_all_found(spark):
     assert sorted((x.query_id, x["rank"]) for x in few) == [(q, n) for q in range(4) for n in range(1, 6)]
 
 
+def test_more_queries_than_a_pass_holds(spark, monkeypatch):
+    monkeypatch.setattr(vectors, "QUERIES", 3)
+    r = np.random.default_rng(6)
+    unit = r.normal(size=(40, 8))
+    rows = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(unit)], "id long, embedding array<double>").repartition(3)
+    unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+    queries = rows.where("id < 10").withColumnRenamed("id", "query_id")
+    got = {(x.query_id, x["rank"]): x.id for x in vectors.top_k(rows, queries, 4).collect()}
+    assert got == {(q, k + 1): i for q in range(10) for k, i in enumerate(np.argsort(1 - unit[q] @ unit.T)[:4])}
+    assert {(x.query_id, x.id) for x in vectors.duplicates(rows, queries, 0.5).collect()} == {(q, i) for q in range(10) for i in range(40) if unit[q] @ unit[i] >= 0.4995}
+    assert vectors.top_k(rows, queries.limit(0), 4).count() == 0
+
+
 def test_links_are_symmetric_and_keep_their_creation(spark):
     end = "struct<wing:string,room:string,drawer_id:string>"
     empty = spark.createDataFrame([], f"id string, source {end}, target {end}, label string, created_at string, updated_at string")
