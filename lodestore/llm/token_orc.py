@@ -7,7 +7,8 @@ running sum within a file upon the sum of the files before.
 
 White space never joins or takes part in a token of the tokenizers meant here, so a text's
 ids are those of its chunks between blanks; chunks met before in the worker are taken
-from a bounded cache, each other chunk is encoded by the library.
+from a bounded cache, each other chunk is encoded by the library. Special tokens in a text get
+their own ids, as is the library's default; a chunk that holds one is encoded whole.
 
 Defined results: null text counts as empty and has the end id alone. Null ids come first;
 rows with one id are separate documents, next to each other, ordered by a hash of the text. An
@@ -51,7 +52,6 @@ class _Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         self.cache: dict[str, bytes] = {}
         self.parts: dict[str, bytes] = {}
         (self.mark,) = self._encode(MARK)

@@ -143,6 +143,19 @@ def test_token_orc(spark, tmp_path, awkward, none):
     assert token_orc.digests(spark, f"file://{tmp_path}/e").count() == 0
 
 
+def test_token_orc_keeps_the_librarys_special_tokens(spark, tmp_path):
+    from tokenizers import Tokenizer
+
+    p = public_tokenizers.path("word_bpe_49k.json")
+    tok = Tokenizer.from_file(p)
+    texts = ["end of page <|endoftext|> next", "a<|endoftext|>b c.<|startoftext|>! d", "<|ENDOFTEXT|> <|endoftext| >", "<|endoftext|><|endoftext|>", "e<|endoftext|>\u0301 \x01<|endoftext|>\x01 x\x1c<|startoftext|>", "plain text."]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    token_orc.write(docs, f"file://{tmp_path}/t", p, 1)
+    got = {x.doc_id: x.ids for x in token_orc.read(spark, f"file://{tmp_path}/t").collect()}
+    assert got == {i: [*tok.encode(t, add_special_tokens=False).ids, 1] for i, t in enumerate(texts)}
+    assert 49407 in got[0]
+
+
 # --- byte-level BPE
 
 
