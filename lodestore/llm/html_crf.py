@@ -18,7 +18,7 @@ import random
 import re
 import zlib
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 from html.parser import HTMLParser
 
@@ -37,8 +37,8 @@ BLOCKS = frozenset(
 #: What the start of an element ends, if open: as in HTML's rules of optional tags.
 ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 SCOPES = frozenset("ul ol dl table div article section main body html form nav aside header footer select blockquote".split())
-#: Nearest ancestors that features look at; places of features.
-NEAREST, PLACES = 24, 1 << 13
+#: Places of features.
+PLACES = 1 << 13
 #: Pages that the field is trained on, and passes.
 PAGES, EPOCHS = 700, 8
 
@@ -46,14 +46,16 @@ PAGES, EPOCHS = 700, 8
 @dataclass
 class Block:
     text: str
-    path: list  # of (tag, words of class and id), outermost first
+    parent: str
+    around: tuple | None  # names that all open elements bring, each once: (new names of the innermost that has any, those around it)
     linked: int
 
 
 class _Tree(HTMLParser):
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.stack: list[tuple[str, tuple[str, ...]]] = []
+        self.stack: list[tuple[str, list[str], tuple | None]] = []
+        self.names: set[str] = set()
         self.open: Counter = Counter()
         self.silent = 0
         self.blocks: list[Block] = []
@@ -64,14 +66,13 @@ class _Tree(HTMLParser):
         if self.text:
             text = " ".join("".join(self.text).split())
             if text:
-                path = [x for x in self.stack[-NEAREST:]]
-                if len(self.stack) > NEAREST:
-                    path = self.stack[:2] + path
-                self.blocks.append(Block(text, path, self.linked))
+                parent, _, around = self.stack[-1] if self.stack else ("none", [], None)
+                self.blocks.append(Block(text, parent, around, self.linked))
             self.text, self.linked = [], 0
 
     def pop(self) -> None:
-        tag, _ = self.stack.pop()
+        tag, new, _ = self.stack.pop()
+        self.names.difference_update(new)
         self.open[tag] -= 1
         self.silent -= tag in SILENT
 
@@ -91,8 +92,11 @@ class _Tree(HTMLParser):
         elif tag == "br":
             self.text.append(" ")
         if tag not in VOID:
-            words = tuple(w for k, v in attrs if k in ("class", "id", "role") and v for w in re.findall(r"[a-z]+", v.lower()[:200]))
-            self.stack.append((tag, words))
+            names = {f"t {tag}", *(f"c {w}" for k, v in attrs if k in ("class", "id", "role") and v for w in re.findall(r"[a-z]+", v.lower()))}
+            new = list(names - self.names)
+            self.names.update(new)
+            outer = self.stack[-1][2] if self.stack else None
+            self.stack.append((tag, new, (new, outer) if new else outer))
             self.open[tag] += 1
             self.silent += tag in SILENT
 
@@ -133,16 +137,16 @@ def leaf_blocks(html: str) -> list[Block]:
 
 
 def features(b: Block) -> list[int]:
-    parent = b.path[-1][0] if b.path else "none"
     n, words = len(b.text), b.text.count(" ") + 1
     link = min(4, int(5 * b.linked / n))
     marks = min(3, sum(b.text.count(c) for c in ".!?,;"))
-    names = {"1", f"p {parent}", f"n {int(math.log2(n + 1))}", f"w {min(9, words)}", f"a {link}", f"m {marks}", f"e {b.text[-1] in '.!?'}", f"an {link} {min(3, words // 4)}"}
+    names = {"1", f"p {b.parent}", f"n {int(math.log2(n + 1))}", f"w {min(9, words)}", f"a {link}", f"m {marks}", f"e {b.text[-1] in '.!?'}", f"an {link} {min(3, words // 4)}"}
     if b.text[0] in "©®":
         names.add("c")
-    for tag, own in b.path:
-        names.add(f"t {tag}")
-        names.update(f"c {w}" for w in own)
+    around = b.around
+    while around:
+        new, around = around
+        names.update(new)
     return [zlib.crc32(x.encode()) % PLACES for x in names]
 
 
@@ -152,10 +156,10 @@ class Field:
     step: np.ndarray = field(default_factory=lambda: np.zeros((2, 2)))
     start: np.ndarray = field(default_factory=lambda: np.zeros(2))
 
-    def scores(self, page: list[list[int]]) -> np.ndarray:
+    def scores(self, page: Iterable[list[int]]) -> np.ndarray:
         return np.array([self.emit[f].sum(0) for f in page])
 
-    def decode(self, page: list[list[int]]) -> list[int]:
+    def decode(self, page: Iterable[list[int]]) -> list[int]:
         """Viterbi."""
         s = self.scores(page).tolist()
         (t00, t01), (t10, t11) = self.step.tolist()
@@ -325,7 +329,7 @@ def main_text(html: str | None, model: Field) -> str:
     blocks = leaf_blocks(html or "")
     if not blocks:
         return ""
-    return " ".join(b.text for b, y in zip(blocks, model.decode([features(b) for b in blocks]), strict=True) if y)
+    return " ".join(b.text for b, y in zip(blocks, model.decode(features(b) for b in blocks), strict=True) if y)
 
 
 def extract(pages: DataFrame, model: Field, html_col: str = "html", text_col: str = "text") -> DataFrame:

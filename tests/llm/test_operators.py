@@ -326,6 +326,15 @@ def test_pages(spark, crf):
     assert html_crf.extract(df.limit(0), crf).count() == 0
 
 
+def test_all_ancestors_and_whole_attributes_count():
+    names = lambda *xs: {zlib.crc32(x.encode()) % html_crf.PLACES for x in xs}
+    html = "<html><body><main>" + "<div>" * 5 + "<nav class='side menu'>" + "<div class=box>" * 60 + f"<section id='{'x ' * 200}footer'>deep</section>" + "</div>" * 60 + "</nav>" + "</div>" * 5 + "<p>after</main></body></html>"
+    deep, after = html_crf.leaf_blocks(html)
+    assert names("t html", "t body", "t main", "t div", "t nav", "c side", "c menu", "c box", "t section", "c x", "c footer", "p section") <= set(html_crf.features(deep))
+    plain = html_crf.leaf_blocks("<html><body><main><p>after</main></body></html>")[0]
+    assert after.text == "after" and sorted(html_crf.features(after)) == sorted(html_crf.features(plain))
+
+
 def test_field_on_other_layouts(crf):
     right = total = 0
     for blocks, labels in html_crf.labelled_pages(80, seed=5):
