@@ -2,12 +2,13 @@
 
 A text's bytes, each marked if the four bytes from it on stand a few bytes before as well
 (no short filter can learn that two places are equal), are cut into chunks of two blocks, each chunk overlapping the next by a
-block, from its first byte to its last. Learned filters slide over the bytes with a
+block, from its first byte to its last. Zeros stand before each text, so that neither marks nor
+filters reach into another: a text's score is the same in any batch. Learned filters slide over the bytes with a
 stride; their responses are max-pooled within each chunk. The mean and the maximum of
 the chunks' pooled features give, through a logistic layer, one probability.
 
-The network is fitted on the driver on at most ``SAMPLE`` labelled rows, balanced by a hash
-of their ids; scoring runs over all rows in Arrow batches, with the weights as a constant.
+The network is fitted on the driver on at most ``SAMPLE`` labelled rows and ``SAMPLE_BYTES``
+of their texts, balanced and chosen by a hash of their ids; scoring runs over all rows in Arrow batches, with the weights as a constant.
 Ids, languages, sources and labels are never inputs.
 
 Defined results: null text counts as empty, which is scored as one chunk of padding. Null
@@ -24,26 +25,29 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from lodestore.llm.common import fresh, text_or_empty
+from lodestore.llm.common import fresh, stored, text_or_empty
 
 WIDTH, STRIDE, BLOCK, FILTERS = 8, 4, 256, 16
 #: Labelled rows learned from, at most; score from which a text is good.
 SAMPLE, CUT = 3000, 0.3
+#: Bytes of the texts learned from, at most, half of them for each label.
+SAMPLE_BYTES = 32 << 20
 #: Bytes back within which a repetition is marked; values of a marked or unmarked byte.
 LAGS, VALUES = range(3, 25), 512
+#: Zeros before each text: at least a filter's width and the largest lag with its four bytes.
+PAD = 32
 #: Bytes laid out at once.
 BATCH_BYTES = 1 << 20
 
 
 def layout(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """The texts in one row of marked bytes, each filled with zeros to whole blocks; the first block of each."""
-    sizes = np.array([max(1, -(-len(t) // BLOCK)) for t in texts])
+    """The texts in one row of marked bytes, each after PAD zeros and filled with zeros to whole blocks; the first block of each."""
+    sizes = np.array([-(-(PAD + len(t)) // BLOCK) for t in texts])
     first = np.concatenate([[0], np.cumsum(sizes)])
     out = np.zeros(int(first[-1]) * BLOCK + WIDTH, np.uint8)
     for t, at in zip(texts, first[:-1], strict=True):
-        out[at * BLOCK : at * BLOCK + len(t)] = np.frombuffer(t, np.uint8)
+        out[at * BLOCK + PAD : at * BLOCK + PAD + len(t)] = np.frombuffer(t, np.uint8)
     four = np.lib.stride_tricks.as_strided(out, (len(out) - 3, 4), (1, 1)).copy().view(np.uint32)[:, 0]
     again = np.zeros(len(out), bool)
     for lag in LAGS:
@@ -84,7 +88,7 @@ class Network:
         return np.hstack([mean, top]), data, first, best, blocks, from_next, chunks
 
     def scores(self, texts: list[bytes]) -> np.ndarray:
-        x = self.pooled(texts)[0] @ self.weights + self.shift
+        x = (self.pooled(texts)[0] * self.weights).sum(1) + self.shift  # a matrix product's rounding depends on the number of rows
         return 1 / (1 + np.exp(-np.clip(x.astype(np.float64), -30, 30)))
 
 
@@ -145,16 +149,21 @@ def _gradients(net: Network, texts: list[bytes], labels: np.ndarray) -> dict[str
 
 
 def sample(docs: DataFrame, labels: DataFrame, learn_from: Column, label_col: str, id_col: str, text_col: str, most: int) -> tuple[list[bytes], np.ndarray, float]:
-    """Texts and labels of at most ``most`` rows, half of them of each label where there are enough, chosen by a hash of
-    the id; the share of label 1 among all that may be learned from."""
+    """Texts and labels of at most ``most`` rows, half of them of each label where there are enough, the first by a hash of
+    the id; the share of label 1 among all that may be learned from. Of rows with one id the smallest text counts."""
     known = labels.where(learn_from & F.col(id_col).isNotNull() & F.col(label_col).isin(0, 1)).select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label"))
-    by_hash = Window.partitionBy("label").orderBy(F.xxhash64("id"), "id")
-    chosen = known.withColumn("rank", F.row_number().over(by_hash)).where(F.col("rank") <= most // 2).drop("rank")
-    rows = docs.select(F.col(id_col).alias("doc"), text_or_empty(text_col).alias("text"))
-    got = rows.join(F.broadcast(chosen), F.col("doc") == F.col("id")).select("id", "text", "label").limit(2 * most).collect()
-    got.sort(key=lambda x: (str(x.id), x.label, x.text))
+    halves = [known.where(F.col("label") == x).orderBy(F.xxhash64("id"), "id").limit(most // 2) for x in (0, 1)]
+    chosen = halves[0].unionByName(halves[1]).distinct()
+    rows = docs.select(F.col(id_col).alias("doc"), text_or_empty(text_col).alias("text")).join(F.broadcast(chosen), F.col("doc") == F.col("id"))
+    rows = stored(rows.groupBy("id", "label").agg(F.min("text").alias("text")), "sample")
+    left, kept = {0: SAMPLE_BYTES // 2, 1: SAMPLE_BYTES // 2}, {}
+    for x in sorted(rows.select("id", "label", F.octet_length("text").alias("bytes"), F.xxhash64("id").alias("hash")).collect(), key=lambda x: (x.hash, str(x.id))):
+        left[x.label] -= x.bytes
+        if left[x.label] >= 0:
+            kept[x.id, x.label] = len(kept)
+    got = sorted(((kept[x.id, x.label], x.text.encode(), x.label) for x in rows.toLocalIterator() if (x.id, x.label) in kept), key=lambda x: x[0])
     share = known.agg(F.avg("label")).first()[0]
-    return [x.text.encode() for x in got], np.array([x.label for x in got], np.float32), 0.5 if share is None else share
+    return [t for _, t, _ in got], np.array([y for _, _, y in got], np.float32), 0.5 if share is None else share
 
 
 def learn(docs: DataFrame, labels: DataFrame, learn_from: Column, label_col: str = "quality", id_col: str = "doc_id", text_col: str = "text", most: int = SAMPLE) -> Network:
