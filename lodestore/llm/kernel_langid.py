@@ -24,11 +24,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from lodestore.llm.common import fresh
+from lodestore.llm.common import fresh, stored
 
 #: Texts of a language learned from, landmarks of a language and languages, at most.
 PER_LANG, LANDMARKS, LANGS = 150, 24, 200
 RIDGE = 1e-2
+#: Bytes of the texts learned from, at most, but for one text of each language.
+SAMPLE_BYTES = 64 << 20
 #: Rows of a batch; bytes looked at in one go.
 ROWS, PIECE = 64, 1 << 20
 SPANS = (0, 256, 256 + 65536)
@@ -111,13 +113,20 @@ def learn(docs: DataFrame, learn_from: Column, lang_col: str = "lang", text_col:
     """The model of the texts of docs where learn_from, a condition on its columns, holds."""
     known = docs.where(learn_from & F.col(lang_col).isNotNull() & (F.octet_length(text_col) > 0))
     known = known.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
-    # keys first: the window carries hashes, not texts
+    # keys first: the window carries hashes, and of those only about four times as many as are taken
     keys = known.select("lang", F.xxhash64("text").alias("h")).distinct()
-    chosen = keys.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy("h"))).where(F.col("rank") <= per_lang).orderBy("rank", "lang").limit(LANGS * per_lang)
-    texts = known.withColumn("h", F.xxhash64("text")).join(F.broadcast(chosen.select("lang", "h")), ["lang", "h"])
-    rows = texts.groupBy("lang", "h").agg(F.first("text").alias("text")).collect()
-    rows.sort(key=lambda x: (x.lang, x.h))
-    return fit([x.text.encode() for x in rows], [x.lang for x in rows])
+    many = known.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    least = keys.join(many, "lang").where((F.col("h").cast("double") / 2.0**64 + 0.5) * F.col("n") <= 4 * per_lang).select("lang", "h")
+    chosen = least.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy("h"))).where(F.col("rank") <= per_lang).orderBy("rank", "lang").limit(LANGS * per_lang)
+    texts = known.withColumn("h", F.xxhash64("text")).join(F.broadcast(chosen), ["lang", "h"])
+    rows = stored(texts.groupBy("lang", "h").agg(F.min("rank").alias("rank"), F.min("text").alias("text")), "sample")
+    left, kept = SAMPLE_BYTES, set()
+    for x in sorted(rows.select("lang", "h", "rank", F.octet_length("text").alias("bytes")).collect(), key=lambda x: (x.rank, x.lang)):
+        left -= x.bytes
+        if left >= 0 or x.rank == 1:
+            kept.add((x.lang, x.h))
+    got = sorted((x.lang, x.h, x.text) for x in rows.toLocalIterator() if (x.lang, x.h) in kept)
+    return fit([t.encode() for _, _, t in got], [lang for lang, _, _ in got])
 
 
 def predict(docs: DataFrame, model: Model | None, text_col: str = "text", lang_col: str = "lang_pred", score_col: str = "score") -> DataFrame:
