@@ -7,8 +7,9 @@ lays out from a seed in many layouts, by gradient steps on forward-backward
 marginals, and decoded by Viterbi; blocks labelled main text are joined in page order.
 
 Character references are decoded, white space in a block becomes one space, and nothing else is
-dropped or cut. Defined results: null, empty and text-free pages give an empty text. Tags cut off by
-the end of the page are markup; elements left open end with the page. Repeated rows are alike.
+dropped or cut. End tags that HTML lets be left out may be; controls of forms hold no text. Defined
+results: null, empty and text-free pages give an empty text. A tag cut off by the end of the page, a name with
+attributes, is markup; elements left open end with the page. Repeated rows are alike.
 """
 
 from __future__ import annotations
@@ -29,13 +30,14 @@ from pyspark.sql import functions as F
 
 #: HTML's void elements, elements whose text is no text of the page, and block-level elements.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-SILENT = frozenset("script style noscript template svg math iframe object head title canvas audio video".split())
+SILENT = frozenset("script style noscript template svg math iframe object head title canvas audio video select textarea datalist button".split())
+HEAD_ONLY = frozenset("base basefont bgsound link meta title style script noscript template".split())
 BLOCKS = frozenset(
     "html body main article section nav aside header footer div p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd table thead tbody tfoot tr td th caption "
     "blockquote pre form fieldset legend figure figcaption address details summary dialog menu hr center button option select textarea label".split()
 )
 #: What the start of an element ends, if open: as in HTML's rules of optional tags.
-ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
+ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}} | dict.fromkeys(("thead", "tbody", "tfoot"), {"thead", "tbody", "tfoot", "tr", "td", "th", "caption"})
 SCOPES = frozenset("ul ol dl table div article section main body html form nav aside header footer select blockquote".split())
 #: Places of features.
 PLACES = 1 << 13
@@ -77,6 +79,10 @@ class _Tree(HTMLParser):
         self.silent -= tag in SILENT
 
     def handle_starttag(self, tag: str, attrs: list) -> None:
+        if tag == "body":
+            self.close("title")
+        if self.open["head"] and tag not in HEAD_ONLY and not self.open["noscript"] and not self.open["template"]:
+            self.close("head")  # its end tag may be left out
         if tag in BLOCKS:
             self.flush()
             if self.open["p"] and tag not in ("label", "button", "option", "select", "textarea"):
@@ -120,18 +126,28 @@ class _Tree(HTMLParser):
         self.close(tag)
 
     def handle_data(self, data: str) -> None:
+        if self.silent and self.stack[-1][0] == "head" and data.strip():
+            self.close("head")
         if not self.silent:
             self.text.append(data)
             if self.open["a"]:
                 self.linked += len(data.strip())
 
 
-_CUT_OFF = re.compile(r"<[a-zA-Z/!][^<>]*\Z")
+_LAST = re.compile(r"<([a-zA-Z/!][^<>]*)\Z")
+
+
+def _ended(html: str) -> str:
+    """html without a tag that its end cuts off; what is no such tag, as words without values follow its name, stays as text."""
+    if not (m := _LAST.search(html)):
+        return html
+    tag = all("=" in x for x in re.sub(r"""(["'])[^"']*(\1|\Z)""", "", m[1]).split()[1:-1])
+    return html[: m.start()] + ("" if tag else "&lt;" + m[1])
 
 
 def leaf_blocks(html: str) -> list[Block]:
     tree = _Tree()
-    tree.feed(_CUT_OFF.sub("", html))
+    tree.feed(_ended(html))
     tree.close()
     return tree.blocks
 
