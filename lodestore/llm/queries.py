@@ -63,7 +63,7 @@ def op9_html_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_curriculum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return curriculum.plan(_table(spark, sf_dir, "documents")).withColumn("target", F.round("target", 6))
+    return curriculum.plan(_table(spark, sf_dir, "documents")).withColumns({"target": F.round("target", 6), "position": F.round("position", 6)})
 
 
 QUERIES = {
@@ -102,7 +102,7 @@ ORACLE_SQL = {
         FROM r""",
     "op10_curriculum_mix": r"""
         WITH d AS (
-            SELECT doc_id, source, text, md5('mix:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS place,
+            SELECT doc_id, source, text, md5('mix:' || coalesce(CAST(doc_id AS VARCHAR), '') || ':' || md5(coalesce(text, ''))) AS place,
                    CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size
             FROM documents),
         s AS (
@@ -117,14 +117,17 @@ ORACLE_SQL = {
                       / sum(weight) OVER (ORDER BY ratio, source NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level
             FROM c),
         t AS (
-            SELECT source, source_size,
+            SELECT source, source_size, weight,
+                   CASE weight WHEN 1 THEN 1.5 WHEN 2 THEN 1.0 ELSE 4.0 END AS a, CASE weight WHEN 1 THEN 0.5 WHEN 2 THEN 3.0 ELSE 2.0 END AS b,
                    CAST(least(cap, weight * (SELECT max(level) FROM l WHERE level <= ratio)) AS DOUBLE) AS target
             FROM l),
         p AS (
-            SELECT d.*, t.source_size, t.target,
+            SELECT d.*, t.source_size, t.target, weight, a, b,
                    coalesce(sum(size) OVER (PARTITION BY d.source ORDER BY place, doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) + size / 2 AS middle
             FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)
         SELECT doc_id, size, source_size, round(target, 6) AS target,
+               CASE WHEN size > 0 AND middle < target THEN
+                   round(2 * weight * middle / target / (a + sqrt(a * a + 2 * (b - a) * weight * middle / target)), 6) END AS position,
                CAST(size * (CAST(middle < target AS INT) + CAST(source_size + middle < target AS INT) + CAST(2 * source_size + middle < target AS INT)) AS BIGINT) AS taken
         FROM p""",
 }
