@@ -2,7 +2,7 @@
 
 Unit vectors are quantised to int8 with one scale each; the norm of what is lost bounds, per
 vector, how far a quantised product may lie from the cosine. Vectors are dealt into tiles
-by hash, and each pair of tiles is one group: a product of the int8 matrices rules out
+by hash, and each pair of tiles is one group: a product of the matrices of int8 codes, scaled afterwards, rules out
 all pairs that the bound keeps below the threshold, and only the others are recomputed in
 double precision. A group returns a row per linked vector, its links and the smallest
 id it reaches there, never the pairs; components follow from those rows.
@@ -10,7 +10,7 @@ id it reaches there, never the pairs; components follow from those rows.
 All pairs are compared, so work grows with the square of the vectors; a tile pair's memory
 doesn't grow. Defined results: vectors that are null, empty, zero or hold a null or
 non-finite component link with nothing, nor do vectors of different length or with a null
-id. Rows repeated with one id are separate vectors that link with each other.
+id, which are kept. Rows repeated with one id are separate vectors that link with each other.
 """
 
 from __future__ import annotations
@@ -19,6 +19,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -28,6 +30,8 @@ from lodestore.llm.components import components
 THRESHOLD = 0.9
 #: Vectors of a tile; rows of a block of products.
 TILE, BLOCK = 4096, 256
+#: Different lengths of vectors up to which their table is broadcast; tasks that pairs of tiles are dealt to, at most.
+LENGTHS, MOST_TASKS = 1 << 16, 1 << 16
 
 
 def quantise(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -45,15 +49,14 @@ def _unit(raw: np.ndarray) -> np.ndarray:
 def linked_blocks(x: np.ndarray, y: np.ndarray, threshold: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Indices of the pairs of unit vectors with cosine >= threshold, block by block of x."""
     (qx, sx, ex), (qy, sy, ey) = quantise(x), quantise(y)
-    n = x.shape[1]
-    kind = np.float32 if n * 127 * 127 < 1 << 24 else np.float64
-    a, b = qx.astype(kind) * sx[:, None].astype(kind), (qy.astype(kind) * sy[:, None].astype(kind)).T.copy()
-    slack = (n + 8) * 2.0**-22  # of scaled products in single precision
-    worst = ey.max()
+    # sums of products of codes are whole numbers, which these kinds hold exactly
+    kind = np.float32 if x.shape[1] * 127 * 127 < 1 << 24 else np.float64
+    codes, worst, inverse = qy.T.astype(kind), ey.max(), 1 / sy
     for at in range(0, len(x), BLOCK):
         e = ex[at : at + BLOCK]
-        floor = (threshold - (e * (1 + worst) + worst * (1 + e) + e * worst) - slack).astype(kind)
-        i, j = np.nonzero(a[at : at + BLOCK] @ b >= floor[:, None])
+        floor = threshold - (e * (1 + worst) + worst * (1 + e) + e * worst) - 1e-6  # the least cosine of scaled codes, and a margin for the rounding of the next line
+        need = ((floor / sx[at : at + BLOCK])[:, None] * inverse).astype(kind)
+        i, j = np.nonzero(qx[at : at + BLOCK].astype(kind) @ codes >= need)
         for k in range(0, len(i), 1 << 16):
             ii, jj = i[k : k + (1 << 16)] + at, j[k : k + (1 << 16)]
             sure = np.einsum("ij,ij->i", x[ii], y[jj]) >= threshold
@@ -72,6 +75,24 @@ def local_labels(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
             return label
 
 
+def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """id, row and the vector's components as bytes; null for vectors that link with nothing."""
+    for b in batches:
+        lists = b.column(2)
+        sizes = lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+        ends = np.concatenate([[0], np.cumsum(sizes)])
+        flat = lists.flatten()
+        x = flat.fill_null(float("nan")).to_numpy(zero_copy_only=False)
+        square = np.zeros(len(lists))
+        if some := np.flatnonzero(sizes).tolist():
+            with np.errstate(over="ignore", invalid="ignore"):
+                square[some] = np.add.reduceat(x.astype(np.float64) ** 2, ends[some])
+        good = np.isfinite(square) & (square > 0)
+        raw = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(lists), [None, pa.py_buffer((ends * x.itemsize).astype(np.int64)), pa.py_buffer(np.ascontiguousarray(x))])
+        raw = pc.if_else(pa.array(good), raw, pa.scalar(None, pa.large_binary())).cast(pa.binary())
+        yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), raw], names=["id", "row", "raw"])
+
+
 def _tile_pair(threshold: float, kind: str):
     def linked(table: pd.DataFrame) -> pd.DataFrame:
         t = table.sort_values(["id", "row"], kind="stable")  # so that the smallest place is the smallest id
@@ -101,26 +122,20 @@ def near_copies(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embe
     kind = "<f8" if double else "<f4"
     rows = vectors.select(F.col(id_col).alias("id"), F.col(vec_col).alias("v")).withColumn("row", F.monotonically_increasing_id())
 
-    def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            raw = []
-            for v in b.v:
-                x = None if v is None else np.array([np.nan if c is None else c for c in v], kind)
-                good = x is not None and len(x) > 0 and np.isfinite(x).all()
-                good = good and 0 < np.linalg.norm(x.astype(np.float64)) < np.inf
-                raw.append(x.tobytes() if good else None)
-            yield pd.DataFrame({"id": b.id, "row": b.row, "raw": raw})
-
-    packed = stored(rows.mapInPandas(pack, f"id {id_type}, row long, raw binary"), "vectors")
+    packed = rows.select("id", "row", F.col("v").cast(f"array<{'double' if double else 'float'}>").alias("v"))
+    packed = stored(packed.mapInArrow(_pack, f"id {id_type}, row long, raw binary"), "vectors")
     good = packed.where(F.col("raw").isNotNull() & F.col("id").isNotNull()).withColumn("bytes", F.octet_length("raw"))
-    sizes = good.groupBy("bytes").agg(F.ceil(F.count(F.lit(1)) / tile).cast("int").alias("tiles"))
-    dealt = good.join(sizes, "bytes").withColumn("tile", F.pmod(F.xxhash64("row"), F.col("tiles")).cast("int"))
-    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
+    sizes = stored(good.groupBy("bytes").agg(F.ceil(F.count(F.lit(1)) / tile).cast("long").alias("tiles")), "sizes")
+    lengths, pairs = sizes.agg(F.count(F.lit(1)), F.sum(F.col("tiles") * (F.col("tiles") + 1) / 2)).first()
+    dealt = good.join(F.broadcast(sizes) if lengths <= LENGTHS else sizes, "bytes").withColumn("tile", F.pmod(F.xxhash64("row"), F.col("tiles")))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("tiles") - 1)))
     dealt = dealt.withColumns({"lo": F.least("tile", "other"), "hi": F.greatest("tile", "other")})
-    found = dealt.select("bytes", "lo", "hi", "tile", "id", "row", "raw").groupBy("bytes", "lo", "hi").applyInPandas(_tile_pair(threshold, kind), f"row long, id {id_type}, links long, root {id_type}")
+    # a number of partitions by the work, as sizes in bytes say little about it
+    dealt = dealt.select("bytes", "lo", "hi", "tile", "id", "row", "raw").repartition(int(min(max(2 * (pairs or 0), 1), MOST_TASKS)), "bytes", "lo", "hi")
+    found = dealt.groupBy("bytes", "lo", "hi").applyInPandas(_tile_pair(threshold, kind), f"row long, id {id_type}, links long, root {id_type}")
     found = stored(found, "links")
     reached = components(found.select(F.col("id").alias("a"), F.col("root").alias("b")))
     links = found.groupBy("row").agg(F.sum("links").alias("n"))
     out = packed.select("id", "row").join(links, "row", "left").join(reached, F.col("id") == F.col("node"), "left")
     comp = F.coalesce("component", "id")
-    return out.select(F.col("id").alias(id_col), F.coalesce("n", F.lit(0)).cast("long").alias("n_links"), comp.alias("component_id"), (F.col("id") == comp).alias("kept"))
+    return out.select(F.col("id").alias(id_col), F.coalesce("n", F.lit(0)).cast("long").alias("n_links"), comp.alias("component_id"), F.coalesce(F.col("id") == comp, F.lit(True)).alias("kept"))
