@@ -41,29 +41,64 @@ MARKERS: dict[str, tuple[str, ...]] = {
         r"i'm scared", r"i love you", r"i'm sorry", r"i can't", r"i wish", r"i miss", r"i need", r"never told anyone", r"nobody knows", r"\*[^*]+\*",
     ),
 }
-RESOLVED = r"\b(fixed|solved|resolved|patched|got it working|it works|nailed it|figured (it )?out|the (fix|answer|solution))\b"
+# What a problem that is over says, words of a good and of a bad mood, the starts of a turn, and lines that are code.
+RESOLVED: tuple[str, ...] = (
+    r"\bfixed\b", r"\bsolved\b", r"\bresolved\b", r"\bpatched\b", r"\bgot it working\b", r"\bit works\b", r"\bnailed it\b",
+    r"\bfigured (it )?out\b", r"\bthe (fix|answer|solution)\b",
+)
 POSITIVE = ("pride", "proud", "joy", "happy", "love", "loving", "beautiful", "amazing", "wonderful", "incredible", "fantastic", "brilliant", "perfect", "excited", "thrilled", "grateful", "warm", "breakthrough", "success", "works", "working", "solved", "fixed", "nailed", "heart", "hug", "precious", "adore")
 NEGATIVE = ("bug", "error", "crash", "crashing", "crashed", "fail", "failed", "failing", "failure", "broken", "broke", "breaking", "breaks", "issue", "problem", "wrong", "stuck", "blocked", "unable", "impossible", "missing", "terrible", "horrible", "awful", "worse", "worst", "panic", "disaster", "mess")
+TURNS: tuple[str, ...] = (r">\s", r"(?i:human|user|q)\s*:", r"(?i:assistant|ai|a|claude|chatgpt)\s*:")
+CODE: tuple[str, ...] = (
+    r"^[\$#]\s",
+    r"^(cd|source|echo|export|pip|npm|git|python|bash|curl|wget|mkdir|rm|cp|mv|ls|cat|grep|find|chmod|sudo|brew|docker)\s",
+    r"^(import|from|def|class|function|const|let|var|return)\s",
+    r"^[A-Z_]{2,}=",
+    r"^\|",
+    r"^[-]{2,}",
+    r"^[{}\[\]]\s*$",
+    r"^(if|for|while|try|except|elif|else:)\b",
+    r"^\w+\.\w+\(",
+    r"^\w+ = \w+\.\w+",
+)
 LEAST_CHARS, LEAST_CONFIDENCE = 20, 0.3
+#: Share of letters below which a line is code, if it has more characters than that.
+CODE_LETTERS, CODE_CHARS = 0.4, 10
 
 
 def segments(text: Column) -> Column:
-    """Paragraphs; a text of one paragraph and over 20 lines in groups of 25 lines; one with three or more speakers' turns by turns."""
-    turn = r"(?im)^(?:> |(?:human|user|q|assistant|ai|a|claude|chatgpt)\s*:)"
-    by_turn = F.split(text, r"(?im)\n(?=> |(?:human|user|q|assistant|ai|a|claude|chatgpt)\s*:)")
-    paras = F.filter(F.transform(F.split(text, r"\n\s*\n"), strip), lambda p: p != "")
+    """A text with three or more speakers' turns by turns; else paragraphs; a text of one paragraph and over 20 lines in groups of 25 lines."""
+    turn = rf"[^\S\n]*(?:{'|'.join(TURNS)})[^\S\n]*"
+    by_turn = F.split(text, rf"\n(?={turn})")
+    paras = F.filter(F.transform(F.split(text, "\n\n"), strip), lambda p: p != "")
     lines = F.split(text, "\n")
-    grouped = F.transform(F.sequence(F.lit(0), F.floor((F.size(lines) - 1) / 25).cast("int")), lambda i: F.array_join(F.slice(lines, i * 25 + 1, 25), "\n"))
-    return F.when(F.regexp_count(text, F.lit(turn)) >= 3, by_turn).when((F.size(paras) <= 1) & (F.size(lines) > 21), grouped).otherwise(paras)
+    groups = F.transform(F.sequence(F.lit(0), F.floor((F.size(lines) - 1) / 25).cast("int")), lambda i: strip(F.array_join(F.slice(lines, i * 25 + 1, 25), "\n")))
+    grouped = F.filter(groups, lambda g: g != "")
+    return F.when(F.regexp_count(text, F.lit(rf"(?m)^{turn}")) >= 3, by_turn).when((F.size(paras) <= 1) & (F.size(lines) > 20), grouped).otherwise(paras)
 
 
-def score(prose: Column, kind: str) -> Column:
+def is_code(line: Column) -> Column:
+    """Whether a line, without white space around it, looks like code."""
+    letters = F.regexp_count(line, F.lit(r"\p{L}")) / F.greatest(F.char_length(line), F.lit(1))
+    few = (letters < CODE_LETTERS) & (F.char_length(line) > CODE_CHARS)
+    return F.exists(F.array(*[F.lit(c) for c in CODE]), lambda c: F.regexp_like(line, c)) | few
+
+
+def prose(text: Column) -> Column:
+    """The lines that aren't code, fenced or by their looks; the text itself if none is left."""
+    outside = F.filter(F.split(text, r"(?m)^[^\S\n]*```[^\n]*(?:\n|\z)"), lambda _, i: i % 2 == 0)  # fences alternate
+    lines = F.filter(F.split(F.array_join(outside, ""), "\n"), lambda line: ~is_code(strip(line)))
+    left = strip(F.array_join(lines, "\n"))
+    return F.when(left != "", left).otherwise(text)
+
+
+def score(text: Column, kind: str) -> Column:
     """Matches of all markers. Inside a lambda, as so many patterns are too much for one generated method."""
-    return F.get(F.transform(F.array(F.lower(prose)), lambda low: sum((F.regexp_count(low, F.lit(m)) for m in MARKERS[kind]), F.lit(0))), F.lit(0))
+    return F.get(F.transform(F.array(F.lower(text)), lambda low: sum((F.regexp_count(low, F.lit(m)) for m in MARKERS[kind]), F.lit(0))), F.lit(0))
 
 
-def _sentiment(prose: Column) -> Column:
-    words = F.array_distinct(F.regexp_extract_all(F.lower(prose), F.lit(r"(?U)\w+"), F.lit(0)))
+def _sentiment(text: Column) -> Column:
+    words = F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(r"(?U)\w+"), F.lit(0)))
     has = lambda names: F.size(F.array_intersect(words, F.array(*[F.lit(n) for n in names])))
     return has(POSITIVE) - has(NEGATIVE)
 
@@ -72,7 +107,9 @@ def classified(rows: DataFrame, text_col: str = "content") -> DataFrame:
     """rows with memory_type (null if none) and confidence."""
     c = F.col(text_col)
     kinds = list(MARKERS)
-    scored = rows.withColumns({f"_{k}": score(c, k) for k in kinds} | {"_mood": _sentiment(c)})
+    said = rows.withColumn("_prose", prose(c))
+    p = F.col("_prose")
+    scored = said.withColumns({f"_{k}": score(p, k) for k in kinds} | {"_mood": _sentiment(p)})
     most = F.greatest(*[F.col(f"_{k}") for k in kinds])
     first = F.when(most == 0, None)
     for k in kinds:
@@ -80,17 +117,20 @@ def classified(rows: DataFrame, text_col: str = "content") -> DataFrame:
     bonus = F.when(F.char_length(c) > 500, 2).when(F.char_length(c) > 200, 1).otherwise(0)
     scored = scored.withColumns({"_first": first, "confidence": F.least(F.lit(1.0), (most + bonus) / 5.0)})
     happy = F.col("_mood") > 0
-    solved = F.regexp_like(F.lower(c), F.lit(RESOLVED))
+    solved = F.exists(F.array(*[F.lit(x) for x in RESOLVED]), lambda x: F.regexp_like(F.lower(p), x))
     problem = F.col("_first") == "problem"
     kind = (
         F.when(problem & solved & (F.col("_emotional") > 0) & happy, "emotional").when(problem & solved, "milestone")
         .when(problem & happy & (F.col("_milestone") > 0), "milestone").when(problem & happy & (F.col("_emotional") > 0), "emotional").otherwise(F.col("_first"))
     )
     kept = (F.char_length(strip(c)) >= LEAST_CHARS) & (F.col("confidence") >= LEAST_CONFIDENCE)
-    return scored.withColumn("memory_type", F.when(kept, kind)).drop(*[f"_{k}" for k in kinds], "_mood", "_first")
+    return scored.withColumn("memory_type", F.when(kept, kind)).drop(*[f"_{k}" for k in kinds], "_mood", "_first", "_prose")
 
 
 def extract(docs: DataFrame, id_col: str = "id", text_col: str = "text") -> DataFrame:
     """id, segment, content, memory_type, confidence of the segments that hold a memory."""
     parts = docs.select(id_col, F.posexplode(segments(F.coalesce(F.col(text_col), F.lit("")))).alias("segment", "content"))
-    return classified(parts).where(F.col("memory_type").isNotNull())
+    rows = classified(parts).withColumn("content", strip("content"))
+    # exploded, not filtered: Spark would put the whole of the type's expression, with all that it repeats, into the filter
+    kind = F.explode(F.when(F.col("memory_type").isNotNull(), F.array("memory_type")))
+    return rows.select(id_col, "segment", "content", "confidence", kind.alias("memory_type"))

@@ -78,11 +78,13 @@ def add_triples(triples: DataFrame, entities: DataFrame, new: DataFrame) -> tupl
     """new (subject, predicate, object as names; valid_from, valid_to) into the graph; unknown entities are created.
 
     A fact that stands open already isn't added, whatever the new one's dates; of equal open facts in new the
-    first by valid_from is, of equal closed ones each span.
+    first by valid_from is, of equal closed ones each span that isn't stored yet.
     """
     n = new.select(F.col("subject").alias("s_name"), F.col("object").alias("o_name"), slug("subject").alias("subject"), predicate_name("predicate").alias("predicate"), slug("object").alias("object"), "valid_from", "valid_to")
     stands = triples.where(F.col("valid_to").isNull()).select("subject", "predicate", "object")
     fresh = n.join(stands, ["subject", "predicate", "object"], "left_anti")
+    closed = triples.where(F.col("valid_to").isNotNull()).select(*[F.col(x).alias(f"was_{x}") for x in ("subject", "predicate", "object", "valid_from", "valid_to")])
+    fresh = fresh.join(closed, [F.col(x).eqNullSafe(F.col(f"was_{x}")) for x in ("subject", "predicate", "object", "valid_from", "valid_to")], "left_anti")
     span = F.when(F.col("valid_to").isNull(), F.lit("open")).otherwise(F.concat_ws("|", F.coalesce("valid_from", F.lit("")), "valid_to"))
     once = Window.partitionBy("subject", "predicate", "object", "span").orderBy(F.col("valid_from").asc_nulls_first(), "s_name", "o_name")
     fresh = fresh.withColumn("span", span).withColumn("k", F.row_number().over(once)).where(F.col("k") == 1).drop("k", "span")

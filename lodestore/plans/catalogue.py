@@ -76,7 +76,7 @@ def snippets(s, d):
 # --- vectors
 
 _COS = "1 - list_cosine_similarity(e.embedding::DOUBLE[], q.embedding::DOUBLE[])"
-_KNN = f"""WITH h AS (SELECT q.vec_id AS query_id, e.vec_id AS id, {_COS} AS d FROM embeddings e, embeddings q WHERE q.vec_id < 10 {{where}}),
+_KNN = f"""WITH h AS (SELECT q.vec_id AS query_id, e.vec_id AS id, {_COS} AS d FROM embeddings e, embeddings q WHERE q.vec_id % 50 = 0 {{where}}),
 r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(d, 9), id) AS rank FROM h)
 SELECT query_id, id, round(d, 6) AS distance, CAST(rank AS INT) AS rank FROM r WHERE rank <= {{k}}"""
 
@@ -108,7 +108,7 @@ def knn_single(s, d):
     return rows.withColumn("x", dist).orderBy(F.round("x", 9), "id").limit(10).select("query_id", "id", F.round("x", 6).alias("distance"))
 
 
-@query("SELECT q.vec_id AS query_id, e.vec_id AS id FROM embeddings e, embeddings q WHERE q.vec_id < 10 AND list_cosine_similarity(e.embedding::DOUBLE[], q.embedding::DOUBLE[]) >= 0.8995")
+@query("SELECT q.vec_id AS query_id, e.vec_id AS id FROM embeddings e, embeddings q WHERE q.vec_id % 50 = 0 AND list_cosine_similarity(e.embedding::DOUBLE[], q.embedding::DOUBLE[]) >= 0.8995")
 def check_duplicate(s, d):
     return vectors.duplicates(t.vectors(s, d), t.probes(s, d)).select("query_id", "id")
 
@@ -179,7 +179,7 @@ def hybrid_rank(s, d):
     return search.fused(_candidates(s, d)).select("query_id", "id", F.round("fused", 4).alias("fused"), "rank")
 
 
-@query("""WITH h AS (SELECT q.vec_id AS query_id, e.vec_id AS id, e.label AS source_file, 1 - list_cosine_similarity(e.embedding::DOUBLE[], q.embedding::DOUBLE[]) AS d FROM embeddings e, embeddings q WHERE q.vec_id < 10),
+@query("""WITH h AS (SELECT q.vec_id AS query_id, e.vec_id AS id, e.label AS source_file, 1 - list_cosine_similarity(e.embedding::DOUBLE[], q.embedding::DOUBLE[]) AS d FROM embeddings e, embeddings q WHERE q.vec_id % 50 = 0),
 a AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(d, 9), id) AS rank FROM h WHERE id % 2 = 0),
 c AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(d, 9), id) AS k FROM h WHERE id % 2 = 1),
 p AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(d, 9), source_file) AS place FROM c WHERE k <= 10),
@@ -204,22 +204,22 @@ def _turns(s, d):
 
 @query(f"""WITH c AS ({_CHUNKS}), n AS (SELECT source_file, count(*) AS total FROM c GROUP BY 1)
 SELECT h.source_file, h.chunk_index AS hit_index, md5(string_agg(c.document, chr(10) || chr(10) ORDER BY c.chunk_index, c.document)) AS text, n.total
-FROM c h JOIN c ON c.source_file = h.source_file AND abs(c.chunk_index - h.chunk_index) <= 1 JOIN n ON n.source_file = h.source_file WHERE h.chunk_index = 2 GROUP BY ALL""")
+FROM c h JOIN c ON c.source_file = h.source_file AND abs(c.chunk_index - h.chunk_index) <= 1 JOIN n ON n.source_file = h.source_file GROUP BY ALL""")
 def neighbor_expand(s, d):
     c = _turns(s, d)
-    return search.neighbours(c.where("chunk_index = 2"), c).withColumn("text", F.md5(F.col("text").cast("binary")))
+    return search.neighbours(c, c).withColumn("text", F.md5(F.col("text").cast("binary")))
 
 
-@query(f"""WITH c AS ({_CHUNKS}), h AS (SELECT source_file, document AS query FROM c WHERE chunk_index = 0),
-m AS (SELECT c.*, row_number() OVER (PARTITION BY c.source_file ORDER BY chunk_index) AS pos, count(*) OVER (PARTITION BY c.source_file) AS total,
+@query(f"""WITH c AS ({_CHUNKS}), h AS (SELECT source_file, chunk_index AS query_id, document AS query FROM c),
+m AS (SELECT c.*, query_id, row_number() OVER (PARTITION BY c.source_file, query_id ORDER BY chunk_index) AS pos, count(*) OVER (PARTITION BY c.source_file, query_id) AS total,
       len(list_filter(list_distinct({_TOK.format('query')}), lambda x: contains(lower(document), x))) AS found FROM c JOIN h USING (source_file)),
-b AS (SELECT *, first_value(pos) OVER (PARTITION BY source_file ORDER BY found DESC, pos) AS best FROM m)
-SELECT source_file, best - 1 AS best_index, total, md5(substr(string_agg(document, chr(10) || chr(10) ORDER BY pos), 1, 10000)) AS text FROM b WHERE abs(pos - best) <= 1 GROUP BY ALL""")
+b AS (SELECT *, first_value(pos) OVER (PARTITION BY source_file, query_id ORDER BY found DESC, pos) AS best FROM m)
+SELECT source_file, query_id, best - 1 AS best_index, total, md5(substr(string_agg(document, chr(10) || chr(10) ORDER BY pos), 1, 10000)) AS text FROM b WHERE abs(pos - best) <= 1 GROUP BY ALL""")
 def hydrate_best_chunk(s, d):
     c = _turns(s, d)
-    hits = c.where("chunk_index = 0").select("source_file", F.col("source_file").alias("query_id"), F.col("document").alias("query"))
+    hits = c.select("source_file", F.col("chunk_index").alias("query_id"), F.col("document").alias("query"))
     out = search.hydrate(hits, c).withColumn("text", F.md5(F.col("text").cast("binary")))
-    return out.select("source_file", F.col("best_index").cast("long").alias("best_index"), "total", "text")
+    return out.select("source_file", "query_id", F.col("best_index").cast("long").alias("best_index"), "total", "text")
 
 
 @query(_bm25_sql("1.5::DOUBLE") + r""", c AS (SELECT r.query_id, r.id, r.rank / 20.0 AS d, lower(x.text) AS doc, list_distinct(regexp_extract_all(lower(b.text), '[a-z]{3,}')) AS k
@@ -359,7 +359,7 @@ def graph_stats(s, d):
     return graph.stats(t.places(s, d))
 
 
-_ITEMS = "SELECT CAST(l_partkey AS VARCHAR) AS room, CAST(l_suppkey AS VARCHAR) AS wing FROM lineitem WHERE l_orderkey < 400"
+_ITEMS = "SELECT CAST(l_partkey AS VARCHAR) AS room, CAST(l_suppkey AS VARCHAR) AS wing FROM lineitem"
 
 
 @query(f"""WITH p AS ({_ITEMS}), w AS (SELECT DISTINCT room, wing FROM p), s AS (SELECT min(room) AS room FROM p),
@@ -447,12 +447,17 @@ def kg_stats(s, d):
     return kg.stats(t.facts(s, d), t.entities(s, d))
 
 
-@query(f"""WITH f AS ({_FACTS}), n AS (SELECT DISTINCT subject, predicate, object FROM f WHERE subject IN ('user_1', 'user_2'))
-SELECT (SELECT count(*) FROM f) + (SELECT count(*) FROM n WHERE (subject, predicate, object) NOT IN (SELECT (subject, predicate, object) FROM f WHERE valid_to IS NULL)) AS triples""")
-def kg_open_dedupe(s, d):
-    f = t.facts(s, d)
-    new = f.where(F.col("subject").isin("user_1", "user_2")).select("subject", "predicate", "object", F.lit(None).cast("string").alias("valid_from"), F.lit(None).cast("string").alias("valid_to"))
-    return kg.add_triples(f, t.entities(s, d), new)[0].agg(F.count(F.lit(1)).alias("triples"))
+# every fact again, open and with its own dates, and each closed one with another end besides
+@query(f"""WITH f AS ({_FACTS}), o AS (SELECT DISTINCT subject, predicate, object FROM f WHERE valid_to IS NULL),
+n AS (SELECT subject, predicate, object, NULL AS valid_from, NULL AS valid_to FROM f UNION SELECT subject, predicate, object, valid_from, valid_to FROM f WHERE valid_to IS NOT NULL
+      UNION SELECT subject, predicate, object, valid_from, '2031-01-01' FROM f WHERE valid_to IS NOT NULL)
+SELECT subject, predicate, object, valid_from, valid_to FROM f UNION ALL
+SELECT n.* FROM n WHERE (subject, predicate, object) NOT IN (SELECT (subject, predicate, object) FROM o) AND (valid_to IS NULL OR valid_to = '2031-01-01')""")
+def kg_add_batch(s, d):
+    f = t.facts(s, d).select("id", "subject", "predicate", "object", "valid_from", "valid_to")
+    none = F.lit(None).cast("string")
+    new = f.withColumns({"valid_from": none, "valid_to": none}).unionByName(f).unionByName(f.where("valid_to IS NOT NULL").withColumn("valid_to", F.lit("2031-01-01")))
+    return kg.add_triples(f, t.entities(s, d), new.drop("id"))[0].select("subject", "predicate", "object", "valid_from", "valid_to")
 
 
 @query(f"""WITH f AS ({_FACTS}), x AS (SELECT predicate, object FROM f WHERE subject = 'user_5' AND valid_to IS NULL ORDER BY predicate LIMIT 1)
@@ -463,20 +468,27 @@ def kg_invalidate(s, d):
     return kg.invalidate(f, "user 5", x.predicate if x else "", x.object if x else "", "2030-01-01").where("subject = 'user_5'").select("id", "valid_to")
 
 
-@query("""SELECT a.n_name AS mentioned, b.n_name AS known, levenshtein(lower(a.n_name), lower(b.n_name)) AS distance FROM nation a, nation b
-WHERE a.n_nationkey < 12 AND b.n_nationkey >= 12 AND levenshtein(lower(a.n_name), lower(b.n_name)) BETWEEN 1 AND 2""")
+# each nation's name without its first letter is mentioned
+@query("""SELECT DISTINCT substr(a.n_name, 2) AS mentioned, b.n_name AS known, levenshtein(lower(substr(a.n_name, 2)), lower(b.n_name)) AS distance FROM nation a, nation b
+WHERE lower(b.n_name) NOT IN (SELECT lower(substr(n_name, 2)) FROM nation) AND levenshtein(lower(substr(a.n_name, 2)), lower(b.n_name)) BETWEEN 1 AND 2""")
 def similar_names(s, d):
     n = t.table(s, d, "nation")
-    return kg.similar_names(n.where("n_nationkey < 12").select(F.col("n_name").alias("name")), n.select(F.col("n_name").alias("name"))).withColumn("distance", F.col("distance").cast("long"))
+    return kg.similar_names(n.select(F.expr("substr(n_name, 2)").alias("name")), n.select(F.col("n_name").alias("name"))).withColumn("distance", F.col("distance").cast("long"))
 
 
-@query("""SELECT n_nationkey AS id, 'relationship_mismatch' AS type FROM nation WHERE n_regionkey = 0""")
+# facts by region: another role, the same role ended, the same role open, the same role ending later, none
+@query("""SELECT n_nationkey AS id, CASE n_regionkey WHEN 0 THEN 'relationship_mismatch' ELSE 'stale_fact' END AS type,
+CASE n_regionkey WHEN 0 THEN 'cousin' ELSE 'brother' END AS fact FROM nation WHERE n_regionkey IN (0, 1)""")
 def claims_mismatch(s, d):
-    n = t.table(s, d, "nation").select(F.col("n_nationkey").alias("id"), F.concat(F.lit("N"), F.translate(F.lpad(F.col("n_nationkey").cast("string"), 2, "0"), "0123456789", "abcdefghij")).alias("x"), "n_regionkey")
-    texts = n.where("n_regionkey = 0").select("id", F.concat("x", F.lit(" is Alice's brother.")).alias("text"))
-    facts = n.select(kg.slug("x").alias("subject"), F.lit("cousin").alias("predicate"), F.lit("alice").alias("object"), F.lit(None).cast("string").alias("valid_from"), F.lit(None).cast("string").alias("valid_to"))
+    n = t.table(s, d, "nation").select(F.col("n_nationkey").alias("id"), F.concat(F.lit("N"), F.translate(F.lpad(F.col("n_nationkey").cast("string"), 2, "0"), "0123456789", "abcdefghij")).alias("x"), F.col("n_regionkey").alias("r"))
+    texts = n.select("id", F.when(F.col("id") % 2 == 0, F.concat("x", F.lit(" is Alice's brother."))).otherwise(F.concat(F.lit("Alice's Brother is "), "x")).alias("text"))
+    texts = texts.withColumn("text", F.replace("text", F.lit("Brother"), F.lit("brother")))
+    facts = n.where("r < 4").select(
+        kg.slug("x").alias("subject"), F.when(F.col("r") == 0, "cousin").otherwise("brother").alias("predicate"), F.lit("alice").alias("object"),
+        F.lit("2010-01-01").alias("valid_from"), F.when(F.col("r") == 1, "2020-01-01").when(F.col("r") == 3, "2025-01-01").alias("valid_to"),
+    )
     ents = n.select(kg.slug("x").alias("id"), F.col("x").alias("name")).unionByName(s.createDataFrame([("alice", "Alice")], "id string, name string"))
-    return kg.check_claims(kg.claims(texts), facts, ents, "2024-01-01").select("id", "type")
+    return kg.check_claims(kg.claims(texts), facts, ents, "2024-01-01").select("id", "type", "fact")
 
 
 # --- incremental and set-based writes
@@ -625,9 +637,42 @@ def decision_scores(s, d):
     return t.chunks(s, d).select("id", memories.score(F.col("document"), "decision").cast("long").alias("score"))
 
 
-@query()
+def _lit(x: str) -> str:
+    return "'" + x.replace("'", "''") + "'"
+
+
+_STRIP = r"regexp_replace({0}, '^\s+|\s+$', '', 'g')"
+_NOTES = "SELECT o_orderkey AS id, replace([" + ", ".join("E" + _lit(x.replace("\n", "\\n")) for x in t.NOTES) + f"][o_orderkey % {len(t.NOTES)} + 1], '{{}}', o_orderpriority) AS text FROM orders"
+
+
+def _memory_sql() -> str:
+    turn = rf"[^\S\n]*(?:{'|'.join(memories.TURNS)})"
+    kinds = list(memories.MARKERS)
+    count = {k: " + ".join(f"len(regexp_extract_all(low, {_lit(m)}))" for m in ms) for k, ms in memories.MARKERS.items()}
+    mood = lambda names: f"len(list_intersect(words, [{', '.join(map(_lit, names))}]))"
+    code = " OR ".join(f"regexp_matches({_STRIP.format('y')}, {_lit(c)})" for c in memories.CODE)
+    few = rf"(len(regexp_extract_all({_STRIP.format('y')}, '\p{{L}}')) / greatest(length({_STRIP.format('y')}), 1) < {memories.CODE_LETTERS} AND length({_STRIP.format('y')}) > {memories.CODE_CHARS})"
+    paras = f"list_filter(list_transform(string_split(text, chr(10) || chr(10)), lambda x: {_STRIP.format('x')}), lambda x: x <> '')"
+    groups = f"list_filter(list_transform(range(0, len(lines), 25), lambda i: {_STRIP.format('array_to_string(lines[i + 1:i + 25], chr(10))')}), lambda x: x <> '')"
+    first = " ".join(f"WHEN {k} = most THEN '{k}'" for k in kinds)
+    return rf"""WITH n AS ({_NOTES}), l AS (SELECT *, string_split(text, chr(10)) AS lines, {paras} AS paras FROM n),
+s AS (SELECT id, CASE WHEN len(regexp_extract_all(text, {_lit('(?m)^' + turn)})) >= 3 THEN string_split(regexp_replace(text, {_lit(chr(92) + 'n(' + turn + ')')}, chr(1) || '\1', 'g'), chr(1))
+      WHEN len(paras) <= 1 AND len(lines) > 20 THEN {groups} ELSE paras END AS parts FROM l),
+p AS (SELECT id, unnest(parts) AS content, generate_subscripts(parts, 1) - 1 AS segment FROM s),
+o AS (SELECT *, {_STRIP.format(r"array_to_string(list_filter(string_split(array_to_string(list_filter(string_split_regex(content, '(?m)^[^\S\n]*```[^\n]*(?:\n|\z)'), lambda x, i: i % 2 = 1), ''), chr(10)), lambda y: NOT (" + code + " OR " + few + ")), chr(10))")} AS kept FROM p),
+q AS (SELECT *, lower(CASE WHEN kept <> '' THEN kept ELSE content END) AS low FROM o), w AS (SELECT *, list_distinct(regexp_extract_all(low, '\w+')) AS words FROM q),
+c AS (SELECT id, segment, content, low, {mood(memories.POSITIVE)} - {mood(memories.NEGATIVE)} AS mood, {', '.join(f'{v} AS {k}' for k, v in count.items())} FROM w),
+m AS (SELECT *, greatest({', '.join(kinds)}) AS most, ({' OR '.join(f'regexp_matches(low, {_lit(x)})' for x in memories.RESOLVED)}) AS solved FROM c),
+f AS (SELECT *, CASE WHEN most = 0 THEN NULL {first} END AS first, least(1.0, (most + CASE WHEN length(content) > 500 THEN 2 WHEN length(content) > 200 THEN 1 ELSE 0 END) / 5.0) AS confidence FROM m)
+SELECT id, CAST(segment AS INT) AS segment, {_STRIP.format('content')} AS content, CAST(confidence AS DOUBLE) AS confidence,
+CASE WHEN first = 'problem' AND solved AND emotional > 0 AND mood > 0 THEN 'emotional' WHEN first = 'problem' AND solved THEN 'milestone' WHEN first = 'problem' AND mood > 0 AND milestone > 0 THEN 'milestone'
+     WHEN first = 'problem' AND mood > 0 AND emotional > 0 THEN 'emotional' ELSE first END AS memory_type
+FROM f WHERE first IS NOT NULL AND confidence >= 0.3 AND length({_STRIP.format('content')}) >= 20"""
+
+
+@query(_memory_sql())
 def memory_types(s, d):
-    return memories.extract(t.table(s, d, "conversations").select(F.concat_ws("-", "conv_id", "turn").alias("id"), "text"))
+    return memories.extract(t.notes(s, d)).select("id", "segment", "content", "confidence", "memory_type")
 
 
 @query(r"SELECT doc_id AS id, CAST(floor(len(regexp_extract_all(text, '\S+')) * 1.3) AS INT) AS tokens FROM documents")

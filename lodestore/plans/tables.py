@@ -54,4 +54,28 @@ def vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def probes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "embeddings").where("vec_id < 10").select(F.col("vec_id").alias("query_id"), "embedding")
+    """The query set of searches: every vector whose id is divisible by 50."""
+    return table(spark, sf_dir, "embeddings").where("vec_id % 50 = 0").select(F.col("vec_id").alias("query_id"), "embedding")
+
+
+def notes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """orders as notes, of which each kind holds markers, code or turns of its own."""
+    texts = F.array(*[F.lit(x) for x in NOTES])
+    return table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"), F.replace(F.element_at(texts, (F.col("o_orderkey") % len(NOTES) + 1).cast("int")), F.lit("{}"), F.col("o_orderpriority")).alias("text"))
+
+
+#: Texts of notes; {} is an order's priority.
+NOTES = (
+    "We decided to go with {} instead of the queue because the approach is simpler.\n\nIt finally works, we shipped version 2 of {} and deployed it.",
+    "There is a bug: the import keeps failing with an error, and {} crashed again.\n\nThe fix was a retry, so the bug is fixed and resolved for {}.",
+    "I prefer snake_case for {}. Please always use tabs, never use spaces.",
+    "I feel proud and happy, I love this {} and I am grateful.\n\nshort",
+    "$ git push origin because\nimport bug from error\nWe chose {} rather than the default, a better option.\n```\nbug = error.crash()\nfail because broken\n```\nThat is our strategy.",
+    "```\nbug = error.crash()\n```\n---\n",
+    "\n".join(f"Line {i} of {{}} says it works and we fixed what broke." for i in range(21)),
+    "\n".join(f"Line {i} of {{}} says it works and we fixed what broke." for i in range(20)),
+    "> why did {} fail and crash?\nBecause the bug is an error, it is broken.\n> did we solve the problem?\nWe solved it, it worked, finally {} is fixed and I am happy, I love it.\n> thanks, you are a wonderful help to us",
+    "Human: let's use {} and switch to the new stack.\nAssistant: I like when we always use one framework, don't use two.\nHuman: we decided on a strategy, it is the default.",
+    "| a | bug |\n| - | error |\n{} = 1.5 * 22.7 / 1000000000\nobj.call(error) bug\nNothing much to tell here about {} at all.",
+    "",
+)
