@@ -246,6 +246,38 @@ def quoted_name_boost(s, d):
     return t.table(s, d, "nation").select(F.col("n_nationkey").alias("id"), F.round(names * search.quoted_factor(q, doc), 6).alias("factor"))
 
 
+@query("""SELECT doc_id AS id, CASE WHEN doc_id % 3 = 0 THEN [] WHEN doc_id % 3 = 1 THEN ['a' || doc_id, 'b_' || doc_id] ELSE ['x' || doc_id, 'y'] END AS refs FROM documents""")
+def pointer_parse(s, d):
+    i = F.col("id").cast("string")
+    line = F.when(F.col("id") % 3 == 0, "topic||").when(F.col("id") % 3 == 1, F.concat(F.lit("topic|Name|→a"), i, F.lit(",b_"), i)).otherwise(F.concat(F.lit("one||→x"), i, F.lit("\ntwo|N|→y,x"), i))
+    return t.chunks(s, d).select("id", search.pointers(line).alias("refs"))
+
+
+@query(_KNN.format(where="", k=20).replace("SELECT query_id, id, round(d, 6) AS distance, CAST(rank AS INT) AS rank", "SELECT query_id, id, round(d * CASE WHEN (SELECT label FROM embeddings x WHERE x.vec_id = r.id) = query_id % 7 THEN 0.8 ELSE 1 END, 6) AS distance"))
+def room_soft_boost(s, d):
+    v = t.vectors(s, d)
+    hits = vectors.top_k(v, t.probes(s, d), 20).join(v.select("id", F.col("wing").alias("room")), "id")
+    return hits.select("query_id", "id", F.round(search.room_boost(F.col("distance"), F.col("room"), (F.col("query_id") % 7).cast("string")), 6).alias("distance"))
+
+
+@query("""WITH q AS (SELECT vec_id AS query_id FROM embeddings WHERE vec_id % 50 = 0), r AS (SELECT DISTINCT label AS room FROM embeddings), x AS (SELECT query_id, room, (query_id / 50 * 7 + room * 5) % 11 AS score FROM q, r),
+k AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, CAST(room AS VARCHAR)) AS place, count(*) OVER (PARTITION BY query_id) AS n FROM x)
+SELECT query_id, vec_id AS id FROM k JOIN embeddings ON label = room WHERE place <= greatest(2, floor(n / 3))""".replace("query_id / 50", "query_id // 50"))
+def room_hard_routing(s, d):
+    v = t.vectors(s, d).withColumnRenamed("wing", "room")
+    rooms = v.select("room").distinct()
+    scores = t.probes(s, d).select("query_id").join(F.broadcast(rooms.groupBy().agg(F.collect_set("room").alias("rooms")))).select("query_id", F.explode("rooms").alias("room"))
+    scores = scores.withColumn("score", F.expr("(query_id div 50 * 7 + CAST(room AS INT) * 5) % 11"))
+    return search.room_routed(scores, v, 2).select("query_id", "id")
+
+
+@query("SELECT doc_id AS id, CAST(unnest(range(0, 1 + doc_id % 3)) AS INT) AS entry, '## part ' || unnest(range(0, 1 + doc_id % 3)) || chr(10) || 'of ' || doc_id AS text FROM documents")
+def diary_entries(s, d):
+    part = F.transform(F.sequence(F.lit(0).cast("long"), F.col("id") % 3), lambda k: F.concat(F.lit("## part "), k.cast("string"), F.lit("\nof "), F.col("id").cast("string")))
+    days = t.chunks(s, d).select("id", F.concat(F.lit("# day\n"), F.array_join(part, "\n")).alias("text"))
+    return text.diary_entries(days).select("id", F.col("entry").cast("int").alias("entry"), "text")
+
+
 # --- counts and browsing
 
 
@@ -530,6 +562,53 @@ def drawer_ids(s, d):
     return collection.from_file(rows).select("doc_id", "id")
 
 
+def _drawers(s, d):
+    """Documents as stored chunks of two files a source."""
+    rows = t.chunks(s, d).select(F.concat_ws("/", "room", (F.col("id") % 2).cast("string")).alias("source_file"), F.col("id").cast("int").alias("chunk_index"), "wing", "room", "document", F.col("id").alias("doc_id"))
+    return collection.from_file(rows).withColumn("source_mtime", F.col("doc_id") % 2 + 0.5)
+
+
+_DRAWERS = """SELECT 'drawer_' || lang || '_' || source || '_' || substr(sha256(concat_ws('/', source, doc_id % 2) || doc_id), 1, 24) AS id, concat_ws('/', source, doc_id % 2) AS source_file,
+doc_id, CAST(doc_id % 2 + 0.5 AS DOUBLE) AS source_mtime, lang, source, text FROM documents"""
+
+
+@query(f"SELECT id, CASE WHEN doc_id % 3 = 0 THEN 'new ' || doc_id ELSE md5(text) END AS said FROM ({_DRAWERS}) UNION ALL SELECT 'other_' || doc_id, 'new ' || doc_id FROM documents WHERE doc_id % 5 = 0")
+def upsert_rows(s, d):
+    base = _drawers(s, d).select("id", "doc_id", F.md5(F.col("document").cast("binary")).alias("said"))
+    said = F.concat(F.lit("new "), F.col("doc_id").cast("string")).alias("said")
+    new = base.where("doc_id % 3 = 0").select("id", said).unionByName(base.where("doc_id % 5 = 0").select(F.concat(F.lit("other_"), F.col("doc_id").cast("string")).alias("id"), said))
+    return collection.upserted(base.drop("doc_id"), new)
+
+
+@query(f"SELECT source_file, doc_id FROM ({_DRAWERS}) WHERE doc_id % 2 = 0 UNION ALL SELECT DISTINCT source_file, -1 FROM ({_DRAWERS}) WHERE doc_id % 2 = 1")
+def replace_sources(s, d):
+    base = _drawers(s, d).select("source_file", "doc_id")
+    return collection.replaced_sources(base, base.where("doc_id % 2 = 1").select("source_file", F.lit(-1).cast("long").alias("doc_id")).distinct())
+
+
+@query("""SELECT 'drawer_' || lang || '_' || source || '_' || substr(sha256(lang || source || text), 1, 24) AS id, count(*) AS n FROM documents
+WHERE text NOT IN (SELECT text FROM documents WHERE doc_id % 4 = 0) OR (lang, source, text) NOT IN (SELECT (lang, source, text) FROM documents WHERE doc_id % 4 = 0) GROUP BY 1""")
+def tool_drawers(s, d):
+    rows = t.chunks(s, d).select("id", "wing", "room", "document")
+    stored = collection.from_tool(rows.where("id % 4 = 0").drop("id"), s.createDataFrame([], "id string"))
+    return collection.from_tool(rows.drop("id"), stored).groupBy("id").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(f"""WITH f AS (SELECT DISTINCT source_file FROM ({_DRAWERS})) SELECT source_file, CAST(m AS DOUBLE) AS source_mtime FROM (SELECT source_file, unnest([0.5, 1.5, 1.5005, 2.5]) AS m FROM f)
+WHERE NOT (m = 0.5 AND source_file LIKE '%/0' OR m IN (1.5, 1.5005) AND source_file LIKE '%/1')""")
+def stale_sources(s, d):
+    c = _drawers(s, d)
+    files = c.select("source_file").distinct().withColumn("source_mtime", F.explode(F.array(*[F.lit(x) for x in (0.5, 1.5, 1.5005, 2.5)])))
+    return collection.stale_sources(files, c)
+
+
+@query("SELECT 'user_' || user_id AS id, CASE WHEN user_id % 2 = 0 THEN 'USER ' || user_id ELSE 'User ' || user_id END AS name FROM (SELECT DISTINCT user_id FROM events) UNION ALL SELECT 'event_' || event_id, 'Event ' || event_id FROM events")
+def kg_upsert_entities(s, d):
+    e = t.entities(s, d)
+    new = e.where("id LIKE 'user%' AND CAST(substr(id, 6) AS INT) % 2 = 0").select(F.upper("name").alias("name"))
+    return kg.upsert_entities(e, new).select("id", "name")
+
+
 # --- quality
 
 
@@ -572,18 +651,41 @@ def near_dup_pairs(s, d):
 # --- text
 
 
+def _lit(x: str) -> str:
+    return "'" + x.replace("'", "''") + "'"
+
+
+_STRIP = r"regexp_replace({0}, '^\s+|\s+$', '', 'g')"
+
+
 @query(r"""SELECT doc_id AS id, len(list_filter(list_transform(str_split(text, chr(10) || chr(10)), lambda x: regexp_replace(x, '^\s+|\s+$', '', 'g')), lambda x: x <> '')) AS paragraphs FROM documents""")
 def paragraph_counts(s, d):
     c = F.filter(F.transform(F.split("document", "\n\n"), text.strip), lambda p: p != "")
     return t.chunks(s, d).select("id", F.size(c).cast("long").alias("paragraphs"))
 
 
-@query()
+_PARAS = f"list_filter(list_transform(string_split(text, chr(10) || chr(10)), lambda x: {_STRIP.format('x')}), lambda x: x <> '')"
+_GROUPS = f"list_transform(range(0, len(lines), 25), lambda i: {_STRIP.format('array_to_string(lines[i + 1:i + 25], chr(10))')})"
+
+
+@query(f"""WITH l AS (SELECT doc_id AS id, string_split(text, chr(10)) AS lines, {_PARAS} AS paras FROM documents),
+s AS (SELECT id, list_filter(CASE WHEN len(paras) <= 1 AND len(lines) > 21 THEN {_GROUPS} ELSE paras END, lambda x: length(x) > 30) AS parts FROM l)
+SELECT id, CAST(generate_subscripts(parts, 1) - 1 AS INT) AS chunk_index, unnest(parts) AS content FROM s""")
 def paragraph_chunks(s, d):
     return text.paragraph_chunks(t.chunks(s, d), "id", "document")
 
 
-@query()
+# a chunk's start depends on the end of the one before
+_CUT = "CASE WHEN pos + 800 >= n THEN n WHEN blank > 0 AND length(w) - blank - 1 > 400 THEN pos + length(w) - blank - 1 WHEN line > 0 AND length(w) - line > 400 THEN pos + length(w) - line ELSE pos + 800 END"
+
+
+@query(rf"""WITH RECURSIVE d AS (SELECT doc_id AS id, {_STRIP.format("coalesce(text, '')")} AS text FROM documents),
+c(id, text, n, pos, stop, step) AS (
+  SELECT id, text, length(text), CAST(0 AS BIGINT), CAST(0 AS BIGINT), 0 FROM d WHERE length(text) > 0 UNION ALL
+  SELECT id, text, n, CASE WHEN cut < n THEN cut - 100 ELSE cut END, cut, step + 1 FROM (SELECT *, {_CUT} AS cut FROM (
+    SELECT *, strpos(reverse(w), chr(10) || chr(10)) AS blank, strpos(reverse(w), chr(10)) AS line FROM (SELECT *, substr(text, pos + 1, 800) AS w FROM c WHERE pos < n)))),
+p AS (SELECT c.id, c.step, {_STRIP.format("substr(c.text, b.pos + 1, c.stop - b.pos)")} AS content FROM c JOIN (SELECT id, step + 1 AS step, pos FROM c) b ON b.id = c.id AND b.step = c.step)
+SELECT id, CAST(row_number() OVER (PARTITION BY id ORDER BY step) - 1 AS INT) AS chunk_index, content FROM p WHERE length(content) >= 50""")
 def fixed_chunks(s, d):
     return text.chunked(t.chunks(s, d), "id", "document")
 
@@ -637,11 +739,6 @@ def decision_scores(s, d):
     return t.chunks(s, d).select("id", memories.score(F.col("document"), "decision").cast("long").alias("score"))
 
 
-def _lit(x: str) -> str:
-    return "'" + x.replace("'", "''") + "'"
-
-
-_STRIP = r"regexp_replace({0}, '^\s+|\s+$', '', 'g')"
 _NOTES = "SELECT o_orderkey AS id, replace([" + ", ".join("E" + _lit(x.replace("\n", "\\n")) for x in t.NOTES) + f"][o_orderkey % {len(t.NOTES)} + 1], '{{}}', o_orderpriority) AS text FROM orders"
 
 
