@@ -189,6 +189,11 @@ def paragraph_chunks(docs: DataFrame, id_col: str = "id", text_col: str = "text"
     return docs.select(id_col, F.posexplode(F.filter(parts, lambda p: F.char_length(p) > least)).alias("chunk_index", "content"))
 
 
+def _bound(value: Column, body) -> Column:
+    """body(value) with value computed once."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def candidate_names(x: str | Column, window: int = 5000) -> Column:
     """Capitalised words in the first characters, in order, repeated as they are."""
     return F.filter(F.regexp_extract_all(F.substring(_c(x), 1, window), F.lit(r"(?U)\b([A-Z][a-z]{2,19})\b"), F.lit(1)), lambda w: ~w.isin(*NOT_NAMES))
@@ -198,7 +203,9 @@ def entity_tags(x: str | Column, known: Sequence[str] = (), most: int = 25) -> C
     """Known names in the text, and candidates that stand there twice and more; in order, joined by semicolons."""
     c = _c(x)
     words = candidate_names(c)
-    often = F.filter(F.array_distinct(words), lambda w: F.size(F.filter(words, lambda v: v == w)) >= 2)
+    # in order, the second of equal ones
+    second = lambda a: F.filter(a, lambda w, i: F.coalesce(F.get(a, i - 1) == w, F.lit(False)) & ~F.coalesce(F.get(a, i - 2) == w, F.lit(False)))
+    often = _bound(F.sort_array(words), second)
     found = [F.when(F.regexp_like(c, F.lit(rf"(?U)(?<!\w)\Q{k}\E(?!\w)")), F.lit(k)) for k in known]
     all_ = F.array_union(often, F.filter(F.array(*found), lambda w: w.isNotNull())) if found else often
     return F.array_join(F.slice(F.sort_array(all_), 1, most), ";")
@@ -208,9 +215,11 @@ def index_lines(chunks: DataFrame) -> DataFrame:
     """chunks (source_file, content, wing, room, chunk_ids) as lines topic|entities|→ids: topics, headers and quotes, at least one line."""
     c = F.substring("content", 1, 5000)
     words = candidate_names(F.col("content"))
-    count = lambda w: F.size(F.filter(words, lambda v: v == w))
-    # by count, then by place of first occurrence
-    ranked = F.array_sort(F.transform(F.filter(F.array_distinct(words), lambda w: count(w) >= 2), lambda w: F.struct((-count(w)).alias("n"), F.array_position(words, w).alias("at"), w.alias("w"))))
+    # by count, then by place of first occurrence: runs of equal names in order of name and place
+    placed = F.sort_array(F.transform(words, lambda w, i: F.struct(w.alias("w"), i.alias("i"))))
+    starts = lambda a: F.filter(F.transform(a, lambda s, k: F.struct(s["w"].alias("w"), s["i"].alias("i"), k.alias("k"))), lambda s: F.coalesce(F.get(a, s["k"] - 1)["w"] != s["w"], F.lit(True)))
+    run = lambda a: lambda b: F.transform(b, lambda s, j: F.struct((s["k"] - F.coalesce(F.get(b, j + 1)["k"], F.size(a))).alias("n"), s["i"].alias("at"), s["w"].alias("w")))
+    ranked = F.sort_array(F.filter(_bound(placed, lambda a: _bound(starts(a), run(a))), lambda s: s["n"] <= -2))
     entities = F.array_join(F.transform(F.slice(ranked, 1, 5), lambda s: s["w"]), ";")
     topics = F.concat(F.regexp_extract_all(c, F.lit(rf"(?iU)(?:{ACTIONS})\s+[\w\s]{{3,40}}"), F.lit(0)), F.regexp_extract_all(c, F.lit(r"(?m)^#{1,3}\s+(.{5,60})$"), F.lit(1)))
     topics = F.slice(F.array_distinct(F.transform(topics, lambda t: F.lower(strip(t)))), 1, 12)

@@ -7,12 +7,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 K1, B = 1.5, 0.75
+WORD = r"(?U)\w{2,}"
 
 
 def tokens(text: str | Column) -> Column:
     """Lower-case words of two characters and more, by Unicode."""
     c = F.col(text) if isinstance(text, str) else text
-    return F.regexp_extract_all(F.lower(F.coalesce(c, F.lit(""))), F.lit(r"(?U)\w{2,}"), F.lit(0))
+    return F.regexp_extract_all(F.lower(F.coalesce(c, F.lit(""))), F.lit(WORD), F.lit(0))
 
 
 def _score(tf: Column, df: Column, n: Column, length: Column, mean: Column, k1: float, b: float) -> Column:
@@ -35,7 +36,8 @@ def corpus_scores(docs: DataFrame, queries: DataFrame, id_col: str = "id", text_
     terms = queries.select("query_id", F.explode(F.array_distinct(tokens("query"))).alias("term"))
     asked = terms.select("term").distinct()
     t = docs.select(F.col(id_col).alias("id"), tokens(text_col).alias("t")).withColumn("length", F.size("t").cast("double"))
-    whole = t.agg(F.count(F.lit(1)).cast("double").alias("n"), F.greatest(F.avg("length"), F.lit(1.0)).alias("mean"))
+    lengths = docs.select(F.regexp_count(F.lower(F.coalesce(F.col(text_col), F.lit(""))), F.lit(WORD)).alias("length"))  # no arrays, no rows for words
+    whole = lengths.agg(F.count(F.lit(1)).cast("double").alias("n"), F.greatest(F.avg("length"), F.lit(1.0)).alias("mean"))
     hits = t.select("id", "length", F.explode("t").alias("term")).join(asked, "term", "left_semi")
     tf = hits.groupBy("term", "id", "length").agg(F.count(F.lit(1)).cast("double").alias("tf"))
     df = tf.groupBy("term").agg(F.count(F.lit(1)).cast("double").alias("df"))
