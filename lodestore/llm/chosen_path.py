@@ -3,7 +3,10 @@
 Copies with equal word sequences are one class first. A class has a sketch of min-hash
 tokens; two classes share a token with the probability of their similarity. From a root
 per run, every node of the path tree samples a few token places; sets that agree there go on
-together. Buckets that have become small are compared by brute force; larger ones split
+together. Buckets of up to ``SMALL`` sets are compared by brute force, which bounds the work for each
+set. In a larger one every member is compared with one, the pivot; if at most ``FEW`` members aren't
+near it, these are compared with all, in chunks, and the bucket is done, since all others hang together by the pivot: a hot
+group of near copies ends there, in work that grows with its size. Other large buckets split
 again, and what is still large after ``DEPTH`` splits is compared in tiles. Runs repeat
 until a pair at the threshold is missed with less than 1 - ``RECALL`` (``runs_for``).
 
@@ -13,7 +16,7 @@ the shingles of the whole texts, in tiles of bounded bytes; a row per class with
 number of linked documents comes back, never the pairs.
 
 Defined results: words are what white space ([\\x20\\x09-\\x0D]) separates; a text of one to four
-words has them as its one shingle; null, empty and blank texts link with nothing. Repeated rows
+words has them as its one shingle; shingles are compared by hashes of 64 bits; null, empty and blank texts link with nothing. Repeated rows
 are separate documents and copies of each other. Null ids are allowed and stand last.
 """
 
@@ -27,18 +30,19 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType
 
-from lodestore.llm.common import pick_rows, stored, text_key
+from lodestore.llm.common import pick_rows, release, stored, text_key
 from lodestore.llm.components import components
 from lodestore.llm.tile_dedup import local_labels
 
 N, THRESHOLD, RECALL = 5, 0.8, 0.999
-#: Token places of a sketch; places that a node samples on average; splits; bucket for brute force; rows of a tile.
-PLACES, BRANCH, DEPTH, SMALL, TILE = 64, 1.6, 4, 48, 512
+#: Token places of a sketch; places that a node samples on average; splits; bucket for brute force; rows away from a pivot; rows of a tile.
+PLACES, BRANCH, DEPTH, SMALL, FEW, TILE = 64, 1.6, 4, 2048, 48, 1024
 #: Standard deviations below the threshold at which a sketch still counts as near.
 MARGIN = 4.0
-#: Candidates up to which their keys are broadcast to the texts; more are joined by a shuffle.
-BROADCAST_ROWS = 200_000
+#: Bytes of the candidates' keys up to which they are broadcast to the texts; more are joined by a shuffle.
+BROADCAST_BYTES = 16 << 20
 #: Bytes of text in a tile of the exact comparison.
 TILE_BYTES = 4 << 20
 
@@ -176,7 +180,7 @@ def near(s: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
 def _small_buckets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Brute force of all buckets at once: rows at a distance of 1, 2, ... in the order by node."""
     rest = None
-    for b in [*_with_end(batches)]:
+    for b in _with_end(batches):
         if b is None:
             if rest is not None:
                 yield _compare(rest)
@@ -232,6 +236,44 @@ def _tile_pair(t: pd.DataFrame) -> pd.DataFrame:
 _EDGES = "a long, b long"
 
 
+@F.pandas_udf(BooleanType())
+def _meets(a: pd.Series, b: pd.Series) -> pd.Series:
+    """Whether two sketches come near each other."""
+    s = np.frombuffer(b"".join([*a, *b]), np.uint32).reshape(2 * len(a), PLACES)
+    at = np.arange(len(a))
+    return pd.Series(near(s, at, at + len(a)))
+
+
+def _outside(t: pd.DataFrame) -> pd.DataFrame:
+    """A chunk of a bucket: the rows that aren't near the pivot with all."""
+    t = t.sort_values(["rep"]).drop_duplicates("rep")
+    rep, s = t.rep.to_numpy(), np.frombuffer(b"".join(t.sketch), np.uint32).reshape(len(t), PLACES)
+    found = [(np.zeros(0, int), np.zeros(0, int))]
+    for i in np.flatnonzero(~t.near.to_numpy()):
+        j = np.flatnonzero(near(s, np.full(len(t), i), np.arange(len(t))))
+        found.append((np.full(len(j), i), j))
+    return _stars(rep, found)
+
+
+def _by_pivot(large: DataFrame, sketch: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Edges (a, b) in large buckets (node, rep, n), and the buckets' rows that these don't settle.
+
+    The pivot is the row first by a hash that is the same in all buckets, so that the buckets of one hot group agree on it.
+    """
+    first = F.min(F.struct(F.xxhash64("rep").alias("h"), F.col("rep").alias("pivot"))).alias("first")
+    pivots = large.groupBy("node").agg(first).select("node", F.col("first.pivot").alias("pivot"))
+    pivots = pivots.join(sketch.select(F.col("rep").alias("pivot"), F.col("sketch").alias("pivot_sketch")), "pivot")
+    rows = stored(large.join(sketch, "rep").join(pivots, "node").select("node", "rep", "n", "pivot", _meets("sketch", "pivot_sketch").alias("near")), "pivots")
+    edges = rows.where("near AND rep <> pivot").select(F.col("rep").alias("a"), F.col("pivot").alias("b"))
+    rest = stored(rows.where("NOT near").groupBy("node").agg(F.count(F.lit(1)).alias("rest")), "rest")
+    chunks = F.ceil(F.col("n") / TILE).cast("int")
+    few = rows.join(rest.where(F.col("rest") <= FEW).select("node"), "node", "left_semi")
+    few = few.withColumn("chunk", F.when(F.col("near"), F.array(F.pmod(F.xxhash64("rep"), chunks).cast("int"))).otherwise(F.sequence(F.lit(0), chunks - 1)))
+    few = few.select("node", F.explode("chunk").alias("chunk"), "rep", "near").join(sketch, "rep")
+    edges = edges.unionByName(few.groupBy("node", "chunk").applyInPandas(_outside, _EDGES))
+    return edges, large.join(rest.where(F.col("rest") > FEW).select("node"), "node", "left_semi")
+
+
 def _bucket_edges(reps: DataFrame, seed: int, recall: float) -> DataFrame:
     """Which classes hang together by their sketches: stars of edges (a, b)."""
     runs = runs_for(recall)
@@ -241,22 +283,26 @@ def _bucket_edges(reps: DataFrame, seed: int, recall: float) -> DataFrame:
         rows = stored(rows, "nodes")
         sizes = rows.groupBy("node").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
         live = stored(rows.join(sizes, "node"), "buckets")
+        release(rows)
         if sketch is None:  # of those that met another class: the others have no link
             sketch = stored(reps.select("rep", "sketch").join(live.select("rep").distinct(), "rep", "left_semi"), "met")
         small = live.where(F.col("n") <= SMALL).select("rep", "node").join(sketch, "rep")
         new = small.repartition("node").sortWithinPartitions("node").mapInPandas(_small_buckets, _EDGES)
         large = live.where(F.col("n") > SMALL)
-        if level == DEPTH:
+        none = large.isEmpty()
+        if not none:
+            settled, large = _by_pivot(large, sketch)
+            new = new.unionByName(settled)
+        if level == DEPTH and not none:
             tiles = F.ceil(F.col("n") / TILE).cast("int")
             dealt = large.withColumn("tile", F.pmod(F.xxhash64("rep"), tiles).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), tiles - 1)))
             dealt = dealt.select("node", F.least("tile", "other").alias("lo"), F.greatest("tile", "other").alias("hi"), "tile", "rep").join(sketch, "rep")
             new = new.unionByName(dealt.groupBy("node", "lo", "hi").applyInPandas(_tile_pair, _EDGES))
         new = stored(new.distinct(), "stars")
         edges = new if edges is None else edges.unionByName(new)
-        if level < DEPTH:
-            if large.isEmpty():
-                break
-            rows = large.select("node", "rep").join(sketch, "rep").select("node", "rep", "sketch").mapInPandas(_split(level + 1, 1, seed), "node long, rep long").distinct()
+        if none or level == DEPTH:
+            break
+        rows = stored(large, "large").select("node", "rep").join(sketch, "rep").select("node", "rep", "sketch").mapInPandas(_split(level + 1, 1, seed), "node long, rep long").distinct()
     return edges
 
 
@@ -327,7 +373,8 @@ def _classes(docs: DataFrame, id_col: str, text_col: str, seed: int, recall: flo
     members = stored(groups.join(reps.drop("sketch"), "rep"), "members")
     tiles = members.groupBy("comp").agg(F.ceil(F.sum("bytes") / TILE_BYTES).cast("int").alias("tiles"))
     dealt = stored(members.join(tiles, "comp").withColumn("tile", F.pmod(F.xxhash64("rep"), "tiles").cast("int")), "dealt")
-    dealt = F.broadcast(dealt) if dealt.count() <= BROADCAST_ROWS else dealt
+    size = dealt.agg(F.sum(F.lit(80) + F.coalesce(F.octet_length(F.col("id").cast("string")), F.lit(0)))).first()[0] or 0
+    dealt = F.broadcast(dealt) if size <= BROADCAST_BYTES else dealt
     texts = docs.select(F.col(id_col).alias("doc"), F.col(text_col).alias("text"), text_key(text_col).alias("key"))
     met = texts.join(dealt, (F.col("key") == F.col("text_key")) & F.col("doc").eqNullSafe(F.col("id")))
     met = met.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1))).select("comp", F.least("tile", "other").alias("lo"), F.greatest("tile", "other").alias("hi"), "tile", "rep", "n", "text")
@@ -336,7 +383,9 @@ def _classes(docs: DataFrame, id_col: str, text_col: str, seed: int, recall: flo
     linked = exact.groupBy("rep").agg(F.sum("linked").alias("linked"))
     comps = components(exact.select(F.col("rep").alias("a"), F.col("root").alias("b"))).select(F.col("node").alias("rep"), F.col("component").alias("comp"))
     full = classes.join(linked, "rep", "left").join(comps, "rep", "left").select("digest", "n", F.coalesce("linked", F.lit(0)).alias("linked"), F.coalesce("comp", "rep").alias("comp"))
-    return slim.select("id", "row", "text_key", "digest").join(full, "digest", "left").drop("digest")
+    slim = slim.select("id", "row", "text_key", "digest")
+    blank = slim.where(F.col("digest").isNull()).select("id", "row", "text_key", *[F.lit(None).cast("long").alias(x) for x in ("n", "linked", "comp")])
+    return slim.join(full, "digest").select("id", "row", "text_key", "n", "linked", "comp").unionByName(blank)
 
 
 def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", seed: int = 1, recall: float = RECALL) -> DataFrame:

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodestore.llm.common import stored
+from lodestore.llm.common import release, stored
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -21,7 +21,8 @@ def components(edges: DataFrame) -> DataFrame:
     e = stored(e.distinct(), "edges")
     mark = _mark(e)
     while True:
-        e = stored(_small_star(_large_star(e)), "edges")
+        before, e = e, stored(_small_star(_large_star(e)), "edges")
+        release(before)
         last, mark = mark, _mark(e)
         if last == mark:
             return e.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(e.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())

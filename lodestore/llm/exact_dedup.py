@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from lodestore.llm.common import fresh, stored, text_or_empty
+from lodestore.llm.common import fresh, same_long, stored, text_or_empty
 
 #: Share of the rows beyond which a digest is heavy; 1/SUPPORT bounds what is broadcast.
 SUPPORT = 1 / 1024
@@ -39,7 +39,7 @@ def digest(text: Column) -> Column:
 
 def _order(slim: DataFrame) -> Column:
     """The smallest is the row that stays."""
-    return F.struct((-F.col("cp")).alias("cp"), F.col("id").isNull().alias("null"), F.col("id").alias("id"), F.col("row").alias("row"))
+    return F.struct((-F.col("cp")).alias("cp"), F.col("id").isNull().alias("null"), F.col("id").alias("id"), F.col("row").alias("row"), F.col("key").alias("key"))
 
 
 def _winners(slim: DataFrame) -> DataFrame:
@@ -57,10 +57,15 @@ def heavy_winners(slim: DataFrame, support: float = SUPPORT) -> DataFrame:
     return spark.createDataFrame(found.collect(), found.schema)
 
 
+def _key(id_col: str, text_col: str) -> Column:
+    """Tells the rows of a group apart, but for rows alike in id and text."""
+    return F.xxhash64(F.col(id_col).isNull(), F.col(id_col), F.col(text_col))
+
+
 def _slim(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     text = F.col(text_col)
     return stored(
-        docs.select(F.col(id_col).alias("id"), digest(text).alias("digest"), F.char_length(text_or_empty(text)).alias("cp"))
+        docs.select(F.col(id_col).alias("id"), digest(text).alias("digest"), F.char_length(text_or_empty(text)).alias("cp"), _key(id_col, text_col).alias("key"))
         .withColumn("row", F.monotonically_increasing_id()),
         "digests",
     )
@@ -84,18 +89,18 @@ def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", supp
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", support: float = SUPPORT) -> DataFrame:
     """The rows of docs that stay, with all their columns.
 
-    Losers of hot groups go map-side; then each text is shuffled once, to meet its group's winner.
+    Losers of hot groups go map-side; any other text is shuffled once, to meet its group's winner. Of rows alike in id
+    and text one stays, whatever its other columns.
     """
     slim = _slim(docs, id_col, text_col)
-    heavy = heavy_winners(slim, support).select("digest", F.col("first.id").alias("id"))
-    rest = slim.join(F.broadcast(heavy), "digest", "left_anti")
-    winners = _winners(rest).select("digest", F.col("first.id").alias("id"))
-    d, k = fresh(docs, "digest"), fresh(docs, "winner")
-    rows = docs.withColumn(d, digest(F.col(text_col)))
-    hot = rows.join(F.broadcast(heavy.toDF(d, k)), d).where(F.col(id_col).eqNullSafe(F.col(k))).drop(k)
-    cold = rows.join(F.broadcast(heavy.select(F.col("digest").alias(d))), d, "left_anti")
-    w = winners.toDF("winner_digest", "winner_id")
-    cold = cold.join(w, (F.col(d) == w.winner_digest) & F.col(id_col).eqNullSafe(w.winner_id), "left_semi")
-    one = Window.partitionBy(d).orderBy(F.char_length(text_or_empty(text_col)).desc(), F.col(text_col))
-    n = fresh(docs, "place")
-    return cold.unionByName(hot).withColumn(n, F.row_number().over(one)).where(F.col(n) == 1).select(*docs.columns)
+    heavy = heavy_winners(slim, support)
+    rest = slim.join(F.broadcast(heavy.select("digest")), "digest", "left_anti")
+    d, k, n, wd, wk = (fresh(docs, x) for x in ("digest", "key", "place", "winner_digest", "winner_key"))
+    pick = lambda x: x.select(F.col("digest").alias(wd), F.col("first.key").alias(wk))
+    rows = docs.withColumns({d: digest(F.col(text_col)), k: _key(id_col, text_col)})
+    won = (F.col(d) == F.col(wd)) & same_long(k, wk)
+    # as repeated rows may be many, they meet in partial aggregates
+    hot = rows.join(F.broadcast(pick(heavy)), won, "left_semi").groupBy(d).agg(F.first(F.struct(*docs.columns)).alias(n)).select(f"{n}.*")
+    cold = rows.join(F.broadcast(heavy.select(F.col("digest").alias(d))), d, "left_anti").join(pick(_winners(rest)), won, "left_semi")
+    cold = cold.withColumn(n, F.row_number().over(Window.partitionBy(d).orderBy(k))).where(F.col(n) == 1)
+    return cold.select(*docs.columns).unionByName(hot)

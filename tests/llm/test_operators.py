@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import hashlib
+import itertools
 import re
 import zlib
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -179,6 +181,28 @@ def test_byte_bpe_equals_the_library(spark, bpe, awkward, none):
     assert one.n_tokens == 0 and one.ids_sha256 == one.decoded_sha256 == hashlib.sha256(b"").hexdigest()
 
 
+def test_byte_bpe_long_words_and_small_blocks(spark, bpe, monkeypatch):
+    import tiktoken
+
+    monkeypatch.setattr(byte_bpe, "BLOCK_WORDS", 40)  # seen by the driver alone: workers cut no block
+    monkeypatch.setattr(byte_bpe, "CACHED_WORDS", 3)
+    enc = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=bpe.ranks, special_tokens={})
+    r = np.random.default_rng(6)
+    long = ["".join(r.choice(list("abcdeéß"), n)) for n in (200, 511, 512, 513, 600, 3000)]
+    texts = [" ".join(long), *(x[:512] for x in long), "a" * 511, "a" * 512, "a" * 513, None, ""] + [" ".join("".join(r.choice(list("abcdefgh"), 9)) for _ in range(30)) for _ in range(60)]
+    docs = spark.createDataFrame([(i, t, b"x", [1]) for i, t in enumerate(texts)], "doc_id long, text string, words binary, rare array<int>").repartition(3)
+    encoder = byte_bpe.ByteBpe(spark, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+    got = {x.doc_id: x for x in encoder.encode(docs, decoded="back").collect()}
+    assert len(got) == len(texts)
+    for i, t in enumerate(texts):
+        assert got[i].ids == enc.encode_ordinary(t or "") and bytes(got[i].back) == (t or "").encode() and bytes(got[i].words) == b"x"
+    batch = lambda texts: pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array([t.split() for t in texts], pa.list_(pa.string()))], names=["id", "w"])
+    known = pa.array(["a", "b"])
+    out = list(byte_bpe._numbered(known, ["id", "w", "rare"])(iter([batch(["a x x", "y a"] * 30), batch(["b y z"])])))
+    kinds = [b.column(2).null_count == 0 for b in out]
+    assert kinds == [True, False, True, False] and out[1].column(1).to_pylist()[:2] == [[0, 2, 2], [3, 0]] and out[3].column(1).to_pylist() == [[1, 2, 3]]
+
+
 def test_heap_merge_equals_naive_merges():
     ranks = {bytes([i]): i for i in range(256)} | {b"ab": 256, b"bc": 257, b"abc": 258, b"aa": 259, b"aaa": 260}
     for word in (b"aaaaa", b"abcabc", b"bcaab", b"x"):
@@ -208,7 +232,11 @@ def jaccard_truth(data):
     return links, comp
 
 
-def test_chosen_path_equals_brute_force(spark, awkward, none):
+@pytest.mark.parametrize(("small", "few"), [(2048, 48), (8, 6)])  # the second: pivots, splits and tiles
+def test_chosen_path_equals_brute_force(spark, awkward, none, monkeypatch, small, few):
+    monkeypatch.setattr(chosen_path, "SMALL", small)
+    monkeypatch.setattr(chosen_path, "FEW", few)
+    monkeypatch.setattr(chosen_path, "TILE", 16 if small == 8 else 1024)
     base = text_of(7, 120).split()
     texts = [x.text for x in awkward.collect()]
     for i in range(70):  # one large group of near copies, and edits around the threshold
@@ -256,7 +284,7 @@ def test_tile_dedup_equals_brute_force(spark):
         assert {y.n_links for y in got[i]} == {int(near[i].sum()) + (i == 7) + int(near[i][7])}, i
     assert all(got[i][0].n_links == 0 and got[i][0].kept for i in (200, 201, 202, 203, 204))
     assert [got[i][0].component_id for i in (205, 206)] == [205, 205] and len(got[7]) == 2
-    assert got[None][0].n_links == 0
+    assert got[None][0].n_links == 0 and got[None][0].kept
     assert tile_dedup.near_copies(df.limit(0)).count() == 0
 
 
@@ -293,6 +321,53 @@ def test_network_reads_to_the_end():
     assert net.scores([clean])[0] > net.scores([clean + b"bad*** text*** " * 500])[0]
 
 
+def test_scores_do_not_depend_on_other_texts():
+    net = quality_cnn.fit([b"good text here", b"bad*** text***"] * 10, np.array([1, 0] * 10, np.float32), epochs=5)
+    r = np.random.default_rng(8)
+    texts = [text_of(i, n).encode()[:size] for i, (n, size) in enumerate([(90, 512), (90, 256), (90, 255), (90, 224), (90, 225), (1, 3), (400, 2000)])] + [b"", b"\x00\x00\x00\x00a\x00\x00\x00\x00a"]
+    alone = [net.scores([t])[0] for t in texts]
+    for _ in range(20):
+        order = r.permutation(len(texts))
+        got = net.scores([b"*** *** bad", *(texts[i] for i in order), b"*** bad ***"])[1:-1]
+        assert got.tolist() == [alone[i] for i in order]
+
+
+def test_network_equals_plain_loops():
+    net = quality_cnn.fit([b"good text here", b"bad*** text***"] * 10, np.array([1, 0] * 10, np.float32), epochs=2)
+    for text in (b"", b"abc", text_of(3, 80).encode(), text_of(4, 35).encode() * 2):
+        size = -(-(quality_cnn.PAD + len(text)) // quality_cnn.BLOCK) * quality_cnn.BLOCK
+        b = bytes(quality_cnn.PAD) + text + bytes(size - quality_cnn.PAD - len(text) + quality_cnn.WIDTH)
+        value = [c + 256 * bool(c and any(i >= lag and b[i : i + 4] == b[i - lag : i - lag + 4] for lag in quality_cnn.LAGS)) for i, c in enumerate(b)]
+        blocks = []
+        for at in range(0, size, quality_cnn.BLOCK):
+            places = range(at, at + quality_cnn.BLOCK, quality_cnn.STRIDE)
+            blocks.append(np.maximum(np.max([net.bias + sum(net.tables[k][value[i + k]] for k in range(quality_cnn.WIDTH)) for i in places], axis=0), 0))
+        chunks = [np.maximum(x, y) for x, y in zip(blocks, [*blocks[1:], blocks[-1]], strict=True)]
+        x = np.concatenate([np.mean(chunks, axis=0), np.max(chunks, axis=0)]) @ net.weights + net.shift
+        assert net.scores([text])[0] == pytest.approx(1 / (1 + np.exp(-x)), abs=1e-4)
+
+
+def test_kernel_equals_sets():
+    texts = [text_of(i, 20).encode() for i in range(12)]
+    model = kernel_langid.fit(texts, ["a", "b"] * 6, landmarks=2)
+    rng = np.random.default_rng(5)
+    marks = [texts[i] for i in [*rng.permutation(range(0, 12, 2))[:2], *rng.permutation(range(1, 12, 2))[:2]]]
+
+    def grams(t):
+        b = list(t)
+        hashed = {((((x << 8 | y) << 8 | z) * 2654435761) & 0xFFFFFFFF) >> 16 for x, y, z in zip(b, b[1:], b[2:], strict=False)}
+        return [set(b), {(x, y) for x, y in zip(b, b[1:], strict=False)}, hashed]
+
+    want = [[np.mean([len(x & y) / np.sqrt(len(x) * len(y)) for x, y in zip(grams(t), grams(m), strict=True)]) for m in marks] for t in texts]
+    assert np.allclose(model.kernel(kernel_langid.presence(texts)), want, atol=1e-5)
+
+
+def test_language_sample_takes_the_same_rows_each_time(spark):
+    docs = spark.createDataFrame([(i, text_of(i % 50, 10), None, "ab"[i % 2], None, 0, 0, 0, 0) for i in range(200)], ROW)
+    one, two = (kernel_langid.learn(x, F.lit(True), per_lang=20) for x in (docs, docs.repartition(5)))
+    assert np.array_equal(one.head, two.head)
+
+
 def test_language_kernel(spark, none):
     en, de = "the and of with that this from they were", "der die und nicht mit ein ich auf für"
     mk = lambda src, i: " ".join(np.random.default_rng(i).choice(src.split(), 30))
@@ -335,6 +410,35 @@ def test_all_ancestors_and_whole_attributes_count():
     assert after.text == "after" and sorted(html_crf.features(after)) == sorted(html_crf.features(plain))
 
 
+def test_pages_without_optional_tags(crf):
+    article = "<article><h1>A title</h1><p>First of all, a line.<p>Then another.<ul><li>one thing<li>and a second</ul><p>At last {}the end.</article>"
+    want = "A title First of all, a line. Then another. one thing and a second At last the end."
+    control = "<select><option>red<option>blue</select><textarea>write here</textarea><button>Send</button>"
+    nav = "<nav><ul><li><a href=/>menu</a></ul></nav>"
+    for page in (
+        "<html><head><title>t</title><body>" + nav + article.format(control),
+        "<html><head><title>t</title>" + nav + article.format(""),
+        "<head><meta charset=u><noscript><img src=x></noscript><style>p{}</style>" + article.format(control),
+        "<head><title>t<body>" + article.format(""),
+        article.format("") + "<p class='x",
+        "<article><table><thead><tr><th>A title<tbody><tr><td>First of all, a line.<td>Then another.<tr><td>one thing<td>and a second</table><p>At last the end.</article>",
+    ):
+        assert html_crf.main_text(page, crf) == want
+    assert [b.text for b in html_crf.leaf_blocks("<p>if 1 <b and more of it")] == ["if 1 <b and more of it"]
+    long = "<article>" + "".join(f"<p>Paragraph number {i}, as long as any." for i in range(20_000)) + "</article>"
+    assert len(html_crf.main_text(long, crf)) > 500_000
+
+
+def test_viterbi_equals_enumeration():
+    r = np.random.default_rng(4)
+    for n in range(1, 8):
+        field = html_crf.Field(r.normal(size=(html_crf.PLACES, 2)), r.normal(size=(2, 2)), r.normal(size=2))
+        page = [r.integers(0, html_crf.PLACES, 5).tolist() for _ in range(n)]
+        s = field.scores(page)
+        total = lambda ys: field.start[ys[0]] + sum(s[i][y] for i, y in enumerate(ys)) + sum(field.step[a, b] for a, b in zip(ys, ys[1:], strict=False))  # noqa: B023, E731
+        assert tuple(field.decode(page)) == max(itertools.product((0, 1), repeat=n), key=total)
+
+
 def test_field_on_other_layouts(crf):
     right = total = 0
     for blocks, labels in html_crf.labelled_pages(80, seed=5):
@@ -379,6 +483,29 @@ def test_mix_targets(spark, awkward, none):
     assert curriculum.plan(none).count() == 0 and curriculum.mix(none).count() == 0
 
 
+def test_positions_invert_the_demand(spark):
+    steps = ((0.0, 0.0), (0.25, 2.0), (0.5, 2.0), (1.0, 0.0))
+    schedules = [*curriculum.CURRICULUM, steps]
+    assert [curriculum.cumulative(s)[-1] for s in schedules] == [1.0, 2.0, 3.0, 1.25]
+    rows = spark.range(4).withColumnRenamed("id", "kind").crossJoin(spark.range(101).selectExpr("id / 100 AS u"))
+    for x in rows.withColumn("t", curriculum.inverse(F.col("u"), F.col("kind"), schedules)).collect():
+        grid = np.linspace(0, x.t, 20_001)
+        area = np.trapezoid(np.interp(grid, *zip(*schedules[x.kind], strict=True)), grid)
+        assert area == pytest.approx(x.u * curriculum.cumulative(schedules[x.kind])[-1], abs=1e-6) and 0 <= x.t <= 1
+
+
+def test_plan_tells_positions_of_the_mix(spark):
+    docs = spark.createDataFrame([(None if i < 150 else i, text_of(i, 1 + i % 40), ["a", "b", "c"][i % 3], "", "", 0, 0, 0, 0) for i in range(400)], ROW)
+    plan = curriculum.plan(docs).collect()
+    at = [x.position for x in plan if x.position is not None]
+    assert at == sorted(at) and all((x.taken > 0) == (x.position is not None) for x in plan)
+    first = {}
+    for x in curriculum.mix(docs, position_col="at").collect():
+        first.setdefault((x.doc_id, x.text), x["at"])
+    assert sorted(first.values()) == pytest.approx(sorted(at))
+    assert len({x.position for x in plan if x.doc_id is None}) > 100
+
+
 def test_curriculum_follows_its_schedule(spark):
     docs = spark.createDataFrame([(i, text_of(i, 30), "ab"[i % 2], "", "", 0, 0, 0, 0) for i in range(400)], ROW)
     early, late = ((0.0, 3.0), (1.0, 0.0)), ((0.0, 0.0), (1.0, 3.0))

@@ -87,7 +87,7 @@ def brute_force(rows, net):
     taken = []
     for s in sources:
         start = 0
-        for x in sorted((x for x in apart if x.source == s), key=lambda x: hashlib.md5(f"mix:{x.doc_id}".encode()).hexdigest()):
+        for x in sorted((x for x in apart if x.source == s), key=lambda x: hashlib.md5(f"mix:{x.doc_id}:{hashlib.md5((x.text or '').encode()).hexdigest()}".encode()).hexdigest()):
             taken += [x for k in range(3) if size[x.doc_id] and k * total[s] + start + size[x.doc_id] / 2 < target[s]]
             start += size[x.doc_id]
     ranks = byte_bpe.load_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
