@@ -4,12 +4,15 @@ Each match of the split pattern is a word. A word that is a token itself is one
 any other is cut into its bytes and an ``aggregate`` folds the merges, lowest rank and
 then leftmost first, looking ranks up in a literal map from pairs of ids. Spark looks maps
 up by a linear scan, so the literal is the pairs' sparse matrix with its rows displaced into
-one array, where a lookup is two array accesses. What is folded are distinct words: those that a
-bounded sample of the texts holds often, once, and the others once for each document that
-holds them. The sample decides how often a word is folded, never to what. An Arrow
-batch then sets each document's ids in the order of its words. Words over ``LONG_WORD``
-bytes, for which a fold of arrays is quadratic, are merged there by an exact heap.
-Decoding takes the ids' binary pieces from a literal vocabulary and concatenates them.
+one array, where a lookup is two array accesses.
+
+What is folded are distinct words: those that a bounded sample of the texts holds most often,
+once; the others once for each block of documents (``BLOCK_WORDS`` words of one task) that holds
+them. Within a task a block's distinct words go ahead of its documents, whose words are
+numbers in the block's list by then; what follows the fold sets the ids in the order of the
+words. No text or word is shuffled. Sample and blocks decide how often a word is folded, never
+to what. Words over ``LONG_WORD`` bytes, for which a fold of arrays is quadratic, are
+merged by an exact heap. Decoding concatenates the ids' binary pieces in Arrow batches.
 
 Defined results: null text counts as empty; an empty text has no ids, and the hashes of
 empty strings. Repeated rows are encoded each. Other columns pass through untouched.
@@ -18,29 +21,35 @@ empty strings. Repeated rows are encoded each. Other columns pass through untouc
 from __future__ import annotations
 
 import base64
+import ctypes
+import gc
 import heapq
 import json
-import zlib
 from collections.abc import Iterator
+from contextlib import contextmanager
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BinaryType, IntegerType, StringType, StructField, StructType
 
 from lodestore.llm.common import fresh, stored
 
 #: Bytes of a word beyond which the fold gives way to the heap.
-LONG_WORD = 96
+LONG_WORD = 512
 #: Frequent words that are folded beforehand, and documents of their sample, at most.
-CACHED_WORDS, SAMPLE_DOCS = 1 << 16, 20_000
-#: No merge: larger than any rank.
-NEVER = 1 << 30
-#: Buckets of the literal set of known words.
-BUCKETS = 1 << 16
-#: Characters of a plan's printed form: the literals would fill megabytes of it.
-PLAN_CHARS = "20000"
+CACHED_WORDS, SAMPLE_DOCS = 1 << 18, 20_000
+#: Words of a block, unless one document holds more; distinct words in a row on their way to the fold.
+BLOCK_WORDS, ROW_WORDS = 4_000_000, 256
+#: Documents whose words or ids are laid out at once.
+SLICE = 250
+#: No merge, and no piece: the last of all characters.
+NEVER = "\U0010ffff"
+#: Characters of a plan's printed form, which the literals would fill with megabytes, and rows of an Arrow batch, whose words are many.
+SETTINGS = {"spark.sql.maxPlanStringLength": "20000", "spark.sql.execution.arrow.maxRecordsPerBatch": "1000"}
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -97,16 +106,17 @@ def literal(values, kind: str) -> Column:
     return F.from_json(F.lit(json.dumps(values)), f"array<{kind}>")
 
 
-def _bucket(x: Column) -> Column:
-    return (F.crc32(x.cast("binary")) % BUCKETS).cast("int")
-
-
-def _bucketed(words: list[str]) -> Column:
-    """A set of words as one literal, in buckets by hash."""
-    out: list[list[str]] = [[] for _ in range(BUCKETS)]
-    for x in words:
-        out[zlib.crc32(x.encode()) % BUCKETS].append(x)
-    return literal(out, "array<string>")
+@contextmanager
+def settings(spark: SparkSession) -> Iterator[None]:
+    """SETTINGS hold meanwhile."""
+    before = {k: spark.conf.get(k) for k in SETTINGS}
+    try:
+        for k, v in SETTINGS.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
 
 
 def bind(value: Column, body) -> Column:
@@ -114,36 +124,44 @@ def bind(value: Column, body) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+def symbol(id_: int) -> str:
+    """The character that stands for a token of several bytes in a folded word. Characters are in the order of the ids."""
+    code = 256 + id_
+    return chr(code if code < 0xD800 else code + 0x800)  # not a surrogate
+
+
 def fold_word(word: Column, t: Column) -> Column:
-    """Ids of one word. t: the literals. State: ids of the pieces, rank of each piece with its successor."""
+    """Ids of one word. t: the literals.
 
-    def rank(a: Column, b: Column) -> Column:
-        place = F.get(t["shift"], a) + b
-        return F.when(F.get(t["owner"], place) == a, F.get(t["rank"], place)).otherwise(F.lit(NEVER))
+    The fold's state is two strings, whose functions move no boxed values: p has a character for each piece, its byte or
+    symbol(), between two NEVERs; r has at each place the symbol that the piece there and its successor merge to, or NEVER.
+    """
 
-    characters = F.split(F.decode(F.encode(word, "UTF-8"), "ISO-8859-1"), "")
-    start = F.transform(characters, lambda c: F.get(t["byte"], F.ascii(c)))
+    def merged(a: Column, b: Column) -> Column:
+        place = F.get(t["shift"], a) + b
+        return F.when(F.get(t["owner"], place) == a, F.get(t["symbol"], place)).otherwise(F.lit(NEVER))
 
-    def begin(ids: Column) -> Column:
-        return F.struct(ids.alias("p"), F.zip_with(F.slice(ids, 1, F.size(ids) - 1), F.slice(ids, 2, F.size(ids)), rank).alias("r"))
+    def begin(p: Column) -> Column:
+        pairs = F.zip_with(F.split(p, ""), F.split(F.substring(p, 2, 1 << 30), ""), lambda x, y: merged(F.ascii(x), F.ascii(y)))
+        return F.struct(p.alias("p"), F.array_join(pairs, "").alias("r"))
 
     def merge(s: Column, _: Column) -> Column:
-        p, r = s["p"], s["r"]
+        # a lambda variable by aggregate() over one value: cheaper than bind(), which asks for its type at each step
+        def joined(s: Column, least: Column) -> Column:
+            def at(s: Column, i: Column) -> Column:  # counted from 1; NEVERs stand on either side
+                p, new = s["p"], F.ascii(least)
+                both = F.concat(merged(F.ascii(F.substring(p, i - 1, 1)), new), merged(new, F.ascii(F.substring(p, i + 2, 1))))
+                return F.struct(F.overlay(p, least, i, 2).alias("p"), F.overlay(s["r"], both, i - 1, 3).alias("r"))
 
-        def joined(least: Column) -> Column:
-            def at(i: Column) -> Column:  # counted from 1
-                left = F.when(i > 1, F.array(rank(F.get(p, i - 2), least))).otherwise(F.array().cast("array<int>"))
-                right = F.when(i < F.size(r), F.array(rank(least, F.get(p, i + 1)))).otherwise(F.array().cast("array<int>"))
-                return F.struct(
-                    F.concat(F.slice(p, 1, i - 1), F.array(least), F.slice(p, i + 2, F.size(p))).alias("p"),
-                    F.concat(F.slice(r, 1, F.greatest(i - 2, F.lit(0))), left, right, F.slice(r, i + 2, F.size(p))).alias("r"),
-                )
+            return F.when(least < NEVER, F.aggregate(F.array(F.instr(s["r"], least)), s, at)).otherwise(s)
 
-            return F.when(least < NEVER, bind(F.array_position(r, least).cast("int"), at)).otherwise(s)
+        return F.aggregate(F.array(F.array_min(F.split(s["r"], ""))), s, joined)
 
-        return bind(F.coalesce(F.array_min(r), F.lit(NEVER)), joined)
+    def ids(s: Column) -> Column:
+        return F.transform(F.split(F.substring(s["p"], F.lit(2), F.char_length(s["p"]) - 2), ""), lambda c: F.get(t["id"], F.ascii(c)))
 
-    return bind(start, lambda ids: F.aggregate(F.slice(ids, 2, F.size(ids)), begin(ids), merge, lambda s: s["p"]))
+    as_bytes = F.decode(F.encode(word, "UTF-8"), "ISO-8859-1")
+    return F.aggregate(F.sequence(F.lit(2), F.octet_length(word)), begin(F.concat(F.lit(NEVER), as_bytes, F.lit(NEVER))), merge, ids)
 
 
 def heap_merge(word: bytes, ranks: dict[bytes, int]) -> list[int]:
@@ -172,31 +190,35 @@ def heap_merge(word: bytes, ranks: dict[bytes, int]) -> list[int]:
 
 
 class ByteBpe:
-    """The encoder of one rank file. Build once per session; encode() and decode() give columns."""
+    """The encoder of one rank file. encode() gives a table with ids, whose plan holds literals of megabytes (see settings); decode() gives a column."""
 
     def __init__(self, spark: SparkSession, rank_path: str, pattern: str):
         self.spark, self.pattern = spark, java_pattern(pattern)
-        spark.conf.set("spark.sql.maxPlanStringLength", PLAN_CHARS)
         self.ranks = load_ranks(rank_path)
-        size = max(self.ranks.values(), default=-1) + 1
-        shift, owner, value = displaced(merge_pairs(self.ranks), size)
-        of_byte = [self.ranks.get(bytes([i]), 0) for i in range(256)]
+        code = {i: t[0] if len(t) == 1 else ord(symbol(i)) for t, i in self.ranks.items()}
+        pairs = {code[a]: [(code[b], code[i]) for b, i in row] for a, row in merge_pairs(self.ranks).items()}
+        shift, owner, value = displaced(pairs, 1 + max(code.values(), default=255))
+        id_of: list[int | None] = [None] * len(shift)
+        for i, c in code.items():
+            id_of[c] = i
+        used = owner >= 0
         self.tables = F.struct(
-            literal(shift.tolist(), "int").alias("shift"), literal(owner.tolist(), "int").alias("owner"),
-            literal(value.tolist(), "int").alias("rank"), literal(of_byte, "int").alias("byte"),
+            literal(shift.tolist(), "int").alias("shift"), literal([x if u else None for x, u in zip(owner.tolist(), used, strict=True)], "int").alias("owner"),
+            literal([chr(x) if u else None for x, u in zip(value.tolist(), used, strict=True)], "string").alias("symbol"), literal(id_of, "int").alias("id"),
         )
-        by_id: list[str | None] = [None] * size
-        for t, i in self.ranks.items():
-            by_id[i] = base64.b64encode(t).decode()
-        self.vocabulary = literal(by_id, "binary")
-        self.known: tuple[list[str], list[list[int]]] | None = None
+        self.known: Known | None = None
 
     def words(self, text: Column) -> Column:
         return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(self.pattern), F.lit(0))
 
+    def fold(self, words: Column) -> Column:
+        """The ids of each of an array of words; none for words over LONG_WORD bytes."""
+        short = lambda t: lambda x: F.when(F.octet_length(x) <= LONG_WORD, fold_word(x, t)).otherwise(F.array().cast("array<int>"))
+        return bind(self.tables, lambda t: F.transform(words, short(t)))
+
     def fold_frequent(self, docs: DataFrame, text: str) -> None:
         """The words known beforehand: tokens, and the distinct others that a bounded sample holds most often, folded."""
-        tokens = {}
+        tokens: dict[str, int] = {}
         for t, i in self.ranks.items():
             try:
                 tokens[t.decode()] = i
@@ -204,80 +226,183 @@ class ByteBpe:
                 continue
         n = docs.count()
         part = docs if n <= SAMPLE_DOCS else docs.sample(SAMPLE_DOCS / n, seed=7).limit(2 * SAMPLE_DOCS)
+        single = self.spark.createDataFrame(pa.table({"w": pa.array(list(tokens), pa.string())}))
         often = (
-            part.select(F.explode(self.words(F.col(text))).alias("w"))
-            .where(F.octet_length("w") <= LONG_WORD)
-            .groupBy("w").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "w").limit(CACHED_WORDS + len(tokens))
+            part.select(F.explode(self.words(F.col(text))).alias("w")).where(F.octet_length("w") <= LONG_WORD)
+            .groupBy("w").agg(F.count(F.lit(1)).alias("n")).join(F.broadcast(single), "w", "left_anti").orderBy(F.desc("n"), "w").limit(CACHED_WORDS)
         )
-        often = stored(often.select("w"), "words").repartition(self.spark.sparkContext.defaultParallelism)
-        folded = often.select("w", bind(self.tables, lambda t: fold_word(F.col("w"), t)).alias("ids")).toArrow()  # rows as objects would fill the driver
-        words, ids = folded.column("w").to_pylist(), folded.column("ids").to_pylist()
-        new = [i for i, w in enumerate(words) if w not in tokens]
-        self.known = [*tokens, *(words[i] for i in new)], [*([i] for i in tokens.values()), *(ids[i] for i in new)]
-
-    def encode(self, docs: DataFrame, text: str = "text", ids: str = "ids") -> DataFrame:
-        """docs with a column of ids."""
+        often = stored(often.select("w"), "words").repartition(4 * self.spark.sparkContext.defaultParallelism)
+        with settings(self.spark):
+            folded = often.select("w", self.fold(F.array("w"))[0].alias("ids")).toArrow()  # rows as objects would fill the driver
+        w, ids = folded.column("w").combine_chunks().cast(pa.string()), folded.column("ids").combine_chunks()
+        self.known = Known(
+            pa.concat_arrays([pa.array(list(tokens), pa.string()), w]),
+            np.concatenate([np.ones(len(tokens), np.int32), ids.value_lengths().to_numpy(zero_copy_only=False).astype(np.int32)]),
+            np.concatenate([np.array(list(tokens.values()), np.int32), ids.flatten().to_numpy(zero_copy_only=False).astype(np.int32)]),
+        )
+
+    def encode(self, docs: DataFrame, text: str = "text", ids: str = "ids", keep: list[str] | None = None, decoded: str | None = None) -> DataFrame:
+        """docs, or its columns in keep, with a column of ids and, if named, one of the bytes decoded from them."""
         if self.known is None:
             self.fold_frequent(docs, text)
-        known, known_ids = self.known
-        w, rare, folded = fresh(docs, "words"), fresh(docs, "rare"), fresh(docs, "folded")
-        split = docs.withColumn(w, self.words(F.col(text)))
-        new = lambda t: F.filter(F.col(w), lambda x: (F.octet_length(x) <= LONG_WORD) & ~F.array_contains(F.get(t, _bucket(x)), x))
-        split = split.withColumn(rare, F.array_distinct(bind(_bucketed(known), new)))
-        split = split.withColumn(folded, bind(self.tables, lambda t: F.transform(F.col(rare), lambda x: fold_word(x, t))))
-        kept = docs.columns
-        schema = docs.select(*kept).withColumn(ids, F.array().cast("array<int>")).schema
-        return split.select(*kept, w, rare, folded).mapInArrow(_in_order(known, known_ids, self.ranks, schema.names), schema)
+        kept = docs.select(*(docs.columns if keep is None else keep))
+        w, rare, folded = (fresh(docs, x) for x in ("words", "rare", "folded"))
+        ints = ArrayType(IntegerType(), False)
+        # rows of distinct words have no document
+        blocks = StructType([*(StructField(f.name, f.dataType) for f in kept.schema), StructField(w, ints), StructField(rare, ArrayType(StringType(), False))])
+        schema = StructType([*kept.schema, StructField(ids, ints), *([StructField(decoded, BinaryType())] if decoded else [])])
+        numbered = docs.select(*kept.columns, self.words(F.col(text)).alias(w)).mapInArrow(_numbered(self.known.words, blocks.names), blocks)
+        return numbered.withColumn(folded, self.fold(F.col(rare))).mapInArrow(_in_order(self.known.lengths, self.known.ids, self.ranks, schema.names, _pieces(self.ranks) if decoded else None), schema)
 
     def decode(self, ids: Column) -> Column:
         """The bytes of an array of ids: their binary pieces, put together."""
-        pieces = bind(self.vocabulary, lambda v: F.array_join(F.transform(ids, lambda i: F.get(v, i).cast("string")), ""))
-        return pieces.cast("binary")
+        return F.arrow_udf(_pieces(self.ranks), "binary")(ids)
 
 
 def digests(bpe: ByteBpe, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """id, n_tokens, ids_sha256 (of decimal ids joined by commas), decoded_sha256."""
+    """id, n_tokens, ids_sha256 (of decimal ids joined by commas), decoded_sha256; a written table."""
     ids = F.col("ids")
-    joined = F.array_join(F.transform(ids, lambda i: i.cast("string")), ",")
-    return bpe.encode(docs.select(id_col, F.col(text_col).alias("text")), "text", "ids").select(
-        id_col, F.size(ids).cast("long").alias("n_tokens"), F.sha2(joined.cast("binary"), 256).alias("ids_sha256"), F.sha2(bpe.decode(ids), 256).alias("decoded_sha256")
+    joined = F.array_join(ids.cast("array<string>"), ",")
+    encoded = bpe.encode(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), "text", "ids", keep=["id"], decoded="decoded")
+    out = encoded.select(
+        F.col("id").alias(id_col), F.size(ids).cast("long").alias("n_tokens"), F.sha2(joined.cast("binary"), 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")
     )
+    with settings(bpe.spark):
+        return stored(out, "digests")
+
+
+def _pieces(ranks: dict[bytes, int]):
+    """A function of arrays of ids: the bytes of each."""
+    by_id = sorted((i, t) for t, i in ranks.items())
+    size = np.zeros(max(ranks.values(), default=-1) + 1, np.int64)
+    size[[i for i, _ in by_id]] = [len(t) for _, t in by_id]
+    at, pool = np.cumsum(size) - size, np.frombuffer(b"".join(t for _, t in by_id), np.uint8)
+
+    def decoded(lists: pa.Array) -> pa.Array:
+        out = []
+        for k in range(0, len(lists), SLICE):
+            part = lists.slice(k, SLICE)
+            ids = part.flatten().to_numpy(zero_copy_only=False)
+            end = np.concatenate([[0], np.cumsum(size[ids])])
+            data = pool[np.repeat(at[ids] - end[:-1], size[ids]) + np.arange(end[-1])]
+            out.append(pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(part), [None, pa.py_buffer(end[_ends(part)].astype(np.int64)), pa.py_buffer(data)]).cast(pa.binary()))
+        return pa.concat_arrays(out) if out else pa.array([], pa.binary())
+
+    return decoded
+
+
+@dataclass
+class Known:
+    """Words whose ids are known, the numbers of their ids, and the ids, one word's after the other's."""
+
+    words: pa.Array
+    lengths: np.ndarray
+    ids: np.ndarray
+
+
+def _numbered(known: pa.Array, names: list[str]):
+    """A mapInArrow function. In: rows with their words last. Out, block by block: rows of words that aren't known, then the
+    documents with the numbers of their words, those of the known words first."""
+
+    def block(held: list[list[pa.Array]], offsets: list[np.ndarray], coded: list[pa.DictionaryArray]) -> Iterator[pa.RecordBatch]:
+        whole = pa.chunked_array(coded).unify_dictionaries()
+        words = whole.chunk(0).dictionary
+        number = pc.index_in(words, value_set=known)
+        new = number.is_null()
+        rare = words.filter(new)
+        number, new = number.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int32), new.to_numpy(zero_copy_only=False)
+        number[new] = len(known) + np.arange(len(rare), dtype=np.int32)
+        n = -(-len(rare) // ROW_WORDS)
+        if n:
+            ends = np.minimum(np.arange(n + 1) * ROW_WORDS, len(rare)).astype(np.int32)
+            lists = pa.ListArray.from_arrays(pa.array(ends), rare)
+            yield pa.RecordBatch.from_arrays([*(pa.nulls(n, x.type) for x in held[0]), pa.nulls(n, pa.list_(pa.int32())), lists], names=names)
+        for columns, ends, code in zip(held, offsets, whole.chunks, strict=True):
+            numbers = pa.array(number[code.indices.to_numpy()] if len(code) else np.zeros(0, np.int32))
+            yield pa.RecordBatch.from_arrays([*columns, pa.ListArray.from_arrays(pa.array(ends), numbers), pa.nulls(len(ends) - 1, pa.list_(pa.string()))], names=names)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, offsets, coded, size = [], [], [], 0
+        for b in batches:
+            for k in range(0, b.num_rows, SLICE):
+                part = b.slice(k, SLICE)
+                words = part.column(part.num_columns - 1)
+                held.append(part.columns[:-1])
+                offsets.append(_ends(words))
+                coded.append(words.flatten().cast(pa.string()).dictionary_encode())
+                size += len(coded[-1])
+                if size >= BLOCK_WORDS:
+                    yield from block(held, offsets, coded)
+                    held, offsets, coded, size = [], [], [], 0
+        if held:
+            yield from block(held, offsets, coded)
+        del held, offsets, coded
+        _give_back()
+
+    return run
+
 
+def _give_back() -> None:
+    """Freed memory goes back to the system: workers live on between tasks, several to an executor."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    if hasattr(libc := ctypes.CDLL(None), "malloc_trim"):
+        libc.malloc_trim(0)
 
-def _in_order(known: list[str], known_ids: list[list[int]], ranks: dict[bytes, int], names: list[str]):
-    """A mapInArrow function: from words, rare words and their ids, the last three columns, to the ids of each row in order."""
-    offsets = np.concatenate([[0], np.cumsum([len(x) for x in known_ids])]).astype(np.int64)
-    flat = np.array([i for x in known_ids for i in x], np.int32)
-
-    def lay(part: pa.RecordBatch) -> pa.RecordBatch:
-        words, rare, folded = (part.column(part.num_columns - k) for k in (3, 2, 1))
-        each, new, new_ids = words.flatten(), rare.flatten(), folded.flatten()
-        values = pa.concat_arrays([pa.array(known, pa.string()), new.cast(pa.string())])
-        at = np.concatenate([offsets, offsets[-1] + np.cumsum(new_ids.value_lengths().to_numpy(zero_copy_only=False))]).astype(np.int64)
-        pool = np.concatenate([flat, new_ids.flatten().to_numpy(zero_copy_only=False)])
-        index = pc.index_in(each.cast(pa.string()), value_set=values)
-        if index.null_count:  # words too long to fold
-            long_words = pc.unique(each.filter(index.is_null()))
-            merged = [heap_ids(x.encode(), ranks) for x in long_words.to_pylist()]
-            values = pa.concat_arrays([values, long_words.cast(pa.string())])
-            at = np.concatenate([at, at[-1] + np.cumsum([len(x) for x in merged])])
-            pool = np.concatenate([pool, np.concatenate([np.array(x, np.int32) for x in merged])])
-            index = pc.index_in(each.cast(pa.string()), value_set=values)
-        i = index.to_numpy(zero_copy_only=False).astype(np.int64)
-        size = at[i + 1] - at[i]
-        end = np.concatenate([[0], np.cumsum(size)])
-        ids = pool[np.repeat(at[i] - end[:-1], size) + np.arange(end[-1])].astype(np.int32)
-        first = np.concatenate([[0], np.cumsum(words.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))])
-        lists = pa.ListArray.from_arrays(pa.array(end[first], pa.int32()), pa.array(ids, pa.int32()))
-        return pa.RecordBatch.from_arrays([*part.columns[:-3], lists], names=names)
+
+def _ends(lists: pa.ListArray) -> np.ndarray:
+    return np.concatenate([[0], np.cumsum(lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))]).astype(np.int32)
+
+
+def _in_order(lengths: np.ndarray, known_ids: np.ndarray, ranks: dict[bytes, int], names: list[str], pieces):
+    """A mapInArrow function: what _numbered gives, with the unknown words' ids last, to the ids of each document in order."""
+    first = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, pool, new = first, known_ids, True  # where each word's ids begin; new: no document of the block has come
+        parts: list[tuple[np.ndarray, np.ndarray]] = []
         for b in batches:
-            for k in range(0, b.num_rows, 1000):
-                yield lay(b.slice(k, 1000))
+            is_words = b.column(b.num_columns - 2).is_valid().to_numpy(zero_copy_only=False)
+            edges = [0, *(np.flatnonzero(np.diff(is_words)) + 1).tolist(), b.num_rows]
+            for i, j in zip(edges[:-1], edges[1:], strict=True):
+                if i == j:
+                    continue
+                run_of = b.slice(i, j - i)
+                if is_words[i]:
+                    parts = parts if new else []
+                    new = True
+                    parts.append(_word_ids(run_of.column(b.num_columns - 2).flatten(), run_of.column(b.num_columns - 1).flatten(), ranks))
+                    continue
+                if new and parts:
+                    at = np.concatenate([first, first[-1] + np.cumsum(np.concatenate([x for x, _ in parts]))])
+                    pool = np.concatenate([known_ids, *(x for _, x in parts)])
+                new = False
+                for k in range(0, run_of.num_rows, SLICE):
+                    part = run_of.slice(k, SLICE)
+                    numbers = part.column(b.num_columns - 3)
+                    w = numbers.flatten().to_numpy(zero_copy_only=False)
+                    size = at[w + 1] - at[w]
+                    end = np.concatenate([[0], np.cumsum(size)])
+                    ids = pool[np.repeat(at[w] - end[:-1], size) + np.arange(end[-1])]
+                    lists = pa.ListArray.from_arrays(pa.array(end[_ends(numbers)].astype(np.int32)), pa.array(ids))
+                    yield pa.RecordBatch.from_arrays([*part.columns[:-3], lists, *([pieces(lists)] if pieces else [])], names=names)
+        del at, pool, parts
+        _give_back()
 
     return run
 
 
+def _word_ids(words: pa.Array, ids: pa.ListArray, ranks: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers of ids of each word, and the ids; words too long for the fold are merged here."""
+    lengths, flat = ids.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64), ids.flatten().to_numpy(zero_copy_only=False).astype(np.int32)
+    long_words = np.flatnonzero(pc.greater(pc.binary_length(words.cast(pa.binary())), LONG_WORD).to_numpy(zero_copy_only=False))
+    if len(long_words):
+        at = np.cumsum(lengths) - lengths
+        merged = [np.array(heap_ids(words[int(i)].as_py().encode(), ranks), np.int32) for i in long_words]
+        flat = np.insert(flat, np.repeat(at[long_words], [len(x) for x in merged]), np.concatenate(merged))
+        lengths[long_words] = [len(x) for x in merged]
+    return lengths, flat
+
+
 def heap_ids(word: bytes, ranks: dict[bytes, int]) -> list[int]:
     return [ranks[word]] if word in ranks else heap_merge(word, ranks)
