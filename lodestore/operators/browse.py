@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -108,3 +108,29 @@ def message_trigger(messages: DataFrame, saved: DataFrame, every: int = 15) -> D
 def names(registry: DataFrame) -> DataFrame:
     """registry (category, names array) as one set of names."""
     return registry.select(F.explode("names").alias("name")).distinct()
+
+
+#: Without an identity file.
+NO_IDENTITY = "No identity configured."
+
+
+def identity(spark: SparkSession, path: str) -> str:
+    """The text of the identity file, read by Spark; a default where there is none."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    file = jvm.org.apache.hadoop.fs.Path(path)
+    if not file.getFileSystem(conf).exists(file):
+        return NO_IDENTITY
+    return spark.read.text(path, wholetext=True).agg(F.trim(F.array_join(F.collect_list("value"), "\n"), F.lit(" \t\r\n")).alias("x")).first().x
+
+
+def wake_up(chunks: DataFrame, who: str, wing: str | None = None) -> DataFrame:
+    """One row: text, the identity and the lines of the essential story by room, and tokens, a fourth of its characters."""
+    rows = essential_story(chunks if wing is None else chunks.where(F.col("wing") == wing))
+    lines = F.array_sort(F.collect_list(F.struct("room", (-F.col("weight")).alias("w"), "id", F.concat(F.lit("["), "room", F.lit("] "), "snippet").alias("line"))))
+    text = F.concat(F.lit(who), F.lit("\n\n"), F.array_join(F.transform(lines, lambda x: x["line"]), "\n"))
+    return rows.agg(text.alias("text")).withColumn("tokens", F.floor(F.char_length("text") / 4).cast("int"))
+
+
+def stack_status(chunks: DataFrame, who: str) -> DataFrame:
+    """One row: identity_tokens and total_drawers."""
+    return chunks.agg(F.lit(len(who) // 4).alias("identity_tokens"), F.count(F.lit(1)).alias("total_drawers"))

@@ -97,6 +97,11 @@ def upsert_links(links: DataFrame, new: DataFrame, now: str) -> DataFrame:
     return links.join(n, "id", "left_anti").unionByName(n)
 
 
+def delete_links(links: DataFrame, ids: DataFrame) -> DataFrame:
+    """links without those that ids (id) names; unknown ids change nothing."""
+    return links.join(ids.select("id").distinct(), "id", "left_anti")
+
+
 def list_links(links: DataFrame, wing: str | None = None) -> DataFrame:
     return links.where((F.col("source.wing") == wing) | (F.col("target.wing") == wing)) if wing else links
 

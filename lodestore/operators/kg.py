@@ -61,6 +61,11 @@ def timeline(triples: DataFrame, entities: DataFrame, name: str | None = None, l
     return _named(facts, entities).orderBy(by, "id").limit(limit)
 
 
+def list_triples(facts: DataFrame, limit: int = 100) -> DataFrame:
+    """The first facts by valid_from, undated ones last."""
+    return facts.orderBy(F.col("valid_from").asc_nulls_last(), "id").limit(limit)
+
+
 def stats(triples: DataFrame, entities: DataFrame) -> DataFrame:
     facts = triples.agg(
         F.count(F.lit(1)).alias("triples"), F.count_if(F.col("valid_to").isNull()).alias("open"),

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from lodestore.functions import memories, text
+from lodestore.functions import memories, text, tools, validate
 from lodestore.operators import bm25, browse, collection, filters, graph, kg, metrics, quality, search, vectors
 from lodestore.plans import tables as t
 
@@ -27,6 +27,13 @@ def query(sql: str | None = None):
     return put
 
 
+def _lit(x: str) -> str:
+    return "'" + x.replace("'", "''") + "'"
+
+
+_STRIP = r"regexp_replace({0}, '^\s+|\s+$', '', 'g')"
+
+
 # --- filters and reads
 
 _SHORT = "SELECT doc_id AS id, lang AS wing, source AS room, n_chars FROM documents WHERE "
@@ -73,6 +80,21 @@ def snippets(s, d):
     return t.chunks(s, d).select("id", F.md5(filters.snippet("document").cast("binary")).alias("snippet"))
 
 
+_NAMES = ("'Wing ' || doc_id", "'a/b' || doc_id", "'..' || doc_id", "'  '", "repeat('x', 100 + CAST(doc_id % 60 AS INT))", "'_lead' || doc_id", "'tail-'", "source || chr(0)", "NULL", "'née ' || lang", "'a: (b), ' || doc_id")
+_NAMED = "CASE doc_id % 11 " + " ".join(f"WHEN {i} THEN {x}" for i, x in enumerate(_NAMES)) + " END"
+_BLANK = "(v IS NULL OR trim(v) = '')"
+
+
+@query(f"""WITH n AS (SELECT doc_id AS id, {_NAMED} AS v FROM documents)
+SELECT id, CASE WHEN {_BLANK} THEN 'empty' WHEN length(trim(v)) > 128 THEN 'too long' WHEN contains(v, '..') OR contains(v, '/') THEN 'path' WHEN contains(v, chr(0)) THEN 'null byte'
+WHEN NOT regexp_full_match(trim(v), '[\\p{{L}}\\p{{N}}]|[\\p{{L}}\\p{{N}}][\\p{{L}}\\p{{N}}_ .''-]{{0,126}}[\\p{{L}}\\p{{N}}]') THEN 'characters' END AS as_name,
+CASE WHEN {_BLANK} THEN 'empty' WHEN length(trim(v)) > 128 THEN 'too long' WHEN contains(v, chr(0)) THEN 'null byte' END AS as_fact,
+CASE WHEN {_BLANK} THEN 'empty' WHEN length(repeat(v, 700)) > 100000 THEN 'too long' WHEN contains(v, chr(0)) THEN 'null byte' END AS as_content FROM n""".replace("\\\\", "\\"))
+def value_faults(s, d):
+    rows = t.table(s, d, "documents").select(F.col("doc_id").alias("id"), F.expr(_NAMED).alias("v"))
+    return rows.select("id", validate.name_fault(F.col("v")).alias("as_name"), validate.fact_fault(F.col("v")).alias("as_fact"), validate.content_fault(F.repeat("v", F.lit(700))).alias("as_content"))
+
+
 # --- vectors
 
 _COS = "1 - list_cosine_similarity(e.embedding::DOUBLE[], q.embedding::DOUBLE[])"
@@ -322,6 +344,20 @@ def essential_story(s, d):
     return browse.essential_story(c).select("room", "id", "weight", "spent")
 
 
+_STORY = ORACLE_SQL["essential_story"].replace("AS n FROM c", "AS n, CASE WHEN length(x) > 200 THEN substr(x, 1, 200) || '...' ELSE x END AS snippet FROM c").replace("SELECT room, id, weight, spent FROM u", "SELECT room, id, weight, snippet FROM u")
+
+
+@query(f"""SELECT md5(text) AS text, CAST(floor(length(text) / 4) AS INT) AS tokens FROM (SELECT 'I am a store.' || chr(10) || chr(10) || string_agg('[' || room || '] ' || snippet, chr(10) ORDER BY room, weight DESC, id) AS text FROM ({_STORY}))""")
+def wake_up(s, d):
+    c = t.chunks(s, d).withColumn("importance", F.col("n_chars") % 7)
+    return browse.wake_up(c, "I am a store.").withColumn("text", F.md5(F.col("text").cast("binary")))
+
+
+@query("SELECT 3 AS identity_tokens, count(*) AS total_drawers FROM documents")
+def stack_status(s, d):
+    return browse.stack_status(t.chunks(s, d), "I am a store.")
+
+
 @query("SELECT doc_id AS id, lang AS wing, source AS room FROM documents WHERE lang = 'fr' ORDER BY doc_id LIMIT 10")
 def recall_wing(s, d):
     return browse.recall(t.chunks(s, d), wing="fr").select("id", "wing", "room")
@@ -424,6 +460,13 @@ def link_upsert(s, d):
     return _links(s, d).select("id", "created_at")
 
 
+@query("SELECT n_name AS wing FROM nation WHERE n_nationkey % 3 <> 0")
+def link_delete(s, d):
+    links = _links(s, d)
+    gone = links.where("CAST(source.drawer_id AS INT) % 3 = 0").select("id").unionByName(s.createDataFrame([("unknown",)], "id string"))
+    return graph.delete_links(links, gone).select(F.col("source.wing").alias("wing"))
+
+
 @query("SELECT n_name AS wing, r_name AS other FROM nation JOIN region ON n_regionkey = r_regionkey WHERE r_name = (SELECT min(r_name) FROM region)")
 def list_links(s, d):
     first = t.table(s, d, "region").agg(F.min("r_name")).first()[0]
@@ -473,6 +516,11 @@ def kg_timeline(s, d):
     return kg.timeline(t.facts(s, d), t.entities(s, d)).select("subject", "predicate", "valid_from")
 
 
+@query(f"SELECT id, subject, valid_from FROM ({_FACTS}) ORDER BY valid_from ASC NULLS LAST, id LIMIT 100")
+def kg_list(s, d):
+    return kg.list_triples(t.facts(s, d)).select("id", "subject", "valid_from")
+
+
 @query(f"""SELECT count(*) AS triples, count(*) FILTER (valid_to IS NULL) AS open, count(*) FILTER (valid_to IS NOT NULL) AS closed, string_agg(DISTINCT predicate, ',' ORDER BY predicate) AS predicates,
 (SELECT count(DISTINCT user_id) + count(*) FROM events) AS entities FROM ({_FACTS})""")
 def kg_stats(s, d):
@@ -651,13 +699,6 @@ def near_dup_pairs(s, d):
 # --- text
 
 
-def _lit(x: str) -> str:
-    return "'" + x.replace("'", "''") + "'"
-
-
-_STRIP = r"regexp_replace({0}, '^\s+|\s+$', '', 'g')"
-
-
 @query(r"""SELECT doc_id AS id, len(list_filter(list_transform(str_split(text, chr(10) || chr(10)), lambda x: regexp_replace(x, '^\s+|\s+$', '', 'g')), lambda x: x <> '')) AS paragraphs FROM documents""")
 def paragraph_counts(s, d):
     c = F.filter(F.transform(F.split("document", "\n\n"), text.strip), lambda p: p != "")
@@ -793,6 +834,36 @@ def merged_runs(s, d):
     return merged(t.messages(s, d)).select("session_id", "role", "run", "n")
 
 
+_TOOL = "['Bash', 'Read', 'Grep', 'Glob', 'Edit', 'Write', 'Other'][doc_id % 7 + 1]"
+
+
+@query(f"""WITH c AS (SELECT doc_id AS id, {_TOOL} AS tool, repeat('run ', CAST(doc_id % 80 AS INT)) AS command, '/f/' || doc_id AS path, doc_id % 2 = 0 AS even FROM documents)
+SELECT id, CASE tool WHEN 'Bash' THEN '[Bash] ' || CASE WHEN length(command) > 200 THEN substr(command, 1, 200) || '...' ELSE command END
+WHEN 'Read' THEN '[Read ' || path || CASE WHEN even THEN ':10-' || (10 + id) ELSE '' END || ']' WHEN 'Grep' THEN '[Grep] x+ in ' || CASE WHEN even THEN path ELSE '*.py' END WHEN 'Glob' THEN '[Glob] x+'
+WHEN 'Other' THEN '[Other] ' || CASE WHEN length(j) > 200 THEN substr(j, 1, 200) || '...' ELSE j END ELSE '[' || tool || ' ' || path || ']' END AS line
+FROM (SELECT *, '{{"command":"' || command || '"}}' AS j FROM c)""")
+def tool_calls(s, d):
+    c = t.chunks(s, d).select("id", F.element_at(F.array(*[F.lit(x) for x in ("Bash", "Read", "Grep", "Glob", "Edit", "Write", "Other")]), (F.col("id") % 7 + 1).cast("int")).alias("tool"))
+    i, path, even = F.col("id").cast("string"), F.concat(F.lit('"/f/'), F.col("id").cast("string"), F.lit('"')), F.col("id") % 2 == 0
+    command = F.concat(F.lit('{"command":"'), F.repeat(F.lit("run "), (F.col("id") % 80).cast("int")), F.lit('"}'))
+    span = F.when(even, F.concat(F.lit(',"offset":10,"limit":'), i)).otherwise(F.lit(""))
+    where = F.when(even, F.concat(F.lit(',"path":'), path)).otherwise(F.lit(',"path":"","glob":"*.py"'))
+    asked = F.when(F.col("tool").isin("Bash", "Other"), command).when(F.col("tool").isin("Grep", "Glob"), F.concat(F.lit('{"pattern":"x+"'), where, F.lit("}"))).otherwise(F.concat(F.lit('{"file_path":'), path, span, F.lit("}")))
+    return c.select("id", tools.call(F.col("tool"), asked).alias("line"))
+
+
+@query(f"""WITH c AS (SELECT doc_id AS id, {_TOOL} AS tool, CASE WHEN doc_id % 7 = 6 THEN text ELSE array_to_string(list_transform(range(0, doc_id % 60), lambda i: 'row ' || i), chr(10)) END AS raw FROM documents),
+l AS (SELECT *, {_STRIP.format('raw')} AS x FROM c), n AS (SELECT *, string_split(x, chr(10)) AS ls FROM l), a AS (SELECT *, len(ls) AS n FROM n)
+SELECT id, md5(CASE WHEN x = '' OR tool IN ('Read', 'Edit', 'Write') THEN '' WHEN tool = 'Bash' AND n > 40 THEN '→ ' || array_to_string(ls[:20], E'\\n→ ') || E'\\n→ ' || '... [' || (n - 40) || ' lines omitted] ...' || E'\\n→ ' || array_to_string(ls[n - 19:], E'\\n→ ')
+WHEN tool IN ('Grep', 'Glob') AND n > 20 THEN '→ ' || array_to_string(ls[:20], E'\\n→ ') || E'\\n→ ' || '... [' || (n - 20) || ' more matches]' WHEN tool IN ('Bash', 'Grep', 'Glob') THEN '→ ' || array_to_string(ls, E'\\n→ ')
+WHEN length(x) > 2048 THEN '→ ' || substr(x, 1, 2048) || '... [truncated, ' || length(x) || ' chars]' ELSE '→ ' || x END) AS line FROM a""")
+def tool_results(s, d):
+    c = t.chunks(s, d).withColumn("tool", F.element_at(F.array(*[F.lit(x) for x in ("Bash", "Read", "Grep", "Glob", "Edit", "Write", "Other")]), (F.col("id") % 7 + 1).cast("int")))
+    rows = F.expr("array_join(transform(slice(sequence(0, 59), 1, CAST(id % 60 AS INT)), i -> concat('row ', i)), '\n')")
+    raw = F.when(F.col("tool") == "Other", F.col("document")).otherwise(rows)
+    return c.select("id", F.md5(tools.result(F.col("tool"), raw).cast("binary")).alias("line"))
+
+
 # --- measures
 
 _REL = "SELECT item_id AS query_id, doc_id AS id FROM benchmark b JOIN documents d ON contains(d.text, b.text)"
