@@ -67,6 +67,25 @@ def from_tool(rows: DataFrame, base: DataFrame, added_by: str = "tool") -> DataF
     return n.join(base.select("id"), "id", "left_anti")
 
 
+def sentinels(files: DataFrame, chunks: DataFrame, added_by: str = "miner", version: int = 2) -> DataFrame:
+    """Marker rows (room _registry) for files (wing, source_file) that gave no chunk, so that they aren't read again."""
+    none = files.select("wing", "source_file").distinct().join(chunks.select("source_file").distinct(), "source_file", "left_anti")
+    key = F.substring(F.sha2(F.col("source_file").cast("binary"), 256), 1, 24)
+    return none.select(F.concat(F.lit("_reg_"), key).alias("id"), "wing", F.lit("_registry").alias("room"), "source_file", F.lit(added_by).alias("added_by"), F.lit("registry").alias("ingest_mode"), F.lit(version).alias("normalize_version"))
+
+
+def transcript_wing(path: Column) -> Column:
+    """The wing of a transcript's project folder."""
+    project = F.regexp_extract(F.replace(path, F.lit("\\"), F.lit("/")), r"-Projects-([^/]+?)(?:/|$)", 1)
+    return F.when(project != "", F.concat(F.lit("wing_"), F.replace(F.lower(project), F.lit(" "), F.lit("_")))).otherwise("wing_sessions")
+
+
+def store_name(path: Column) -> Column:
+    """A name for the store at an absolute path: its last folder in safe characters and eight digits of the path's hash."""
+    base = F.regexp_replace(F.regexp_replace(F.element_at(F.split(path, "/"), -1), r"[^A-Za-z0-9_]", "_"), r"^_+|_+$", "")
+    return F.concat(F.when(base != "", base).otherwise("palace"), F.lit("_"), F.substring(F.sha2(path.cast("binary"), 256), 1, 8))
+
+
 def stale_sources(files: DataFrame, chunks: DataFrame, version: int = 2) -> DataFrame:
     """files (source_file, source_mtime) that aren't in the store as they are now, by version and time."""
     m = chunks.where(F.col("normalize_version") >= version).select("source_file", F.col("source_mtime").alias("m")).distinct()

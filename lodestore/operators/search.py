@@ -114,6 +114,50 @@ def name_factor(query: Column, document: Column, weight: float = 0.40, not_names
     return F.when(F.size(names) > 0, 1 - weight * term_hits(F.transform(names, F.lower), document) / F.size(names)).otherwise(F.lit(1.0))
 
 
+# Phrases of time, in the order in which they are looked for, with days back (0: the number in the phrase, times a factor) and tolerance.
+OFFSETS: tuple[tuple[str, int, int, int], ...] = (
+    (r"(\d+)\s+days?\s+ago", 0, 1, 2), (r"a\s+couple\s+(?:of\s+)?days?\s+ago", 2, 1, 2), (r"yesterday", 1, 1, 1), (r"a\s+week\s+ago", 7, 1, 3),
+    (r"(\d+)\s+weeks?\s+ago", 0, 7, 5), (r"last\s+week", 7, 1, 3), (r"a\s+month\s+ago", 30, 1, 7), (r"(\d+)\s+months?\s+ago", 0, 30, 10),
+    (r"last\s+month", 30, 1, 7), (r"last\s+year", 365, 1, 30), (r"a\s+year\s+ago", 365, 1, 30), (r"recently", 14, 1, 14),
+)
+# How users say what they prefer or are concerned with.
+PREFERENCES: tuple[str, ...] = (
+    r"i(?:'ve been| have been) having (?:trouble|issues?|problems?) with ([^,\.!?]{5,80})", r"i(?:'ve been| have been) feeling ([^,\.!?]{5,60})",
+    r"i(?:'ve been| have been) (?:struggling|dealing) with ([^,\.!?]{5,80})", r"i(?:'ve been| have been) (?:worried|concerned) about ([^,\.!?]{5,80})",
+    r"i(?:'m| am) (?:worried|concerned) about ([^,\.!?]{5,80})", r"i prefer ([^,\.!?]{5,60})", r"i usually ([^,\.!?]{5,60})",
+    r"i(?:'ve been| have been) (?:trying|attempting) to ([^,\.!?]{5,80})", r"i(?:'ve been| have been) (?:considering|thinking about) ([^,\.!?]{5,80})",
+    r"lately[,\s]+(?:i've been|i have been|i'm|i am) ([^,\.!?]{5,80})", r"recently[,\s]+(?:i've been|i have been|i'm|i am) ([^,\.!?]{5,80})",
+    r"i(?:'ve been| have been) (?:working on|focused on|interested in) ([^,\.!?]{5,80})", r"i want to ([^,\.!?]{5,60})",
+    r"i(?:'m| am) looking (?:to|for) ([^,\.!?]{5,60})", r"i(?:'m| am) thinking (?:about|of) ([^,\.!?]{5,60})", r"i(?:'ve been| have been) (?:noticing|experiencing) ([^,\.!?]{5,80})",
+)
+
+
+def time_offset(question: Column) -> Column:
+    """struct(days, tolerance) of the first phrase of OFFSETS in a question, or null; with temporal_factor this boosts dated documents."""
+    q = F.lower(question)
+    found = F.when(F.lit(False), F.struct(F.lit(0).alias("days"), F.lit(0).alias("tolerance")))
+    for pattern, days, factor, tolerance in OFFSETS:
+        back = F.lit(days) if days else F.regexp_extract(q, pattern, 1).try_cast("int") * factor
+        found = found.when(F.regexp_like(q, F.lit(pattern)), F.struct(back.alias("days"), F.lit(tolerance).alias("tolerance")))
+    return found
+
+
+def preferences(turns: DataFrame, by: str = "session_id", order: str = "ts", role: str = "role", text: str = "text") -> DataFrame:
+    """by, mention: what users say they prefer or are concerned with, once each, by the place of its first turn; a document for each session follows by joining them."""
+    found = [F.transform(F.regexp_extract_all(F.lower(text), F.lit(p), F.lit(1)), lambda m, i=i: F.struct(F.lit(i).alias("pattern"), m.alias("m"))) for i, p in enumerate(PREFERENCES)]
+    rows = turns.where(F.col(role) == "user").select(by, F.col(order).alias("at"), F.posexplode(F.concat(*found)).alias("k", "x"))
+    clean = F.regexp_replace(F.trim("x.m"), r"[.,;!? ]+$", "")
+    rows = rows.select(by, clean.alias("mention"), F.struct("at", "x.pattern", "k").alias("place")).where(F.char_length("mention").between(5, 80))
+    return rows.groupBy(by, "mention").agg(F.min("place").alias("place"))
+
+
+def predicate_factor(query: Column, document: Column, stop: Sequence[str] = (), not_names: Sequence[str] = (), words: float = 0.50, quoted: float = 0.60, names: float = 0.20) -> Column:
+    """Factor of a distance from a query's keywords other than its names, its quoted phrases and its names."""
+    said = F.transform(F.array_except(F.regexp_extract_all(query, F.lit(r"\b([A-Z][a-z]{2,15})\b"), F.lit(1)), F.array(*[F.lit(x) for x in not_names]).cast("array<string>")), F.lower)
+    about = F.array_except(keywords(query, stop), said)
+    return keyword_overlap(F.lit(1.0), document, about, words) * quoted_factor(query, document, quoted) * name_factor(query, document, names, not_names or ("",))
+
+
 def two_pass(first: DataFrame, second: DataFrame, k: int) -> DataFrame:
     """Hits of a first search in its order, then those of a second that it hasn't; (query_id, id, rank)."""
     both = first.select("query_id", "id", F.lit(0).alias("pass"), "rank").unionByName(second.select("query_id", "id", F.lit(1).alias("pass"), "rank"))

@@ -300,6 +300,43 @@ def diary_entries(s, d):
     return text.diary_entries(days).select("id", F.col("entry").cast("int").alias("entry"), "text")
 
 
+_ASKED = ("'What did I buy ' || doc_id % 40 || ' days ago?'", "'A couple of days ago, or last week?'", "'Yesterday I said'", "'a week ago'", "(doc_id % 5) || ' weeks ago or 3 months ago'", "'LAST  WEEK'", "'a month ago'",
+          "(doc_id % 9) || ' months ago'", "'last month, last year'", "'last year'", "'a year ago'", "'Recently so'", "'never'")
+_ASK = f"CASE doc_id % {len(_ASKED)} " + " ".join(f"WHEN {i} THEN {x}" for i, x in enumerate(_ASKED)) + " END"
+
+
+@query(f"WITH q AS (SELECT doc_id AS id, lower({_ASK}) AS q FROM documents), " + "f AS (SELECT id, CASE " + " ".join(
+    f"WHEN regexp_matches(q, {_lit(p)}) THEN [{days if days else f'CAST(regexp_extract(q, {_lit(p)}, 1) AS INT) * {k}'}, {tol}]" for p, days, k, tol in search.OFFSETS
+) + " END AS f FROM q) SELECT id, CAST(f[1] AS INT) AS days, CAST(f[2] AS INT) AS tolerance FROM f")
+def time_offsets(s, d):
+    rows = t.table(s, d, "documents").select(F.col("doc_id").alias("id"), search.time_offset(F.expr(_ASK)).alias("x"))
+    return rows.select("id", "x.days", "x.tolerance")
+
+
+_SAY = ("'I prefer tea with ' || role || '. I prefer tea with ' || role || '!'", "'lately, I''ve been working on part ' || conv_id || ', and i want to rest more?'", "'I am looking for a ' || text", "text", "'i usually go; i''m worried about turn ' || turn")
+_SAID = "CASE (conv_id + turn) % 5 " + " ".join(f"WHEN {i} THEN {x}" for i, x in enumerate(_SAY)) + " END"
+
+
+@query(f"WITH c AS (SELECT conv_id AS session_id, lower({_SAID}) AS x FROM conversations WHERE role = 'user'), m AS (" + " UNION ALL ".join(
+    f"SELECT session_id, unnest(regexp_extract_all(x, {_lit(p)}, 1)) AS m FROM c" for p in search.PREFERENCES
+) + r"), k AS (SELECT session_id, regexp_replace(trim(m), '[.,;!? ]+$', '') AS mention FROM m) SELECT DISTINCT session_id, mention FROM k WHERE length(mention) BETWEEN 5 AND 80")
+def preference_mentions(s, d):
+    turns = t.table(s, d, "conversations").withColumn("text", F.expr(_SAID)).withColumnsRenamed({"conv_id": "session_id", "turn": "ts"})
+    return search.preferences(turns).select("session_id", "mention")
+
+
+_QUERY = 'Did Anna ever say "good night" about garden roses near Rome?'
+_HAS = lambda x: f"contains(low, '{x}')::INT"
+
+
+@query(f"""WITH d AS (SELECT doc_id AS id, lower(CASE doc_id % 4 WHEN 0 THEN 'Anna said good night.' WHEN 1 THEN 'roses in the garden of Rome' WHEN 2 THEN 'anna and rome, near' ELSE text END) AS low FROM documents)
+SELECT id, round((1 - 0.5 * ({' + '.join(map(_HAS, ('say', 'good', 'night', 'garden', 'roses', 'near')))}) / 6) * (1 - 0.6 * {_HAS('good night')}) * (1 - 0.2 * ({_HAS('anna')} + {_HAS('rome')}) / 2), 6) AS factor FROM d""")
+def predicate_fusion(s, d):
+    doc = F.when(F.col("id") % 4 == 0, "Anna said good night.").when(F.col("id") % 4 == 1, "roses in the garden of Rome").when(F.col("id") % 4 == 2, "anna and rome, near").otherwise(F.col("document"))
+    factor = search.predicate_factor(F.lit(_QUERY), doc, stop=("did", "ever", "about"), not_names=("Did",))
+    return t.chunks(s, d).select("id", F.round(factor, 6).alias("factor"))
+
+
 # --- counts and browsing
 
 
@@ -657,6 +694,23 @@ def kg_upsert_entities(s, d):
     return kg.upsert_entities(e, new).select("id", "name")
 
 
+@query(f"SELECT '_reg_' || substr(sha256(f), 1, 24) AS id, lang AS wing, f AS source_file FROM (SELECT DISTINCT lang, concat_ws('/', source, k) AS f FROM documents, (VALUES (0), (7)) v(k)) WHERE f NOT IN (SELECT source_file FROM ({_DRAWERS}))")
+def registry_rows(s, d):
+    c = _drawers(s, d)
+    files = t.chunks(s, d).select("wing", F.explode(F.array(*[F.concat_ws("/", "room", F.lit(k)) for k in ("0", "7")])).alias("source_file"))
+    return collection.sentinels(files, c).select("id", "wing", "source_file")
+
+
+_PATH = "CASE doc_id % 4 WHEN 0 THEN '/h/u/-home-u-Projects-My App' || doc_id || '/s.jsonl' WHEN 1 THEN 'C:\\p\\-Projects-Tool' WHEN 2 THEN '/srv/' || source ELSE '/' END"
+
+
+@query("SELECT doc_id, " + "CASE doc_id % 4 WHEN 0 THEN 'wing_my_app' || doc_id WHEN 1 THEN 'wing_tool' ELSE 'wing_sessions' END AS wing, "
+       "CASE doc_id % 4 WHEN 0 THEN 's_jsonl' WHEN 1 THEN 'C__p__Projects_Tool' WHEN 2 THEN source ELSE 'palace' END || '_' || substr(sha256(" + _PATH + "), 1, 8) AS store FROM documents")
+def derived_names(s, d):
+    p = F.expr(_PATH.replace("\\", "\\\\"))
+    return t.table(s, d, "documents").select("doc_id", collection.transcript_wing(p).alias("wing"), collection.store_name(p).alias("store"))
+
+
 # --- quality
 
 
