@@ -735,7 +735,14 @@ def eav_pivot(s, d):
     return quality.eav_pivot(rows, ["brand", "size"])
 
 
-@query()
+@query("""WITH RECURSIVE e AS (SELECT vec_id AS id, CAST(label AS VARCHAR) AS source_file, embedding::DOUBLE[] AS v, 20 + vec_id % 50 AS n, count(*) OVER (PARTITION BY label) AS size,
+       row_number() OVER (PARTITION BY label ORDER BY 20 + vec_id % 50 DESC, vec_id) AS pos FROM embeddings),
+c AS (SELECT a.id, list(b.id) AS close FROM e a JOIN e b ON a.source_file = b.source_file AND a.id <> b.id AND 1 - list_cosine_similarity(a.v, b.v) < 0.15 GROUP BY 1),
+o AS (SELECT e.*, coalesce(close, []) AS close FROM e LEFT JOIN c USING (id) WHERE size >= 5),
+g(source_file, pos, kept) AS (SELECT DISTINCT source_file, CAST(0 AS BIGINT), CAST([] AS BIGINT[]) FROM o UNION ALL
+  SELECT g.source_file, o.pos, CASE WHEN n >= 20 AND NOT list_has_any(kept, close) THEN list_append(kept, id) ELSE kept END FROM g JOIN o ON o.source_file = g.source_file AND o.pos = g.pos + 1),
+f AS (SELECT source_file, max_by(kept, pos) AS kept FROM g GROUP BY 1)
+SELECT o.id, o.source_file, list_contains(f.kept, o.id) AS kept FROM o JOIN f USING (source_file) UNION ALL SELECT id, source_file, true FROM e WHERE size < 5""")
 def near_dup_greedy(s, d):
     v = t.vectors(s, d).withColumn("document", F.repeat(F.lit("x"), 20 + F.col("id").cast("int") % 50)).withColumnRenamed("wing", "source_file")
     return quality.near_duplicates(v)
@@ -785,7 +792,13 @@ def fixed_chunks(s, d):
     return text.chunked(t.chunks(s, d), "id", "document")
 
 
-@query()
+@query(rf"""WITH d AS (SELECT conv_id AS id, string_agg(CASE WHEN role = 'user' THEN '> ' || replace(text, chr(10), ' ') ELSE text END, chr(10) ORDER BY turn) AS text FROM conversations GROUP BY 1),
+l AS (SELECT id, generate_subscripts(ls, 1) AS k, {_STRIP.format('unnest(ls)')} AS x FROM (SELECT id, string_split(text, chr(10)) AS ls FROM d)),
+m AS (SELECT *, sum((starts_with(x, '>') OR starts_with(x, '---'))::INT) OVER (PARTITION BY id ORDER BY k) AS grp, count(*) FILTER (starts_with(x, '>')) OVER (PARTITION BY id) AS turns FROM l),
+g AS (SELECT id, grp, first(x ORDER BY k) AS head, string_agg(x, ' ' ORDER BY k) FILTER (x <> '' AND k > first_k) AS tail FROM (SELECT *, min(k) OVER (PARTITION BY id, grp) AS first_k FROM m WHERE turns >= 3 AND grp > 0) GROUP BY 1, 2),
+c AS (SELECT id, grp, head || coalesce(chr(10) || tail, '') AS text FROM g WHERE starts_with(head, '>')),
+p AS (SELECT id, grp, i, substr(text, i * 800 + 1, 800) AS content FROM (SELECT *, unnest(range(0, (length(text) - 1) // 800 + 1)) AS i FROM c))
+SELECT id, CAST(row_number() OVER (PARTITION BY id ORDER BY grp, i) - 1 AS INT) AS chunk_index, content FROM p WHERE length({_STRIP.format('content')}) > 30""")
 def exchange_chunks(s, d):
     rows = t.table(s, d, "conversations")
     line = F.when(F.col("role") == "user", F.concat(F.lit("> "), F.replace("text", F.lit("\n"), F.lit(" ")))).otherwise(F.col("text"))
@@ -818,7 +831,19 @@ def entity_tags(s, d):
     return t.chunks(s, d).select("id", text.entity_tags("document").alias("entities"))
 
 
-@query()
+_WORD = r"[\p{L}\p{N}_\p{M}]"
+_ACTION = rf"(?i)(?:{text.ACTIONS})\s+(?:{_WORD}|\s){{3,40}}"
+
+
+@query(rf"""WITH c AS (SELECT CAST(doc_id AS VARCHAR) AS source_file, lang, source, substr(text, 1, 5000) AS x FROM documents),
+w AS (SELECT source_file, w, count(*) AS n, min(k) AS first FROM (SELECT source_file, unnest(ws) AS w, generate_subscripts(ws, 1) AS k FROM (SELECT source_file, regexp_extract_all(x, '{_WORD}+') AS ws FROM c))
+      WHERE regexp_full_match(w, '[A-Z][a-z]{{2,19}}') AND w NOT IN ({", ".join(map(_lit, text.NOT_NAMES))}) GROUP BY 1, 2 HAVING count(*) >= 2),
+e AS (SELECT source_file, string_agg(w, ';' ORDER BY n DESC, first) AS entities FROM (SELECT *, row_number() OVER (PARTITION BY source_file ORDER BY n DESC, first) AS r FROM w) WHERE r <= 5 GROUP BY 1),
+t AS (SELECT *, list_transform(list_concat(regexp_extract_all(x, {_lit(_ACTION)}), regexp_extract_all(x, '(?m)^#{{1,3}}\s+(.{{5,60}})$', 1)), lambda y: lower({_STRIP.format('y')})) AS raw,
+      list_transform(regexp_extract_all(x, '"([^"]{{15,150}})"', 1)[:3], lambda q: '"' || q || '"') AS quotes FROM c),
+u AS (SELECT *, list_filter(raw, lambda y, i: list_position(raw, y) = i)[:12] AS topics FROM t),
+h AS (SELECT *, CASE WHEN len(topics) + len(quotes) > 0 THEN list_concat(topics, quotes) ELSE [concat_ws('/', lang, source, source_file)] END AS heads FROM u)
+SELECT h.source_file, CAST(generate_subscripts(heads, 1) - 1 AS INT) AS line_no, unnest(heads) || '|' || coalesce(entities, '') || '|→' || h.source_file AS line FROM h LEFT JOIN e USING (source_file)""")
 def index_lines(s, d):
     c = t.chunks(s, d).select(F.col("id").cast("string").alias("source_file"), F.col("document").alias("content"), "wing", "room", F.array(F.col("id").cast("string")).alias("chunk_ids"))
     return text.index_lines(c)
