@@ -268,11 +268,11 @@ def quoted_name_boost(s, d):
     return t.table(s, d, "nation").select(F.col("n_nationkey").alias("id"), F.round(names * search.quoted_factor(q, doc), 6).alias("factor"))
 
 
-@query("""SELECT doc_id AS id, CASE WHEN doc_id % 3 = 0 THEN [] WHEN doc_id % 3 = 1 THEN ['a' || doc_id, 'b_' || doc_id] ELSE ['x' || doc_id, 'y'] END AS refs FROM documents""")
+@query("""SELECT doc_id AS id, CASE WHEN doc_id % 3 = 0 THEN '' WHEN doc_id % 3 = 1 THEN 'a' || doc_id || ';b_' || doc_id ELSE 'x' || doc_id || ';y' || chr(59) || 'x' END AS refs FROM documents""")
 def pointer_parse(s, d):
     i = F.col("id").cast("string")
     line = F.when(F.col("id") % 3 == 0, "topic||").when(F.col("id") % 3 == 1, F.concat(F.lit("topic|Name|→a"), i, F.lit(",b_"), i)).otherwise(F.concat(F.lit("one||→x"), i, F.lit("\ntwo|N|→y,x"), i))
-    return t.chunks(s, d).select("id", search.pointers(line).alias("refs"))
+    return t.chunks(s, d).select("id", F.array_join(search.pointers(line), ";").alias("refs"))
 
 
 @query(_KNN.format(where="", k=20).replace("SELECT query_id, id, round(d, 6) AS distance, CAST(rank AS INT) AS rank", "SELECT query_id, id, round(d * CASE WHEN (SELECT label FROM embeddings x WHERE x.vec_id = r.id) = query_id % 7 THEN 0.8 ELSE 1 END, 6) AS distance"))
@@ -849,7 +849,10 @@ def index_lines(s, d):
     return text.index_lines(c)
 
 
-@query()
+@query(f"""WITH RECURSIVE l AS ({ORACLE_SQL['index_lines']}), n AS (SELECT *, length(line) + 1 AS n FROM l),
+p(source_file, line_no, line, used, pack) AS (SELECT source_file, line_no, line, n, 1 FROM n WHERE line_no = 0 UNION ALL
+  SELECT n.source_file, n.line_no, n.line, CASE WHEN used + n.n > 1500 THEN n.n ELSE used + n.n END, CASE WHEN used + n.n > 1500 THEN pack + 1 ELSE pack END FROM p JOIN n ON n.source_file = p.source_file AND n.line_no = p.line_no + 1)
+SELECT source_file, line_no, line, CAST(pack AS INT) AS pack_no FROM p""")
 def index_packs(s, d):
     return quality.greedy_pack(index_lines(s, d))
 
