@@ -268,7 +268,7 @@ def quoted_name_boost(s, d):
     return t.table(s, d, "nation").select(F.col("n_nationkey").alias("id"), F.round(names * search.quoted_factor(q, doc), 6).alias("factor"))
 
 
-@query("""SELECT doc_id AS id, CASE WHEN doc_id % 3 = 0 THEN '' WHEN doc_id % 3 = 1 THEN 'a' || doc_id || ';b_' || doc_id ELSE 'x' || doc_id || ';y' || chr(59) || 'x' END AS refs FROM documents""")
+@query("""SELECT doc_id AS id, CASE WHEN doc_id % 3 = 0 THEN '' WHEN doc_id % 3 = 1 THEN 'a' || doc_id || ';b_' || doc_id ELSE 'x' || doc_id || ';y' END AS refs FROM documents""")
 def pointer_parse(s, d):
     i = F.col("id").cast("string")
     line = F.when(F.col("id") % 3 == 0, "topic||").when(F.col("id") % 3 == 1, F.concat(F.lit("topic|Name|→a"), i, F.lit(",b_"), i)).otherwise(F.concat(F.lit("one||→x"), i, F.lit("\ntwo|N|→y,x"), i))
