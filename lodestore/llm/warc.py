@@ -9,8 +9,11 @@ reachable and its bytes go back to the record around it.
 
 Defined results: null payload counts as empty. Equal payloads of at least ``min_bytes`` have one
 response, at the largest id, and revisits of it; smaller ones are all responses. Null ids are
-written as empty and read as null; rows with one id are separate records. Text after the last
-reachable record is ignored; a file that doesn't start with a record has none.
+written as empty and read as null; rows with one id are separate records. Equal payloads that all have a
+null id are all responses, as none can be referred to. Line ends within a URL, which would end its header
+field, are left out. Text after the last reachable record is ignored; a file that doesn't start with a
+record has none. A file's pieces are read twice and matched by their running number, so settings that
+cut files into ranges must stay as they are between the two.
 """
 
 from __future__ import annotations
@@ -29,7 +32,7 @@ MAGIC, END = "WARC/1.0\r\n", "\r\n\r\n"
 MIN_BYTES = 1000
 #: Ways into which the pages of one digest are dealt, against hot payloads.
 SALTS = 16
-#: Rows up to which a table of copied payloads, or of pieces to put together, is broadcast.
+#: Rows up to which a table of copied payloads, or of pieces to put together, is broadcast; a row has a digest and an id, or a path and four numbers.
 BROADCAST_ROWS = 50_000
 
 
