@@ -5,9 +5,10 @@ Spark's ORC writer, so stripes are read in parallel and a range or a single id p
 stripes by their statistics and Bloom filters. The tokens before a document are a
 running sum within a file upon the sum of the files before.
 
-White space never joins or takes part in a token of the tokenizers meant here, so a text's
+White space never joins or takes part in a token of the tokenizers meant here (NORMALIZERS and the
+pre-tokenizer of one file; with others whole texts are encoded), so a text's
 ids are those of its chunks between blanks; chunks met before in the worker are taken
-from a bounded cache, each other chunk is encoded by the library. Special tokens in a text get
+from a cache of bounded bytes, each other chunk is encoded by the library. Special tokens in a text get
 their own ids, as is the library's default; a chunk that holds one is encoded whole.
 
 Defined results: null text counts as empty and has the end id alone. Null ids come first;
@@ -17,6 +18,7 @@ empty table gives an archive without documents. Other columns are not written.
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import unicodedata
@@ -33,6 +35,11 @@ from lodestore.llm.common import stored, text_or_empty
 
 #: Chunks, and parts of chunks, that a worker's caches hold; they start anew beyond.
 CACHE_CHUNKS, CACHE_PARTS = 600_000, 1_200_000
+#: Characters of a chunk that the caches keep, at most.
+CACHED_CHARS = 128
+# How a tokenizer prepares a text that may be cut between blanks.
+NORMALIZERS = ["NFC", "Replace", "Lowercase"]
+PRE_TOKENIZER = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 #: Stands between chunks that are encoded together.
 MARK = "\x01"
 #: Bytes that Python counts as white space and the tokenizer doesn't.
@@ -54,7 +61,12 @@ class _Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.cache: dict[str, bytes] = {}
         self.parts: dict[str, bytes] = {}
-        (self.mark,) = self._encode(MARK)
+        known = json.loads(self.tokenizer.to_str())
+        normalizers = [x["type"] for x in (known["normalizer"] or {}).get("normalizers", [])]
+        split = (known["pre_tokenizer"] or {}).get("pretokenizers", [{}])[0].get("pattern", {}).get("Regex")
+        self.by_chunk = (normalizers, split) == (NORMALIZERS, PRE_TOKENIZER)
+        if self.by_chunk:
+            (self.mark,) = self._encode(MARK)
 
     def learn(self, new: set[str]) -> dict[str, bytes]:
         """The ids of chunks that the cache hasn't, which has them afterwards."""
@@ -79,7 +91,10 @@ class _Encoder:
             if MARK in c:
                 self.parts[c] = np.array(self._encode(c), "<u4").tobytes()
         learned = {c: b"".join(map(self.parts.__getitem__, ps)) for c, ps in cut.items()}
-        self.cache.update(learned)
+        self.cache.update((c, x) for c, x in learned.items() if len(c) <= CACHED_CHARS)
+        for c in parts:
+            if len(c) > CACHED_CHARS:
+                del self.parts[c]
         return learned
 
     @staticmethod
@@ -98,6 +113,8 @@ class _Encoder:
         return self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
 
     def ids(self, texts: list[str]) -> list[bytes]:
+        if not self.by_chunk:
+            return [np.array(self._encode(t), "<u4").tobytes() for t in texts]
         out = []
         for at in range(0, len(texts), 64):
             chunks = [_BLANK.split(t) if _ODD.search(t) else t.split() for t in texts[at : at + 64]]
