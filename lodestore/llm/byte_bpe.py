@@ -3,8 +3,10 @@
 Each match of the split pattern is a word. A word that is a token itself is one id;
 any other is cut into its bytes and an ``aggregate`` folds the merges, lowest rank and
 then leftmost first, looking ranks up in a literal map from pairs of ids. Spark looks maps
-up by a linear scan, so the literal is the pairs' sparse matrix with its rows displaced into
-one array, where a lookup is two array accesses.
+up by a linear scan, so the map is the pairs' sparse matrix with its rows displaced into
+one array, where a lookup is two array accesses. It comes from a table of one row by a scalar
+subquery, which Spark turns into a literal when the query runs: as a literal written into the plan,
+its printed form would fill the driver.
 
 What is folded are distinct words: those that a bounded sample of the texts holds most often,
 once; the others once for each block of documents (``BLOCK_WORDS`` words of one task) that holds
@@ -24,7 +26,6 @@ import base64
 import ctypes
 import gc
 import heapq
-import json
 from collections.abc import Iterator
 from contextlib import contextmanager
 from dataclasses import dataclass
@@ -43,13 +44,13 @@ LONG_WORD = 512
 #: Frequent words that are folded beforehand, and documents of their sample, at most.
 CACHED_WORDS, SAMPLE_DOCS = 1 << 18, 20_000
 #: Words of a block, unless one document holds more; distinct words in a row on their way to the fold.
-BLOCK_WORDS, ROW_WORDS = 4_000_000, 256
+BLOCK_WORDS, ROW_WORDS = 4_000_000, 1024
 #: Documents whose words or ids are laid out at once.
 SLICE = 250
 #: No merge, and no piece: the last of all characters.
 NEVER = "\U0010ffff"
-#: Characters of a plan's printed form, which the literals would fill with megabytes, and rows of an Arrow batch, whose words are many.
-SETTINGS = {"spark.sql.maxPlanStringLength": "20000", "spark.sql.execution.arrow.maxRecordsPerBatch": "1000"}
+#: Rows of an Arrow batch: their words are many.
+SETTINGS = {"spark.sql.execution.arrow.maxRecordsPerBatch": "1000"}
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -101,11 +102,6 @@ def displaced(rows: dict[int, list[tuple[int, int]]], size: int) -> tuple[np.nda
     return shift, owner, value
 
 
-def literal(values, kind: str) -> Column:
-    """A long array as one literal: the optimizer folds the parse away."""
-    return F.from_json(F.lit(json.dumps(values)), f"array<{kind}>")
-
-
 @contextmanager
 def settings(spark: SparkSession) -> Iterator[None]:
     """SETTINGS hold meanwhile."""
@@ -190,7 +186,7 @@ def heap_merge(word: bytes, ranks: dict[bytes, int]) -> list[int]:
 
 
 class ByteBpe:
-    """The encoder of one rank file. encode() gives a table with ids, whose plan holds literals of megabytes (see settings); decode() gives a column."""
+    """The encoder of one rank file. encode() gives a table with ids, decode() a column."""
 
     def __init__(self, spark: SparkSession, rank_path: str, pattern: str):
         self.spark, self.pattern = spark, java_pattern(pattern)
@@ -202,19 +198,26 @@ class ByteBpe:
         for i, c in code.items():
             id_of[c] = i
         used = owner >= 0
-        self.tables = F.struct(
-            literal(shift.tolist(), "int").alias("shift"), literal([x if u else None for x, u in zip(owner.tolist(), used, strict=True)], "int").alias("owner"),
-            literal([chr(x) if u else None for x, u in zip(value.tolist(), used, strict=True)], "string").alias("symbol"), literal(id_of, "int").alias("id"),
-        )
+        symbols = [chr(x) if u else None for x, u in zip(value.tolist(), used, strict=True)]
+        arrays = {"shift": pa.array(shift, pa.int32()), "owner": pa.array(owner, pa.int32(), mask=~used), "symbol": pa.array(symbols, pa.string()), "id": pa.array(id_of, pa.int32())}
+        row = pa.table({k: pa.ListArray.from_arrays(pa.array([0, len(v)], pa.int32()), v) for k, v in arrays.items()})
+        self.tables = stored(spark.createDataFrame(row).coalesce(1), "ranks").select(F.struct(*arrays).alias("tables"))
         self.known: Known | None = None
 
     def words(self, text: Column) -> Column:
         return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(self.pattern), F.lit(0))
 
-    def fold(self, words: Column) -> Column:
-        """The ids of each of an array of words; none for words over LONG_WORD bytes."""
+    def fold(self, df: DataFrame, words: str, ids: str) -> DataFrame:
+        """df with the ids of each of an array of words, if there is one; none for words over LONG_WORD bytes.
+
+        The literal may be copied with a row, so rows should hold many words; those without any hold no literal.
+        """
+        t = fresh(df, "tables")
+        some = F.col(words).isNotNull()
         short = lambda t: lambda x: F.when(F.octet_length(x) <= LONG_WORD, fold_word(x, t)).otherwise(F.array().cast("array<int>"))
-        return bind(self.tables, lambda t: F.transform(words, short(t)))
+        arrays = F.struct(*[F.col(t)[x].alias(x) for x in ("shift", "owner", "symbol", "id")])
+        folded = bind(arrays, lambda t: F.transform(F.col(words), short(t)))
+        return df.withColumn(t, F.when(some, self.tables.scalar())).withColumn(ids, F.when(some, folded)).drop(t)
 
     def fold_frequent(self, docs: DataFrame, text: str) -> None:
         """The words known beforehand: tokens, and the distinct others that a bounded sample holds most often, folded."""
@@ -231,10 +234,11 @@ class ByteBpe:
             part.select(F.explode(self.words(F.col(text))).alias("w")).where(F.octet_length("w") <= LONG_WORD)
             .groupBy("w").agg(F.count(F.lit(1)).alias("n")).join(F.broadcast(single), "w", "left_anti").orderBy(F.desc("n"), "w").limit(CACHED_WORDS)
         )
-        often = stored(often.select("w"), "words").repartition(4 * self.spark.sparkContext.defaultParallelism)
-        with settings(self.spark):
-            folded = often.select("w", self.fold(F.array("w"))[0].alias("ids")).toArrow()  # rows as objects would fill the driver
-        w, ids = folded.column("w").combine_chunks().cast(pa.string()), folded.column("ids").combine_chunks()
+        often = stored(often.select("w"), "words")
+        rows = often.groupBy(F.pmod(F.xxhash64("w"), F.lit(-(-CACHED_WORDS // ROW_WORDS))).alias("k")).agg(F.collect_list("w").alias("ws"))
+        folded = self.fold(rows.repartition(4 * self.spark.sparkContext.defaultParallelism, "k"), "ws", "ids")
+        folded = folded.select(F.explode(F.arrays_zip("ws", "ids")).alias("x")).select("x.ws", "x.ids").toArrow()  # rows as objects would fill the driver
+        w, ids = folded.column(0).combine_chunks().cast(pa.string()), folded.column(1).combine_chunks()
         self.known = Known(
             pa.concat_arrays([pa.array(list(tokens), pa.string()), w]),
             np.concatenate([np.ones(len(tokens), np.int32), ids.value_lengths().to_numpy(zero_copy_only=False).astype(np.int32)]),
@@ -252,7 +256,7 @@ class ByteBpe:
         blocks = StructType([*(StructField(f.name, f.dataType) for f in kept.schema), StructField(w, ints), StructField(rare, ArrayType(StringType(), False))])
         schema = StructType([*kept.schema, StructField(ids, ints), *([StructField(decoded, BinaryType())] if decoded else [])])
         numbered = docs.select(*kept.columns, self.words(F.col(text)).alias(w)).mapInArrow(_numbered(self.known.words, blocks.names), blocks)
-        return numbered.withColumn(folded, self.fold(F.col(rare))).mapInArrow(_in_order(self.known.lengths, self.known.ids, self.ranks, schema.names, _pieces(self.ranks) if decoded else None), schema)
+        return self.fold(numbered, rare, folded).mapInArrow(_in_order(self.known.lengths, self.known.ids, self.ranks, schema.names, _pieces(self.ranks) if decoded else None), schema)
 
     def decode(self, ids: Column) -> Column:
         """The bytes of an array of ids: their binary pieces, put together."""
