@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import zlib
+
+import numpy as np
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestore.llm import byte_bpe, chosen_path, curriculum, exact_dedup, html_crf, kernel_langid, quality_cnn, tile_dedup, token_orc, warc
+from lodestore.llm import byte_bpe, chosen_path, curriculum, exact_dedup, html_crf, kernel_langid, periodic_runs, quality_cnn, tile_dedup, token_align, token_orc, url_rules, warc
 from lodestore.llm.common import fold_of, shared_dir
 
 
@@ -66,6 +69,45 @@ def op10_curriculum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return curriculum.plan(_table(spark, sf_dir, "documents")).withColumns({"target": F.round("target", 6), "position": F.round("position", 6)})
 
 
+def planted(id_: object, n: int) -> np.ndarray | None:
+    """Which of a text's n words stand where: texts of a tenth of the ids get a period from some word on. A null id counts as the empty text."""
+    g, rest = divmod(zlib.crc32(b"" if id_ is None else str(id_).encode()), 10)
+    if rest or not n:
+        return None
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    i = np.arange(n)
+    return np.where(i < a, i, a + (i - a) % p)
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs.annotate(_table(spark, sf_dir, "documents").select("doc_id", "text"), rewrite=planted)
+    line = lambda r: F.concat(r["start"].cast("string"), F.lit(","), r["length"].cast("string"), F.lit(","), r["period"].cast("string"), F.lit("\n"))
+    best = F.array_max(F.transform("runs", lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("start"), (-r["period"]).alias("period"))))
+    return found.withColumn("best", best).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        (-F.col("best.start")).alias("start"),
+        F.col("best.length").alias("length"),
+        (-F.col("best.period")).alias("period"),
+        F.floor(1000 * F.col("best.length") / -F.col("best.period")).cast("long").alias("exponent_milli"),
+        F.sha2(F.array_join(F.transform("runs", line), "").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
+def op12_token_align(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_align.align(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+URL_RULES = [("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/")]
+
+
+def op13_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labels are the verdicts of the given rules: the mined ones carry them over to other hosts."""
+    return url_rules.judge(_table(spark, sf_dir, "pages").select("page_id", "url"), URL_RULES).select("page_id", "host", "path", "rule", "verdict", "mined_rule")
+
+
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_warc": op2_warc,
@@ -77,6 +119,9 @@ QUERIES = {
     "op8_tile_dedup": op8_tile_dedup,
     "op9_html_crf": op9_html_crf,
     "op10_curriculum_mix": op10_curriculum_mix,
+    "op11_periodic_runs": op11_periodic_runs,
+    "op12_token_align": op12_token_align,
+    "op13_url_rules": op13_url_rules,
 }
 
 ORACLE_SQL = {
