@@ -81,9 +81,9 @@ def test_heavy_winners_names_every_digest_over_the_support(spark, tmp_path, part
     sizes = [3000, 60, 50, 47, 46]
     keys = [f"g{g}" for g, m in enumerate(sizes) for _ in range(m)]
     keys += [f"s{i}" for i in range(n - len(keys))]
-    data = [(i, hashlib.sha256(k.encode()).digest(), 1, i) for i, k in enumerate(keys)]
-    spark.createDataFrame(data, "id long, digest binary, cp int, row long").coalesce(1).sortWithinPartitions("id").repartitionByRange(parts, "id").write.parquet(f"{tmp_path}/slim")
-    for slim in (spark.read.parquet(f"{tmp_path}/slim"), spark.createDataFrame(data, "id long, digest binary, cp int, row long")):
+    data = [(i, hashlib.sha256(k.encode()).digest(), 1, i, -i) for i, k in enumerate(keys)]
+    spark.createDataFrame(data, "id long, digest binary, cp int, row long, key long").coalesce(1).sortWithinPartitions("id").repartitionByRange(parts, "id").write.parquet(f"{tmp_path}/slim")
+    for slim in (spark.read.parquet(f"{tmp_path}/slim"), spark.createDataFrame(data, "id long, digest binary, cp int, row long, key long")):
         got = {bytes(x.digest): (x.n, x["first"].id) for x in exact_dedup.heavy_winners(slim, support).collect()}
         assert got == {hashlib.sha256(f"g{g}".encode()).digest(): (sizes[g], sum(sizes[:g])) for g in range(4)}
 
