@@ -12,13 +12,12 @@ response, at the largest id, and revisits of it; smaller ones are all responses.
 written as empty and read as null; rows with one id are separate records. Equal payloads that all have a
 null id are all responses, as none can be referred to. Line ends within a URL, which would end its header
 field, are left out. Text after the last reachable record is ignored; a file that doesn't start with a
-record has none. A file's pieces are read twice and matched by their running number, so settings that
-cut files into ranges must stay as they are between the two.
+record has none. Texts are read a second time for what records in several pieces consist of, and pieces are met by the SHA-1 of what they
+hold, so it doesn't matter how files are cut into ranges then; a piece that isn't met is an error.
 """
 
 from __future__ import annotations
 
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -32,7 +31,7 @@ MAGIC, END = "WARC/1.0\r\n", "\r\n\r\n"
 MIN_BYTES = 1000
 #: Ways into which the pages of one digest are dealt, against hot payloads.
 SALTS = 16
-#: Rows up to which a table of copied payloads, or of pieces to put together, is broadcast; a row has a digest and an id, or a path and four numbers.
+#: Rows up to which a table of copied payloads, or of pieces to look for, is broadcast; a row has a digest of 40 bytes and an id at most.
 BROADCAST_ROWS = 50_000
 
 
@@ -169,13 +168,13 @@ def _payload() -> Column:
 def _chain(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     """Each piece with its record, and the pieces' bytes.
 
-    file, range, row, start, record (start of the record it belongs to; -1 if none), head,
+    file, range, row, start, record (start of the record it belongs to; -1 if none), key, head,
     size and, of a piece that is a record by its lengths, the digest of its payload.
     """
     pieces = _pieces(spark, path)
     headed = _headed(pieces)
     complete = F.col("jump") == F.col("bytes") + len(MAGIC)
-    slim = stored(headed.select("file", "range", "row", "bytes", "jump", "head", "size", F.when(complete, F.sha1(_payload())).alias("digest")), "candidates")
+    slim = stored(headed.select("file", "range", "row", "bytes", "jump", "head", "size", F.sha1("piece").alias("key"), F.when(complete, F.sha1(_payload())).alias("digest")), "candidates")
     here = Window.partitionBy("file", "range").orderBy("row").rowsBetween(Window.unboundedPreceding, -1)
     step = F.col("bytes") + len(MAGIC)
     ranges = slim.groupBy("file", "range").agg(F.sum(step).alias("total"))
@@ -192,14 +191,17 @@ def _chain(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     last = marked.groupBy("file", "range").agg(F.max("last").alias("last"))
     carried = last.withColumn("carried", F.coalesce(F.max("last").over(upto), F.lit(-1))).select("file", "range", "carried")
     found = marked.join(carried, ["file", "range"]).withColumn("record", F.when(F.col("record") >= 0, F.col("record")).otherwise(F.col("carried")))
-    found = found.select("file", "range", "row", "start", "record").join(slim.select("file", "range", "row", "head", "size", "digest"), ["file", "range", "row"])
+    found = found.select("file", "range", "row", "start", "record").join(slim.select("file", "range", "row", "key", "head", "size", "digest"), ["file", "range", "row"])
     return found, pieces
 
 
-def _together(found: DataFrame, pieces: DataFrame, few: bool) -> DataFrame:
+def _together(found: DataFrame, pieces: DataFrame) -> DataFrame:
     """file, start, head, payload of the records whose pieces found holds."""
-    keys = found.select("file", "range", "row", "start", "record")
-    whole = pieces.join(F.broadcast(keys) if few else keys, ["file", "range", "row"])
+    parts = found.select("file", "record", "start", "key")
+    wanted = stored(parts.select("key").distinct(), "wanted")
+    wanted = F.broadcast(wanted) if wanted.count() <= BROADCAST_ROWS else wanted
+    met = pieces.select(F.sha1("piece").alias("key"), "piece").join(wanted, "key", "left_semi").groupBy("key").agg(F.first("piece").alias("piece"))
+    whole = parts.join(met, "key", "left").withColumn("piece", F.coalesce("piece", F.raise_error(F.lit("a piece of the archive is not what it was")).cast("string")))
     joined = whole.groupBy("file", "record").agg(F.array_sort(F.collect_list(F.struct("start", "piece"))).alias("ps"))
     text = F.array_join(F.transform("ps", lambda p: p["piece"]), MAGIC)
     rows = _headed(joined.select("file", F.col("record").alias("start"), text.alias("piece")))
@@ -209,7 +211,7 @@ def _together(found: DataFrame, pieces: DataFrame, few: bool) -> DataFrame:
 def records(spark: SparkSession, path: str) -> DataFrame:
     """The reachable records: file, start, head, payload (binary)."""
     found, pieces = _chain(spark, path)
-    return _together(found.where(F.col("record") >= 0), pieces, few=False)
+    return _together(found.where(F.col("record") >= 0), pieces)
 
 
 def index(spark: SparkSession, path: str) -> DataFrame:
@@ -224,8 +226,8 @@ def index(spark: SparkSession, path: str) -> DataFrame:
     out = found.where(own & F.col("digest").isNotNull()).select("head", F.col("size").alias("n"), "digest")
     broken = found.where(own & F.col("digest").isNull()).select("file", "record")
     parts = found.join(broken, ["file", "record"], "left_semi")
-    if n := parts.count():
-        again = _together(parts, pieces, n <= BROADCAST_ROWS)
+    if not parts.isEmpty():
+        again = _together(parts, pieces)
         out = out.unionByName(again.select("head", F.octet_length("payload").cast("long").alias("n"), F.sha1("payload").alias("digest")))
     head = F.concat(F.lit("\r\n"), F.col("head"))
     kind = _field(head, "WARC-Type")
