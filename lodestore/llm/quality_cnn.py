@@ -158,8 +158,8 @@ def sample(docs: DataFrame, labels: DataFrame, learn_from: Column, label_col: st
     rows = stored(rows.groupBy("id", "label").agg(F.min("text").alias("text")), "sample")
     left, kept = {0: SAMPLE_BYTES // 2, 1: SAMPLE_BYTES // 2}, {}
     for x in sorted(rows.select("id", "label", F.octet_length("text").alias("bytes"), F.xxhash64("id").alias("hash")).collect(), key=lambda x: (x.hash, str(x.id))):
-        left[x.label] -= x.bytes
-        if left[x.label] >= 0:
+        if x.bytes <= left[x.label]:  # one that doesn't fit costs only itself
+            left[x.label] -= x.bytes
             kept[x.id, x.label] = len(kept)
     got = sorted(((kept[x.id, x.label], x.text.encode(), x.label) for x in rows.toLocalIterator() if (x.id, x.label) in kept), key=lambda x: x[0])
     share = known.agg(F.avg("label")).first()[0]
