@@ -114,16 +114,16 @@ def learn(docs: DataFrame, learn_from: Column, lang_col: str = "lang", text_col:
     known = docs.where(learn_from & F.col(lang_col).isNotNull() & (F.octet_length(text_col) > 0))
     known = known.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
     # keys first: the window carries hashes, and of those only about four times as many as are taken
-    keys = known.select("lang", F.xxhash64("text").alias("h")).distinct()
-    many = known.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    keys = stored(known.select("lang", F.xxhash64("text").alias("h")).distinct(), "keys")
+    many = keys.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
     least = keys.join(many, "lang").where((F.col("h").cast("double") / 2.0**64 + 0.5) * F.col("n") <= 4 * per_lang).select("lang", "h")
     chosen = least.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy("h"))).where(F.col("rank") <= per_lang).orderBy("rank", "lang").limit(LANGS * per_lang)
     texts = known.withColumn("h", F.xxhash64("text")).join(F.broadcast(chosen), ["lang", "h"])
     rows = stored(texts.groupBy("lang", "h").agg(F.min("rank").alias("rank"), F.min("text").alias("text")), "sample")
     left, kept = SAMPLE_BYTES, set()
     for x in sorted(rows.select("lang", "h", "rank", F.octet_length("text").alias("bytes")).collect(), key=lambda x: (x.rank, x.lang)):
-        left -= x.bytes
-        if left >= 0 or x.rank == 1:
+        if x.bytes <= left or x.rank == 1:  # one that doesn't fit costs only itself
+            left -= min(x.bytes, left)
             kept.add((x.lang, x.h))
     got = sorted((x.lang, x.h, x.text) for x in rows.toLocalIterator() if (x.lang, x.h) in kept)
     return fit([t.encode() for _, _, t in got], [lang for lang, _, _ in got])
