@@ -172,6 +172,7 @@ def test_op12_equals_brute_force(spark, monkeypatch, block_chars):
     rows = [(i if i % 7 else None, t) for i, t in enumerate(odd_texts(150))] + [(3, "the same, again.")] * 4
     docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("code", F.lit(1)).repartition(3)
     monkeypatch.setattr(token_align, "BLOCK_CHARS", block_chars)
+    monkeypatch.setattr(token_align, "SLICE_CHARS", min(block_chars, token_align.SLICE_CHARS))
     if block_chars < 1000:
         assert token_align.encoded(docs, A_PATH, B_PATH).select("block").distinct().count() > 3
     got = token_align.align(docs, A_PATH, B_PATH).select(*COLUMNS).collect()
