@@ -16,11 +16,12 @@ def _cut(c: Column, most: int) -> Column:
 
 
 def call(name: Column, input_json: Column) -> Column:
-    """A tool call's line, from the tool's name and its input as JSON."""
+    """A tool call's line, from the tool's name and its input as JSON. An end beyond a long is left out."""
     get = lambda key: F.get_json_object(input_json, f"$.{key}")
     path = F.coalesce(get("file_path"), F.lit("?"))
     offset, limit = get("offset"), get("limit")
-    end = F.when(offset.rlike(r"^-?\d+$") & limit.rlike(r"^-?\d+$"), F.concat(F.lit("-"), (offset.try_cast("bigint") + limit.try_cast("bigint")).cast("string"))).otherwise(F.concat(F.lit("+"), limit))
+    end = F.when(offset.rlike(r"^-?\d+$") & limit.rlike(r"^-?\d+$"), F.concat(F.lit("-"), F.try_add(offset.try_cast("bigint"), limit.try_cast("bigint")).cast("string"))).otherwise(F.concat(F.lit("+"), limit))
+    end = F.coalesce(end, F.lit(""))
     span = F.when(offset.isNotNull() & limit.isNotNull(), F.concat(F.lit(":"), offset, end)).otherwise(F.lit(""))
     text = lambda key: F.coalesce(get(key), F.lit(""))
     return (

@@ -62,9 +62,9 @@ def from_file(rows: DataFrame, added_by: str = "miner", version: int = 2) -> Dat
 
 
 def from_tool(rows: DataFrame, base: DataFrame, added_by: str = "tool") -> DataFrame:
-    """rows (wing, room, document) as chunks with ids by content; those in base already are left out."""
+    """rows (wing, room, document) as chunks with ids by content; those in base already are left out, and of equal ones in rows one goes in."""
     n = rows.withColumns({"id": drawer_id(F.col("wing"), F.col("room"), F.concat("wing", "room", "document")), "added_by": F.lit(added_by)})
-    return n.join(base.select("id"), "id", "left_anti")
+    return n.join(base.select("id"), "id", "left_anti").dropDuplicates(["id"])
 
 
 def sentinels(files: DataFrame, chunks: DataFrame, added_by: str = "miner", version: int = 2) -> DataFrame:

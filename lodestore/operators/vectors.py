@@ -1,25 +1,27 @@
 """Exact cosine search: query vectors against all rows, best k for each query.
 
-Queries are a stated set: their matrix goes with the tasks, in one pass over the rows for each QUERIES of them. Rows stay where
-they are; a batch gives, for each query, only its best k rows, and a window merges the tasks'.
-The check for duplicates has no k: a batch gives every row at the threshold or above.
+Up to QUERIES queries go with the tasks as a matrix, and rows stay where they are. More are cut into tiles and rows into groups by
+hashes of their ids, and each pair of a tile and a group meets in a task: no set of queries passes through the
+driver. A batch or group gives, for each query, only its best k rows, and a window merges them.
+The check for duplicates has no k: every row at the threshold or above is given.
+
+Vectors that are null or hold a null, NaN or infinite component are near nothing, as rows and as queries.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
-from functools import reduce
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from lodestore.schema import DimensionMismatch
 
-#: Query vectors of one pass; a larger set is searched in several.
-QUERIES = 4096
+#: Query vectors that go with the tasks, or are a tile; rows of a group.
+QUERIES, ROWS = 4096, 16384
 
 
 def dimension(rows: DataFrame, vec_col: str = "embedding") -> int | None:
@@ -40,35 +42,65 @@ def similarity(distance: Column) -> Column:
     return F.bround(F.greatest(F.lit(0.0), 1 - distance), 3)
 
 
-def _pairs(rows: DataFrame, queries: DataFrame, pick: Callable[[np.ndarray], tuple[np.ndarray, np.ndarray]], id_col: str, vec_col: str) -> DataFrame:
+Pick = Callable[[np.ndarray], tuple[np.ndarray, np.ndarray]]
+
+
+def _matrix(vectors: pd.Series) -> tuple[np.ndarray, np.ndarray]:
+    """The usable vectors at length 1, and which they are."""
+    some = vectors.notna().to_numpy()
+    x = [np.asarray(v, np.float64) for v in vectors[some]]
+    if len({len(v) for v in x}) > 1:
+        raise DimensionMismatch(f"vectors of {sorted({len(v) for v in x})} components")
+    m = np.stack(x) if x else np.zeros((0, 0))
+    good = np.isfinite(m).all(axis=1)
+    m = m[good]
+    return m / np.maximum(np.linalg.norm(m, axis=1, keepdims=True), 1e-300), np.flatnonzero(some)[good]
+
+
+def _met(q: np.ndarray, q_ids: np.ndarray, part: pd.DataFrame, pick: Pick) -> pd.DataFrame:
+    """What pick chooses of part (i, v) for the queries, rows at a time."""
+    out = []
+    for at in range(0, len(part), 2048):
+        some = part.iloc[at : at + 2048]
+        x, which = _matrix(some.v)
+        if not len(x) or not len(q):
+            continue
+        if x.shape[1] != q.shape[1]:
+            raise DimensionMismatch(f"{x.shape[1]} components against {q.shape[1]}")
+        d = 1 - q @ x.T
+        i, j = pick(d)
+        out.append(pd.DataFrame({"query_id": q_ids[i], "id": some.i.to_numpy()[which[j]], "distance": d[i, j]}))
+    return pd.concat(out, ignore_index=True) if out else pd.DataFrame({"query_id": [], "id": [], "distance": []})
+
+
+def _pairs(rows: DataFrame, queries: DataFrame, pick: Pick, id_col: str, vec_col: str) -> DataFrame:
     """query_id, id, distance of what pick chooses from the distances (queries by rows) of each batch."""
-    got = queries.select("query_id", "embedding").collect()
     kinds = {"query_id": queries.schema["query_id"].dataType, "id": rows.schema[id_col].dataType}
     schema = ", ".join([*(f"{k} {v.simpleString()}" for k, v in kinds.items()), "distance double"])
-    passes = [_pass(rows, got[at : at + QUERIES], pick, schema, id_col, vec_col) for at in range(0, len(got), QUERIES)]
-    return reduce(DataFrame.unionByName, passes) if passes else rows.sparkSession.createDataFrame([], schema)
-
-
-def _pass(rows: DataFrame, got: list[Row], pick: Callable[[np.ndarray], tuple[np.ndarray, np.ndarray]], schema: str, id_col: str, vec_col: str) -> DataFrame:
-    q_ids = np.empty(len(got), object)
-    q_ids[:] = [x.query_id for x in got]
-    q = np.array([x.embedding for x in got], np.float64)
-    q /= np.maximum(np.linalg.norm(q, axis=1, keepdims=True), 1e-300)
-
-    def chosen(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            b = b[b.v.notna()]
-            for at in range(0, len(b), 2048):
-                part = b.iloc[at : at + 2048]
-                x = np.stack(part.v.to_numpy()).astype(np.float64)
-                if x.shape[1] != q.shape[1]:
-                    raise DimensionMismatch(f"{x.shape[1]} components against {q.shape[1]}")
-                x /= np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-300)
-                d = 1 - q @ x.T
-                i, j = pick(d)
-                yield pd.DataFrame({"query_id": q_ids[i], "id": part.i.to_numpy()[j], "distance": d[i, j]})
-
-    return rows.select(F.col(id_col).alias("i"), F.col(vec_col).alias("v")).mapInPandas(chosen, schema)
+    asked = queries.select(F.col("query_id").alias("i"), F.col("embedding").alias("v"))
+    r = rows.select(F.col(id_col).alias("i"), F.col(vec_col).alias("v"))
+    n = asked.count()
+    if n <= QUERIES:
+        few = asked.toPandas()
+        q, which = _matrix(few.v)
+        q_ids = few.i.to_numpy()[which]
+
+        def chosen(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for b in batches:
+                yield _met(q, q_ids, b, pick)
+
+        return r.mapInPandas(chosen, schema)
+    tiles, groups = -(-n // QUERIES), max(1, -(-r.count() // ROWS))
+    every = lambda m: F.explode(F.sequence(F.lit(0), F.lit(m - 1)))
+    part = lambda m: F.pmod(F.xxhash64("i", "v"), F.lit(m)).cast("int")
+    asked = asked.withColumn("tile", part(tiles)).withColumn("group", every(groups))
+    r = r.withColumn("group", part(groups)).withColumn("tile", every(tiles))
+
+    def met(q_part: pd.DataFrame, r_part: pd.DataFrame) -> pd.DataFrame:
+        q, which = _matrix(q_part.v)
+        return _met(q, q_part.i.to_numpy()[which], r_part, pick)
+
+    return asked.groupBy("tile", "group").cogroup(r.groupBy("tile", "group")).applyInPandas(met, schema)
 
 
 def _ranked(found: DataFrame, k: int) -> DataFrame:

@@ -671,7 +671,7 @@ def replace_sources(s, d):
     return collection.replaced_sources(base, base.where("doc_id % 2 = 1").select("source_file", F.lit(-1).cast("long").alias("doc_id")).distinct())
 
 
-@query("""SELECT 'drawer_' || lang || '_' || source || '_' || substr(sha256(lang || source || text), 1, 24) AS id, count(*) AS n FROM documents
+@query("""SELECT 'drawer_' || lang || '_' || source || '_' || substr(sha256(lang || source || text), 1, 24) AS id, CAST(1 AS BIGINT) AS n FROM documents
 WHERE text NOT IN (SELECT text FROM documents WHERE doc_id % 4 = 0) OR (lang, source, text) NOT IN (SELECT (lang, source, text) FROM documents WHERE doc_id % 4 = 0) GROUP BY 1""")
 def tool_drawers(s, d):
     rows = t.chunks(s, d).select("id", "wing", "room", "document")
