@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lodestore.functions import analyze
+from lodestore.functions import analyze, spelling
 from lodestore.operators import textindex
 from lodestore.plans import tables as t
 from lodestore.plans.catalogue import query
@@ -70,3 +70,42 @@ def fulltext_blocks(s, d):
     plan, _ = textindex.plan(textindex.build(t.chunks(s, d)), t.queries(s, d), 10)
     read = F.col("read").cast("int")
     return plan.groupBy("query_id").agg(F.count(F.lit(1)).alias("blocks"), F.sum(read).alias("blocks_read"), F.sum("postings").alias("postings"), F.sum(F.col("postings") * read).alias("postings_read"))
+
+
+# --- spelling
+
+#: A word is in the dictionary of the queries if the documents hold it so often.
+OFTEN = 50
+_ENDING = spelling.ENDING.replace("'", "''")
+_CHECKABLE = f"length(word) >= {spelling.LEAST} AND " + " AND ".join(f"NOT regexp_matches(word, '{p}')" for p in spelling.LEFT_ALONE)
+# the engine's distance counts bytes, so letters of two bytes are written as one
+_ONE_BYTE = "translate({}, 'àáâäçèéêëìíîïñòóôöùúûüœß', 'ABCDEFGHIJKLMNOPQRSTUVWX')"
+_FIXES_SQL = rf"""WITH tokens AS (SELECT doc_id, unnest(regexp_extract_all(text, '\s+|\S+')) AS token, generate_subscripts(regexp_extract_all(text, '\s+|\S+'), 1) AS place FROM documents),
+split AS (SELECT *, regexp_replace(token, '{_ENDING}', '') AS word FROM tokens),
+words AS (SELECT word, count(*) AS n FROM split WHERE {_CHECKABLE} GROUP BY 1),
+dictionary AS (SELECT lower(word) AS fix, sum(n) AS n FROM words GROUP BY 1 HAVING sum(n) >= {OFTEN}),
+near AS (SELECT w.word, fix, d.n, levenshtein({_ONE_BYTE.format('w.word')}, {_ONE_BYTE.format('fix')}) AS distance FROM words w JOIN dictionary d ON abs(length(w.word) - length(fix)) <= 2 WHERE lower(w.word) NOT IN (SELECT fix FROM dictionary)),
+fixes AS (SELECT word, fix, CAST(distance AS INT) AS distance FROM near WHERE distance <= 2 QUALIFY row_number() OVER (PARTITION BY word ORDER BY distance, n DESC, fix) = 1)
+"""
+
+
+def _dictionary(s, d):
+    words = spelling.words_of(t.chunks(s, d))
+    return words, spelling.frequent(words, OFTEN)
+
+
+@query(_FIXES_SQL + "SELECT * FROM fixes")
+def spell_fixes(s, d):
+    """What each distinct word of the documents that isn't frequent would be corrected to."""
+    return spelling.fixes(*_dictionary(s, d))
+
+
+@query(_FIXES_SQL + """SELECT doc_id AS id, md5(string_agg(CASE WHEN fix IS NULL THEN token ELSE fix || substr(token, length(s.word) + 1) END, '' ORDER BY place)) AS corrected, count(fix) AS changed
+FROM split s LEFT JOIN fixes USING (word) GROUP BY 1""")
+def spell_corrected(s, d):
+    """Every document corrected, and how many of its words changed."""
+    chunks = t.chunks(s, d).select("id", "document")
+    rows = spelling.corrected(chunks, _dictionary(s, d)[1])
+    words = lambda c: F.regexp_extract_all(c, F.lit(spelling.TOKENS), F.lit(0))
+    changed = F.size(F.filter(F.zip_with(words(F.col("document")), words(F.col("corrected")), lambda a, b: a != b), lambda x: x)).cast("long")
+    return rows.select("id", F.md5("corrected").alias("corrected"), changed.alias("changed"))
