@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lodestore.functions import analyze, spelling
+from lodestore.functions import analyze, registry, spelling
 from lodestore.operators import textindex
 from lodestore.plans import tables as t
 from lodestore.plans.catalogue import query
@@ -109,3 +109,50 @@ def spell_corrected(s, d):
     words = lambda c: F.regexp_extract_all(c, F.lit(spelling.TOKENS), F.lit(0))
     changed = F.size(F.filter(F.zip_with(words(F.col("document")), words(F.col("corrected")), lambda a, b: a != b), lambda x: x)).cast("long")
     return rows.select("id", F.md5("corrected").alias("corrected"), changed.alias("changed"))
+
+
+# --- the registry of names
+
+#: A capitalised word is in the queries' registry if the documents hold it so often; in lower case, so often, it is a common word too.
+NAMED = 300
+
+
+def _entries(s, d):
+    """People: capitalised words of the documents. Those that stand in lower case as often are ambiguous."""
+    words = t.chunks(s, d).select(F.explode(F.regexp_extract_all("document", F.lit(r"(?U)\b[A-Za-z]{3,}\b"), F.lit(0))).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    often = words.where(F.col("n") >= NAMED)
+    none = F.array().cast("array<string>")
+    names = often.where(F.regexp_like("word", F.lit("^[A-Z][a-z]+$")))
+    rows = names.select(F.col("word").alias("name"), F.lit("person").alias("type"), F.lit("learned").alias("source"), F.lit(0.9).alias("confidence"), none.alias("aliases"), F.array(F.lit("personal")).alias("contexts"), F.col("n").alias("seen_count"))
+    common = [r.word for r in often.where(F.regexp_like("word", F.lit("^[a-z]+$"))).select("word").collect()]  # no more than the texts' words over NAMED
+    return rows, common
+
+
+def _pattern_sql(patterns):
+    """How many of the patterns a line has around a name, with borders that know letters beyond ASCII."""
+    edge = "[^a-z0-9_ß-ÿœ]"  # the letters of the tables: classes of all letters are slow to compile for each row
+    out = []
+    for p in patterns:
+        body = p.removeprefix(r"\b").removesuffix(r"\b")
+        before = f"(^|{edge})" if p.startswith(r"\b") else ""
+        after = f"({edge}|$)" if p.endswith(r"\b") else ""
+        left, right = body.replace("'", "''").split("{name}")
+        out.append(f"CAST(regexp_matches(low, '{before}{left}' || word || '{right}{after}') AS INT)")
+    return " + ".join(out)
+
+
+@query(rf"""WITH w AS (SELECT word, count(*) AS n FROM (SELECT unnest(regexp_extract_all(text, '[\p{{L}}\p{{M}}\p{{N}}_]+')) AS word FROM documents) WHERE regexp_matches(word, '^[A-Za-z]{{3,}}$') GROUP BY 1 HAVING count(*) >= {NAMED}),
+names AS (SELECT word AS name, lower(word) AS alias FROM w WHERE regexp_matches(word, '^[A-Z][a-z]+$')), common AS (SELECT word FROM w WHERE regexp_matches(word, '^[a-z]+$')),
+lines AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS nr FROM documents),
+m AS (SELECT doc_id, nr, lower(line) AS low, unnest(regexp_extract_all(line, '[\p{{L}}\p{{M}}\p{{N}}_]+')) AS said FROM lines),
+h AS (SELECT doc_id, nr, low, said, alias AS word, name FROM m JOIN names ON lower(said) = alias),
+v AS (SELECT low, word, {_pattern_sql(registry.PERSON_CONTEXTS)} AS p, {_pattern_sql(registry.CONCEPT_CONTEXTS)} AS c FROM (SELECT DISTINCT low, word FROM h WHERE word IN (SELECT word FROM common))),
+x AS (SELECT doc_id, nr, said, name, coalesce(p, 0) AS p, coalesce(c, 0) AS c FROM h LEFT JOIN v USING (low, word))
+SELECT doc_id AS id, CAST(nr AS INT) AS line, said AS word, name AS canonical, CASE WHEN c > p THEN 'concept' ELSE 'person' END AS type,
+       round(CASE WHEN p > c THEN least(0.95, 0.7 + p * 0.1) WHEN c > p THEN least(0.90, 0.7 + c * 0.1) ELSE 0.9 END, 6)::DOUBLE AS confidence, CAST(p AS INT) AS person_votes, CAST(c AS INT) AS concept_votes, count(*) AS n
+FROM x GROUP BY ALL""")
+def registry_mentions(s, d):
+    """Mentions of the documents' frequent capitalised words: type, confidence and votes by the line; equal ones of a line are counted."""
+    entries, common = _entries(s, d)
+    m = registry.mentions(t.chunks(s, d), entries, common=common)
+    return m.groupBy("id", "line", "word", "canonical", "type", "confidence", "person_votes", "concept_votes").agg(F.count(F.lit(1)).alias("n"))
