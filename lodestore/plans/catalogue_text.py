@@ -8,6 +8,7 @@ from lodestore.functions import analyze, registry, spelling
 from lodestore.operators import textindex
 from lodestore.plans import tables as t
 from lodestore.plans.catalogue import query
+from lodestore.sources import locales
 
 # --- full-text index
 
@@ -156,3 +157,19 @@ def registry_mentions(s, d):
     entries, common = _entries(s, d)
     m = registry.mentions(t.chunks(s, d), entries, common=common)
     return m.groupBy("id", "line", "word", "canonical", "type", "confidence", "person_votes", "concept_votes").agg(F.count(F.lit(1)).alias("n"))
+
+
+# --- names by language
+
+
+def _by_lang_sql(part: int) -> str:
+    quoted = lambda v: f"'^({v})$'" if isinstance(v, str) else "[" + ", ".join(f"'{x}'" for x in v) + "]"
+    return "CASE lang " + " ".join(f"WHEN '{k}' THEN {quoted(v[part])}" for k, v in locales.WORDS.items()) + f" ELSE {quoted(locales.WORDS['en'][part])} END"
+
+
+@query(rf"""WITH w AS (SELECT doc_id AS id, CASE WHEN lower(lang) IN ({", ".join(repr(x) for x in locales.WORDS)}) THEN lower(lang) ELSE 'en' END AS lang, unnest(regexp_extract_all(text, '[\p{{L}}\p{{M}}\p{{N}}_]+')) AS name FROM documents)
+SELECT id, lang, name, count(*) AS frequency FROM w WHERE regexp_matches(name, {_by_lang_sql(0)}) AND NOT list_contains({_by_lang_sql(2)}, lower(name)) GROUP BY ALL HAVING count(*) >= 3""")
+def locale_names(s, d):
+    """Capitalised words of every document by the patterns of its language."""
+    docs = t.table(s, d, "documents").select(F.col("doc_id").alias("id"), F.col("text").alias("document"), "lang")
+    return locales.names(docs, locales.built_in(s), phrases=False)
