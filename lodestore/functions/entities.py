@@ -10,7 +10,28 @@ from lodestore.functions.summary import STOP
 
 # What is said and done by people, and with projects; %s stands for the name.
 DIALOGUE = (r"(?m)^>\s*%s[:\s]", r"(?m)^%s:\s", r"(?m)^\[%s\]", r'"%s\s+said')
-PERSON_VERBS = tuple(rf"\b%s\s+{v}\b" for v in "said asked told replied laughed smiled cried felt thinks? wants? loves? hates? knows? decided pushed wrote".split()) + (r"\bhey\s+%s\b", r"\bthanks?\s+%s\b", r"\bhi\s+%s\b", r"\bdear\s+%s\b")
+PERSON_VERBS = [
+    r"\b%s\s+said\b",
+    r"\b%s\s+asked\b",
+    r"\b%s\s+told\b",
+    r"\b%s\s+replied\b",
+    r"\b%s\s+laughed\b",
+    r"\b%s\s+smiled\b",
+    r"\b%s\s+cried\b",
+    r"\b%s\s+felt\b",
+    r"\b%s\s+thinks?\b",
+    r"\b%s\s+wants?\b",
+    r"\b%s\s+loves?\b",
+    r"\b%s\s+hates?\b",
+    r"\b%s\s+knows?\b",
+    r"\b%s\s+decided\b",
+    r"\b%s\s+pushed\b",
+    r"\b%s\s+wrote\b",
+    r"\bhey\s+%s\b",
+    r"\bthanks?\s+%s\b",
+    r"\bhi\s+%s\b",
+    r"\bdear\s+%s\b",
+]
 PRONOUNS = r"\b(?:she|her|hers|he|him|his|they|them|their)\b"
 DIRECT = r"\bhey\s+%s\b|\bthanks?\s+%s\b|\bhi\s+%s\b"
 PROJECT_VERBS = (

@@ -56,12 +56,14 @@ def hydrate(hits: DataFrame, chunks: DataFrame, radius: int = 1) -> DataFrame:
 
     chunks: source_file, chunk_index, document. The first of equal chunks wins. Adds best_index, total, text.
     """
-    asked = hits.select("query_id", "query", "source_file").distinct()
-    mine = chunks.select("source_file", "chunk_index", "document").join(asked, "source_file")
-    each = Window.partitionBy("query_id", "source_file")
-    mine = mine.withColumns({"pos": F.row_number().over(each.orderBy("chunk_index")), "total": F.count(F.lit(1)).over(each), "found": term_hits(F.array_distinct(bm25.tokens("query")), F.col("document"))})
-    best = mine.withColumn("best", F.first("pos").over(each.orderBy(F.desc("found"), "pos").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)))
-    near = best.where(F.abs(F.col("pos") - F.col("best")) <= radius)
+    asked = hits.select("query_id", "source_file", F.array_distinct(bm25.tokens("query")).alias("terms")).distinct()
+    source = Window.partitionBy("source_file")
+    placed = chunks.select("source_file", "document", F.row_number().over(source.orderBy("chunk_index")).alias("pos"), F.count(F.lit(1)).over(source).alias("total"))
+    # what is compared goes without the documents that are returned
+    met = placed.select("source_file", "pos", "total", F.lower("document").alias("low")).join(asked, "source_file")
+    found = F.size(F.filter("terms", lambda t: F.contains("low", t)))
+    best = met.groupBy("query_id", "source_file").agg(F.max_by("pos", F.struct(found.alias("found"), (-F.col("pos")).alias("pos"))).alias("best"), F.first("total").alias("total"))
+    near = best.withColumn("pos", F.explode(F.sequence(F.col("best") - radius, F.col("best") + radius))).join(placed.select("source_file", "pos", "document"), ["source_file", "pos"])
     text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "document"))), lambda x: x["document"]), "\n\n")
     out = near.groupBy("query_id", "source_file", "best", "total").agg(text.alias("text"))
     return out.select("query_id", "source_file", (F.col("best") - 1).alias("best_index"), "total", F.substring("text", 1, MAX_HYDRATED).alias("text"))
