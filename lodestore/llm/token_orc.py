@@ -8,7 +8,7 @@ running sum within a file upon the sum of the files before.
 White space never joins or takes part in a token of the tokenizers meant here (NORMALIZERS and the
 pre-tokenizer of one file; with others whole texts are encoded), so a text's
 ids are those of its chunks between blanks; chunks met before in the worker are taken
-from a cache of bounded bytes, each other chunk is encoded by the library. Special tokens in a text get
+from a cache whose bytes are counted, each other chunk is encoded by the library. Special tokens in a text get
 their own ids, as is the library's default; a chunk that holds one is encoded whole.
 
 Defined results: null text counts as empty and has the end id alone. Null ids come first;
@@ -21,6 +21,7 @@ from __future__ import annotations
 import json
 import os
 import re
+import sys
 import unicodedata
 from collections.abc import Iterator
 from itertools import chain
@@ -33,8 +34,10 @@ from pyspark.sql.window import Window
 
 from lodestore.llm.common import stored, text_or_empty
 
-#: Chunks, and parts of chunks, that a worker's caches hold; they start anew beyond.
-CACHE_CHUNKS, CACHE_PARTS = 600_000, 1_200_000
+#: Bytes that a worker's caches of chunks, and of parts of chunks, hold; they start anew beyond.
+CACHE_BYTES, PART_BYTES = 120 << 20, 220 << 20
+#: Bytes of an entry besides its key and its ids.
+ENTRY = 104
 #: Characters of a chunk that the caches keep, at most.
 CACHED_CHARS = 128
 # How a tokenizer prepares a text that may be cut between blanks.
@@ -51,6 +54,10 @@ _LOWER_BY_CONTEXT = re.compile("[İΣ]")
 _workers: dict = {}
 
 
+def _held(entry: tuple[str, bytes]) -> int:
+    return sys.getsizeof(entry[0]) + sys.getsizeof(entry[1]) + ENTRY
+
+
 class _Encoder:
     """One tokenizer with its cache; lives as long as its Python worker."""
 
@@ -61,6 +68,7 @@ class _Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.cache: dict[str, bytes] = {}
         self.parts: dict[str, bytes] = {}
+        self.cache_bytes = self.part_bytes = 0
         known = json.loads(self.tokenizer.to_str())
         normalizers = [x["type"] for x in (known["normalizer"] or {}).get("normalizers", [])]
         split = (known["pre_tokenizer"] or {}).get("pretokenizers", [{}])[0].get("pattern", {}).get("Regex")
@@ -70,14 +78,15 @@ class _Encoder:
 
     def learn(self, new: set[str]) -> dict[str, bytes]:
         """The ids of chunks that the cache hasn't, which has them afterwards."""
-        if len(self.cache) + len(new) > CACHE_CHUNKS:
+        if self.cache_bytes > CACHE_BYTES:
             self.cache.clear()
+            self.cache_bytes = 0
         cut = {c: self._cut(c) for c in new}
         needed = set(chain.from_iterable(cut.values()))
-        parts = [c for c in needed if c not in self.parts]
-        if len(self.parts) + len(parts) > CACHE_PARTS:
+        if self.part_bytes > PART_BYTES:
             self.parts.clear()
-            parts = list(needed)
+            self.part_bytes = 0
+        parts = [c for c in needed if c not in self.parts]
         plain = [c for c in parts if MARK not in c]
         for at in range(0, len(plain), 2000):
             some = plain[at : at + 2000]
@@ -91,10 +100,14 @@ class _Encoder:
             if MARK in c:
                 self.parts[c] = np.array(self._encode(c), "<u4").tobytes()
         learned = {c: b"".join(map(self.parts.__getitem__, ps)) for c, ps in cut.items()}
-        self.cache.update((c, x) for c, x in learned.items() if len(c) <= CACHED_CHARS)
+        short = {c: x for c, x in learned.items() if len(c) <= CACHED_CHARS}
+        self.cache.update(short)
+        self.cache_bytes += sum(map(_held, short.items()))
         for c in parts:
             if len(c) > CACHED_CHARS:
                 del self.parts[c]
+            else:
+                self.part_bytes += _held((c, self.parts[c]))
         return learned
 
     @staticmethod

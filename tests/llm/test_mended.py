@@ -5,10 +5,11 @@ from __future__ import annotations
 import hashlib
 
 import numpy as np
+import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
-from lodestore.llm import kernel_langid, quality_cnn, warc
+from lodestore.llm import kernel_langid, quality_cnn, token_orc, warc
 
 
 @pytest.mark.parametrize("before,after", [(4, 2), (2, 7)])
@@ -110,3 +111,23 @@ def test_languages_equal_a_plain_nystrom_ridge_regression():
     assert np.allclose(model.kernel(kernel_langid.presence(new)) @ model.head + model.shift, f, atol=2e-3)
     clear = np.sort(f, axis=1)[:, -1] - np.sort(f, axis=1)[:, -2] > 0.01
     assert clear.sum() > 20 and [g for g, c in zip(got, clear, strict=True) if c] == [names[i] for i, c in zip(f.argmax(1), clear, strict=True) if c]
+
+
+def test_caches_of_tokens_count_their_bytes(monkeypatch):
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    tokenizer, encoder = Tokenizer.from_file(path), token_orc._Encoder(path)
+    monkeypatch.setattr(token_orc, "CACHE_BYTES", 5_000)
+    monkeypatch.setattr(token_orc, "PART_BYTES", 5_000)
+    texts = [f"word{i} thing{i % 7}. Other-{i}! {'x' * (i % 300)}" for i in range(500)]
+    most = 0
+    for at in range(0, len(texts), 10):
+        got = encoder.ids(texts[at : at + 10])
+        assert got == [np.array(tokenizer.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts[at : at + 10]]
+        for held, counted in ((encoder.cache, encoder.cache_bytes), (encoder.parts, encoder.part_bytes)):
+            assert counted == sum(map(token_orc._held, held.items()))
+            most = max(most, counted)
+    assert most < 40_000
+    monkeypatch.setattr(encoder, "by_chunk", False)  # as for tokenizers whose texts can't be cut
+    assert encoder.ids(texts[:5]) == [np.array(tokenizer.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts[:5]]
