@@ -28,6 +28,8 @@ from lodestore.llm.common import fresh, stored
 
 #: Texts of a language learned from, landmarks of a language and languages, at most.
 PER_LANG, LANDMARKS, LANGS = 150, 24, 200
+#: Rows, of a language and a number, up to which the table of languages goes to all tasks.
+BROADCAST_LANGS = 100_000
 RIDGE = 1e-2
 #: Bytes of the texts learned from, at most, but for one text of each language.
 SAMPLE_BYTES = 64 << 20
@@ -115,7 +117,9 @@ def learn(docs: DataFrame, learn_from: Column, lang_col: str = "lang", text_col:
     known = known.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
     # keys first: the window carries hashes, and of those only about four times as many as are taken
     keys = stored(known.select("lang", F.xxhash64("text").alias("h")).distinct(), "keys")
-    many = keys.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    many = stored(keys.groupBy("lang").agg(F.count(F.lit(1)).alias("n")), "languages")
+    if many.count() <= BROADCAST_LANGS:  # so that keys are thinned before they are dealt by language
+        many = F.broadcast(many)
     least = keys.join(many, "lang").where((F.col("h").cast("double") / 2.0**64 + 0.5) * F.col("n") <= 4 * per_lang).select("lang", "h")
     chosen = least.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy("h"))).where(F.col("rank") <= per_lang).orderBy("rank", "lang").limit(LANGS * per_lang)
     texts = known.withColumn("h", F.xxhash64("text")).join(F.broadcast(chosen), ["lang", "h"])
