@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lodestore.functions import analyze, registry, spelling
+from lodestore.functions import analyze, registry, spelling, zettel
 from lodestore.operators import textindex
 from lodestore.plans import tables as t
 from lodestore.plans.catalogue import query
@@ -173,3 +173,30 @@ def locale_names(s, d):
     """Capitalised words of every document by the patterns of its language."""
     docs = t.table(s, d, "documents").select(F.col("doc_id").alias("id"), F.col("text").alias("document"), "lang")
     return locales.names(docs, locales.built_in(s), phrases=False)
+
+
+# --- lines of notes
+
+_TELLING = " + ".join(f"contains(lower(q), '{w}')::INT" for w in zettel.TELLING)
+_FOUND = ", ".join("regexp_extract_all(text, '" + p.replace("'", "''") + "', 1)" for p in zettel.QUOTES)
+_TONES = ["joy", "anger", "raw_grief", "weary", "hopelessness"]
+
+
+@query(rf"""WITH n AS (SELECT conv_id, turn, text, role, regexp_extract_all(text, '[a-z]{{4,}}')[1:2] AS topics, (turn % 10) / 10.0 AS weight FROM conversations),
+q AS (SELECT conv_id, turn, q, i FROM (SELECT conv_id, turn, unnest(f) AS raw, generate_subscripts(f, 1) AS i FROM (SELECT conv_id, turn, list_concat(list_concat({_FOUND.split(", regexp", 1)[0]}, regexp{_FOUND.split(", regexp", 1)[1].rsplit(", regexp", 1)[0]}), regexp{_FOUND.rsplit(", regexp", 1)[1]}) AS f FROM n)), LATERAL (SELECT regexp_replace(raw, '^\s+|\s+$', '', 'g') AS q) WHERE length(q) >= 8),
+b AS (SELECT conv_id, turn, arg_max(q, (CASE WHEN regexp_matches(q, '^\p{{Lu}}') THEN 2 ELSE 0 END - CASE WHEN regexp_matches(q, '^(The|This|She) ') THEN 2 ELSE 0 END + 2 * ({_TELLING}) + CASE WHEN length(q) > 20 THEN 1 ELSE 0 END) * 1000000 - i) AS quote FROM q GROUP BY 1, 2)
+SELECT conv_id, turn, md5(turn || ':' || upper(substr(role, 1, 3)) || '|' || CASE WHEN len(topics) = 0 THEN 'misc' ELSE array_to_string(topics, '_') END || coalesce('|"' || quote || '"', '') || '|' || CAST(weight AS DOUBLE) || '|'
+  || ['joy', 'rage', 'grief', 'wear', 'despair'][1 + turn % 5] || CASE WHEN turn = 0 THEN '|ORIGIN' ELSE '' END) AS line, true AS again
+FROM n LEFT JOIN b USING (conv_id, turn)""")
+def zettel_lines(s, d):
+    """Every turn of the conversations as a note's line, and whether the line comes back from its fields."""
+    c = t.table(s, d, "conversations")
+    tone = F.element_at(F.array(*[F.lit(x) for x in _TONES]), (F.col("turn") % 5 + 1).cast("int"))
+    topics = F.slice(F.regexp_extract_all("text", F.lit("[a-z]{4,}"), F.lit(0)), 1, 2)
+    none = F.lit(None).cast("string")
+    z = F.struct(
+        F.concat(F.lit("z-"), F.col("turn").cast("string")).alias("id"), F.array("role").alias("people"), topics.alias("topics"), none.alias("title"), F.col("text").alias("content"), none.alias("origin_label"), none.alias("notes"),
+        ((F.col("turn") % 10) / 10).alias("emotional_weight"), F.array(tone).alias("emotional_tone"), (F.col("turn") == 0).alias("origin_moment"), none.alias("sensitivity"), none.alias("date_context"),
+    )
+    rows = c.select("conv_id", "turn", z.alias("z")).select("conv_id", "turn", zettel.encoded(F.col("z")).alias("said"))
+    return rows.select("conv_id", "turn", F.md5("said").alias("line"), F.coalesce(zettel.line(zettel.parsed(F.col("said"))) == F.col("said"), F.lit(False)).alias("again"))
