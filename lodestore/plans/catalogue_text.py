@@ -8,7 +8,7 @@ from lodestore.functions import analyze, registry, spelling, zettel
 from lodestore.operators import textindex
 from lodestore.plans import tables as t
 from lodestore.plans.catalogue import query
-from lodestore.sources import locales
+from lodestore.sources import locales, rooms
 
 # --- full-text index
 
@@ -200,3 +200,23 @@ def zettel_lines(s, d):
     )
     rows = c.select("conv_id", "turn", z.alias("z")).select("conv_id", "turn", zettel.encoded(F.col("z")).alias("said"))
     return rows.select("conv_id", "turn", F.md5("said").alias("line"), F.coalesce(zettel.line(zettel.parsed(F.col("said"))) == F.col("said"), F.lit(False)).alias("again"))
+
+
+# --- rooms of projects
+
+_KNOWN = "MAP {" + ", ".join(f"'{k}': '{v}'" for k, v in rooms.ROOMS.items()) + "}"
+_SKIPPED = ", ".join(f"'{x}'" for x in rooms.SKIPPED)
+
+
+@query(rf"""WITH f AS (SELECT regexp_extract(url, '^[^:]*://[^/?#]*/([^/?#]*)', 1) AS project, list_filter(string_split(replace(regexp_extract(url, '^[^:]*://([^/?#]*)', 1), '.', '/') || regexp_extract(url, '^[^:]*://[^/?#]*([^?#]*)', 1), '/'), lambda x: x <> '') AS parts FROM pages),
+d AS (SELECT DISTINCT project, 1 AS level, parts[1] AS folder FROM f WHERE len(parts) > 1 UNION SELECT DISTINCT project, 2, parts[2] FROM f WHERE len(parts) > 2 AND parts[1] NOT IN ({_SKIPPED})),
+g AS (SELECT project, level, folder, coalesce({_KNOWN}[replace(lower(folder), '-', '_')], CASE WHEN level = 1 AND length(folder) > 2 AND regexp_matches(folder, '^\p{{L}}') THEN replace(replace(lower(folder), '-', '_'), ' ', '_') END) AS name FROM d WHERE folder NOT IN ({_SKIPPED})),
+r AS (SELECT project, name, arg_min(folder, level || folder) AS folder FROM g WHERE name IS NOT NULL GROUP BY 1, 2)
+SELECT project, name, 'Files from ' || folder || '/' AS description, name || ',' || lower(folder) AS keywords FROM r
+UNION ALL SELECT DISTINCT project, 'general', CASE WHEN project IN (SELECT project FROM r) THEN 'Files that don''t fit other rooms' ELSE 'All project files' END, '' FROM f WHERE project NOT IN (SELECT project FROM r WHERE name = 'general')""")
+def folder_rooms(s, d):
+    """Rooms of the pages' sections: a section is a project, whose files lie under the labels of their hosts."""
+    url = F.col("url")
+    path = F.concat(F.replace(F.regexp_extract(url, "^[^:]*://([^/?#]*)", 1), F.lit("."), F.lit("/")), F.regexp_extract(url, "^[^:]*://[^/?#]*([^?#]*)", 1))
+    files = t.table(s, d, "pages").select(F.regexp_extract(url, "^[^:]*://[^/?#]*/([^/?#]*)", 1).alias("project"), path.alias("path"))
+    return rooms.detect(files).withColumn("keywords", F.array_join("keywords", ","))
