@@ -21,6 +21,7 @@ import zlib
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
+from functools import cache
 from html.parser import HTMLParser
 
 import numpy as np
@@ -30,7 +31,7 @@ from pyspark.sql import functions as F
 
 #: HTML's void elements, elements whose text is no text of the page, and block-level elements.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-SILENT = frozenset("script style noscript template svg math iframe object head title canvas audio video select textarea datalist button".split())
+SILENT = frozenset("script style noscript template svg iframe head title canvas audio video select textarea datalist button".split())
 HEAD_ONLY = frozenset("base basefont bgsound link meta title style script noscript template".split())
 BLOCKS = frozenset(
     "html body main article section nav aside header footer div p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd table thead tbody tfoot tr td th caption "
@@ -331,7 +332,9 @@ def labelled_pages(n: int, seed: int = 11) -> Iterator[tuple[list[Block], list[i
             yield blocks, [int(b.text in main) for b in blocks]
 
 
+@cache
 def train(pages: int = PAGES, epochs: int = EPOCHS, seed: int = 11) -> Field:
+    """The field fitted on pages of a seed; once in a process for the same arguments."""
     data = [([features(b) for b in blocks], labels) for blocks, labels in labelled_pages(pages, seed)]
     model, order = Field(), random.Random(seed)
     for epoch in range(epochs):

@@ -9,7 +9,7 @@ import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
-from lodestore.llm import kernel_langid, quality_cnn, token_orc, warc
+from lodestore.llm import html_crf, kernel_langid, quality_cnn, token_orc, warc
 
 
 @pytest.mark.parametrize("before,after", [(4, 2), (2, 7)])
@@ -131,3 +131,44 @@ def test_caches_of_tokens_count_their_bytes(monkeypatch):
     assert most < 40_000
     monkeypatch.setattr(encoder, "by_chunk", False)  # as for tokenizers whose texts can't be cut
     assert encoder.ids(texts[:5]) == [np.array(tokenizer.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts[:5]]
+
+
+def test_marginals_and_gradient_equal_enumeration():
+    from itertools import product
+
+    rng = np.random.default_rng(4)
+    page = [[1, 2], [2, 3], [5], [1, 5, 7]]
+    field = html_crf.Field()
+    field.emit[:8], field.step, field.start = rng.normal(size=(8, 2)), rng.normal(size=(2, 2)), rng.normal(size=2)
+
+    def weight(labels, f) -> float:
+        total = f.start[labels[0]] + sum(f.emit[x, y] for fs, y in zip(page, labels, strict=True) for x in fs)
+        return total + sum(f.step[a, b] for a, b in zip(labels[:-1], labels[1:], strict=True))
+
+    every = list(product((0, 1), repeat=len(page)))
+    p = np.exp([weight(y, field) for y in every])
+    p /= p.sum()
+    single, steps = field.marginals(page)
+    for i in range(len(page)):
+        assert np.allclose(single[i], [sum(q for y, q in zip(every, p, strict=True) if y[i] == k) for k in (0, 1)])
+    assert np.allclose(steps, [[sum(q * sum((y[i], y[i + 1]) == (a, b) for i in range(3)) for y, q in zip(every, p, strict=True)) for b in (0, 1)] for a in (0, 1)])
+    # a step of learning goes along the numeric gradient of the labels' likelihood
+    labels, rate, tiny = [0, 1, 1, 0], 1e-3, 1e-6
+
+    def likelihood(f) -> float:
+        return weight(labels, f) - np.log(np.sum(np.exp([weight(y, f) for y in every])))
+
+    moved = html_crf.Field(field.emit.copy(), field.step.copy(), field.start.copy())
+    moved.learn(page, labels, rate, decay=0)
+    for name, at, scale in (("emit", (2, 1), 1), ("emit", (5, 0), 1), ("step", (1, 0), 3), ("start", (1,), 1)):
+        up = html_crf.Field(field.emit.copy(), field.step.copy(), field.start.copy())
+        getattr(up, name)[at] += tiny
+        numeric = (likelihood(up) - likelihood(field)) / tiny
+        assert np.isclose((getattr(moved, name)[at] - getattr(field, name)[at]) / rate * scale, numeric, atol=1e-3), (name, at)
+
+
+def test_formulas_and_objects_are_text_of_the_page():
+    long = "The proof is short and takes three steps, as the following text tells in some detail, with all that belongs to it. "
+    html = f"<html><body><nav><a href='/'>Home</a></nav><article><h1>On proofs</h1><p>{long}We know that <math><mi>x</mi><mo>=</mo><mn>3</mn></math> holds.</p><p>{long}<object>a drawing</object> Please subscribe to this view.</p></article></body></html>"
+    text = html_crf.main_text(html, html_crf.train())
+    assert "We know that x=3 holds." in text and "a drawing Please subscribe to this view." in text and "Home" not in text
