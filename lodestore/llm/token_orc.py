@@ -21,7 +21,6 @@ from __future__ import annotations
 import json
 import os
 import re
-import sys
 import unicodedata
 from collections.abc import Iterator
 from itertools import chain
@@ -35,9 +34,9 @@ from pyspark.sql.window import Window
 from lodestore.llm.common import stored, text_or_empty
 
 #: Bytes that a worker's caches of chunks, and of parts of chunks, hold; they start anew beyond.
-CACHE_BYTES, PART_BYTES = 120 << 20, 220 << 20
-#: Bytes of an entry besides its key and its ids.
-ENTRY = 104
+CACHE_BYTES, PART_BYTES = 140 << 20, 250 << 20
+#: Bytes of an entry besides two for each character of its key and its ids, at most; parts encoded in one call.
+ENTRY, CALL = 212, 400
 #: Characters of a chunk that the caches keep, at most.
 CACHED_CHARS = 128
 # How a tokenizer prepares a text that may be cut between blanks.
@@ -54,8 +53,8 @@ _LOWER_BY_CONTEXT = re.compile("[İΣ]")
 _workers: dict = {}
 
 
-def _held(entry: tuple[str, bytes]) -> int:
-    return sys.getsizeof(entry[0]) + sys.getsizeof(entry[1]) + ENTRY
+def _held(entries: dict[str, bytes]) -> int:
+    return ENTRY * len(entries) + 2 * sum(map(len, entries)) + sum(map(len, entries.values()))
 
 
 class _Encoder:
@@ -88,8 +87,8 @@ class _Encoder:
             self.part_bytes = 0
         parts = [c for c in needed if c not in self.parts]
         plain = [c for c in parts if MARK not in c]
-        for at in range(0, len(plain), 2000):
-            some = plain[at : at + 2000]
+        for at in range(0, len(plain), CALL):
+            some = plain[at : at + CALL]
             # many parts in one call, with a mark between them that is a token by itself
             ids = np.array(self._encode(f" {MARK} ".join(some)), "<u4")
             ends = np.flatnonzero(ids == self.mark)
@@ -102,12 +101,11 @@ class _Encoder:
         learned = {c: b"".join(map(self.parts.__getitem__, ps)) for c, ps in cut.items()}
         short = {c: x for c, x in learned.items() if len(c) <= CACHED_CHARS}
         self.cache.update(short)
-        self.cache_bytes += sum(map(_held, short.items()))
+        self.cache_bytes += _held(short)
         for c in parts:
             if len(c) > CACHED_CHARS:
                 del self.parts[c]
-            else:
-                self.part_bytes += _held((c, self.parts[c]))
+        self.part_bytes += _held({c: self.parts[c] for c in parts if len(c) <= CACHED_CHARS})
         return learned
 
     @staticmethod
