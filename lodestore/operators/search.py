@@ -110,7 +110,11 @@ def quoted_factor(query: Column, document: Column, weight: float = 0.60) -> Colu
     return F.when(F.size(phrases) > 0, 1 - weight * term_hits(phrases, document) / F.size(phrases)).otherwise(F.lit(1.0))
 
 
-def name_factor(query: Column, document: Column, weight: float = 0.40, not_names: Sequence[str] = ("What", "When", "Where", "Who", "How", "Which", "Did", "Do", "Was", "Have", "Has", "Had", "Is", "Are", "The", "My", "Our", "Their", "Can", "Could", "Would", "Should", "Will", "Shall", "May", "Might", "I", "It", "Its", "This", "That", "These", "Those")) -> Column:
+# Capitalised words of questions that are no names.
+NOT_NAMES = ("What", "When", "Where", "Who", "How", "Which", "Did", "Do", "Was", "Have", "Has", "Had", "Is", "Are", "The", "My", "Our", "Their", "Can", "Could", "Would", "Should", "Will", "Shall", "May", "Might", "I", "It", "Its", "This", "That", "These", "Those")
+
+
+def name_factor(query: Column, document: Column, weight: float = 0.40, not_names: Sequence[str] = NOT_NAMES) -> Column:
     """1 less the weight's part for the share of the query's names in the document."""
     names = F.array_except(F.array_distinct(F.regexp_extract_all(query, F.lit(r"\b([A-Z][a-z]{2,15})\b"), F.lit(1))), F.array(*[F.lit(x) for x in not_names]))
     return F.when(F.size(names) > 0, 1 - weight * term_hits(F.transform(names, F.lower), document) / F.size(names)).otherwise(F.lit(1.0))
