@@ -43,18 +43,18 @@ def test_fixes_equal_brute_force(spark):
 
 
 def test_words_that_stay(spark):
-    skip = ["hi", "ok", "I", "3am", "top10", "bge-large-v1.5", "ChromaDB", "MemPalace", "NDCG", "MAX_RESULTS", "train_test", "https://example.com", "www.google.com", "`code`", "**bold**", "Proper", "notes.txt"]
+    skip = ["hi", "ok", "I", "3am", "top10", "bge-large-v1.5", "OtherDB", "NoteStore", "NDCG", "MAX_RESULTS", "train_test", "https://example.com", "www.google.com", "`code`", "**bold**", "Proper", "notes.txt"]
     rows = spark.createDataFrame([(w,) for w in [*skip, "hello", "question", "knoe"]], "w string")
     assert {r.w for r in rows.where(spelling.checkable(F.col("w"))).collect()} == {"hello", "question", "knoe"}
 
 
 def test_texts_keep_all_but_the_misspelt(spark):
     dictionary = spark.createDataFrame([("know", 9), ("question", 5), ("before", 7), ("the", 99)], "word string, n long")
-    texts = ["I knoe the  quesion,\n\tbefor!  ChromaDB knoe", "", None, "Knoe knoe-it kno", "I knoe the  quesion,\n\tbefor!  ChromaDB knoe", "mempalase knoe.\")"]
+    texts = ["I knoe the  quesion,\n\tbefor!  OtherDB knoe", "", None, "Knoe knoe-it kno", "I knoe the  quesion,\n\tbefor!  OtherDB knoe", "notestroe knoe.\")"]
     docs = spark.createDataFrame([(i, t, 1) for i, t in enumerate(texts)], "id int, document string, fix int")
     out = {r.id: r.corrected for r in spelling.corrected(docs, dictionary).collect()}
-    first = "I know the  question,\n\tbefore!  ChromaDB know"
-    assert out == {0: first, 1: "", 2: None, 3: "Knoe knoe-it kno", 4: first, 5: "mempalase know.\")"}
+    first = "I know the  question,\n\tbefore!  OtherDB know"
+    assert out == {0: first, 1: "", 2: None, 3: "Knoe knoe-it kno", 4: first, 5: "notestroe know.\")"}
     names = spark.createDataFrame([("KNOE",)], "name string")
     assert spelling.corrected(docs, dictionary, names=names).where("id = 5").first().corrected == texts[5]
     assert spelling.corrected(docs.limit(0), dictionary).count() == 0 and spelling.corrected(docs, dictionary.limit(0)).where("not (corrected <=> document)").count() == 0
