@@ -139,12 +139,12 @@ PREFERENCES: tuple[str, ...] = (
 
 
 def time_offset(question: Column) -> Column:
-    """struct(days, tolerance) of the first phrase of OFFSETS in a question, or null, also where the days are more than an int holds; with temporal_factor this boosts dated documents."""
+    """struct(days, tolerance) of the first phrase of OFFSETS in a question, or null; days that an int doesn't hold are null; with temporal_factor this boosts dated documents."""
     q = F.lower(question)
     found = F.when(F.lit(False), F.struct(F.lit(0).alias("days"), F.lit(0).alias("tolerance")))
     for pattern, days, factor, tolerance in OFFSETS:
         back = F.lit(days) if days else F.try_multiply(F.regexp_extract(q, pattern, 1).try_cast("int"), F.lit(factor))
-        found = found.when(F.regexp_like(q, F.lit(pattern)), F.when(back.isNotNull(), F.struct(back.alias("days"), F.lit(tolerance).alias("tolerance"))))
+        found = found.when(F.regexp_like(q, F.lit(pattern)), F.struct(back.alias("days"), F.lit(tolerance).alias("tolerance")))
     return found
 
 
