@@ -8,7 +8,8 @@ double precision. A group returns a row per linked vector, its links and the sma
 id it reaches there, never the pairs; components follow from those rows.
 
 All pairs are compared, so work grows with the square of the vectors; a tile pair's memory
-doesn't grow. Defined results: vectors that are null, empty, zero or hold a null or
+doesn't grow. A vector goes to each pair that its tile is in, so there are no more tiles than ``WAYS``, enough for the cores, until
+tiles of ``MOST_TILE`` vectors make more of them necessary: up to ``WAYS * MOST_TILE`` vectors what is shuffled grows as the input. Defined results: vectors that are null, empty, zero or hold a null or
 non-finite component link with nothing, nor do vectors of different length or with a null
 id, which are kept. Rows repeated with one id are separate vectors that link with each other.
 """
@@ -28,8 +29,10 @@ from lodestore.llm.common import stored
 from lodestore.llm.components import components
 
 THRESHOLD = 0.9
-#: Vectors of a tile; rows of a block of products.
-TILE, BLOCK = 4096, 256
+#: Vectors of a tile, at least and at most; tiles of more vectors than the least that are enough for the cores; products in a block.
+TILE, MOST_TILE, WAYS, BLOCK = 4096, 65_536, 16, 1 << 20
+#: Links that a task holds before it folds them into labels.
+LINKS = 1 << 21
 #: Different lengths of vectors up to which their table is broadcast; tasks that pairs of tiles are dealt to, at most.
 LENGTHS, MOST_TASKS = 1 << 16, 1 << 16
 
@@ -52,19 +55,22 @@ def linked_blocks(x: np.ndarray, y: np.ndarray, threshold: float) -> Iterator[tu
     # sums of products of codes are whole numbers, which these kinds hold exactly
     kind = np.float32 if x.shape[1] * 127 * 127 < 1 << 24 else np.float64
     codes, worst, inverse = qy.T.astype(kind), ey.max(), 1 / sy
-    for at in range(0, len(x), BLOCK):
-        e = ex[at : at + BLOCK]
+    block = max(1, BLOCK // len(y))
+    for at in range(0, len(x), block):
+        e = ex[at : at + block]
         floor = threshold - (e * (1 + worst) + worst * (1 + e) + e * worst) - 1e-6  # the least cosine of scaled codes, and a margin for the rounding of the next line
-        need = ((floor / sx[at : at + BLOCK])[:, None] * inverse).astype(kind)
-        i, j = np.nonzero(qx[at : at + BLOCK].astype(kind) @ codes >= need)
+        need = ((floor / sx[at : at + block])[:, None] * inverse).astype(kind)
+        i, j = np.nonzero(qx[at : at + block].astype(kind) @ codes >= need)
         for k in range(0, len(i), 1 << 16):
             ii, jj = i[k : k + (1 << 16)] + at, j[k : k + (1 << 16)]
             sure = np.einsum("ij,ij->i", x[ii], y[jj]) >= threshold
             yield ii[sure], jj[sure]
 
 
-def local_labels(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
-    """For each of n places the smallest place that it reaches by the links i-j."""
+def local_labels(n: int, i: np.ndarray, j: np.ndarray, label: np.ndarray | None = None) -> np.ndarray:
+    """For each of n places the smallest place that it reaches by the links i-j, and by those whose labels are given."""
+    if label is not None:
+        i, j = np.concatenate([i, np.arange(n)]), np.concatenate([j, label])
     label = np.arange(n)
     while True:
         before = label.copy()
@@ -75,6 +81,15 @@ def local_labels(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
             return label
 
 
+def _fold(label: np.ndarray, links: np.ndarray, found: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+    """The labels with the found links, which are added to the numbers of links."""
+    if not found:
+        return label
+    i, j = (np.concatenate(x) for x in zip(*found, strict=True))
+    links += np.bincount(i, minlength=len(links)) + np.bincount(j, minlength=len(links))
+    return local_labels(len(label), i, j, label)
+
+
 def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """id, row and the vector's components as bytes; null for vectors that link with nothing."""
     for b in batches:
@@ -100,15 +115,17 @@ def _tile_pair(threshold: float, kind: str):
         x = _unit(np.frombuffer(b"".join(t.raw), kind).reshape(len(t), -1).astype(np.float64))
         lo, hi = t.lo.iloc[0], t.hi.iloc[0]
         left, right = np.flatnonzero(tile == lo), np.flatnonzero(tile == hi)
-        links, found = np.zeros(len(t), np.int64), [(np.zeros(0, int), np.zeros(0, int))]
+        links, label, found, held = np.zeros(len(t), np.int64), np.arange(len(t)), [], 0
         if len(left) and len(right):
             for i, j in linked_blocks(x[left], x[right], threshold):
                 i, j = left[i], right[j]
                 if lo == hi:
                     i, j = i[i < j], j[i < j]
-                links += np.bincount(i, minlength=len(t)) + np.bincount(j, minlength=len(t))
                 found.append((i, j))
-        label = local_labels(len(t), np.concatenate([i for i, _ in found]), np.concatenate([j for _, j in found]))
+                held += len(i)
+                if held >= LINKS:
+                    label, found, held = _fold(label, links, found), [], 0
+        label = _fold(label, links, found)
         some = links > 0
         return pd.DataFrame({"row": rows[some], "id": ids[some], "links": links[some], "root": ids[label[some]]})
 
@@ -125,7 +142,9 @@ def near_copies(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embe
     packed = rows.select("id", "row", F.col("v").cast(f"array<{'double' if double else 'float'}>").alias("v"))
     packed = stored(packed.mapInArrow(_pack, f"id {id_type}, row long, raw binary"), "vectors")
     good = packed.where(F.col("raw").isNotNull() & F.col("id").isNotNull()).withColumn("bytes", F.octet_length("raw"))
-    sizes = stored(good.groupBy("bytes").agg(F.ceil(F.count(F.lit(1)) / tile).cast("long").alias("tiles")), "sizes")
+    n = F.count(F.lit(1))
+    tiles = F.least(F.ceil(n / tile), F.greatest(F.lit(WAYS), F.ceil(n / max(tile, MOST_TILE))))
+    sizes = stored(good.groupBy("bytes").agg(tiles.cast("long").alias("tiles")), "sizes")
     lengths, pairs = sizes.agg(F.count(F.lit(1)), F.sum(F.col("tiles") * (F.col("tiles") + 1) / 2)).first()
     dealt = good.join(F.broadcast(sizes) if lengths <= LENGTHS else sizes, "bytes").withColumn("tile", F.pmod(F.xxhash64("row"), F.col("tiles")))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("tiles") - 1)))

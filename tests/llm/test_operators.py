@@ -288,6 +288,22 @@ def test_tile_dedup_equals_brute_force(spark):
     assert tile_dedup.near_copies(df.limit(0)).count() == 0
 
 
+def test_tiles_grow_with_the_vectors(spark, monkeypatch):
+    """No vector goes to more than WAYS pairs of tiles while tiles may grow, and a task folds the links it holds."""
+    monkeypatch.setattr(tile_dedup, "WAYS", 2)
+    monkeypatch.setattr(tile_dedup, "LINKS", 8)
+    met = []
+    fold = tile_dedup.stored
+    monkeypatch.setattr(tile_dedup, "stored", lambda df, name: met.append((name, df)) or fold(df, name))
+    x = np.random.default_rng(3).normal(size=(120, 4))
+    got = {y.vec_id: (y.n_links, y.component_id) for y in tile_dedup.near_copies(spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>"), tile=10).collect()}
+    assert [r.tiles for name, df in met if name == "sizes" for r in df.collect()] == [2]
+    u = x / np.linalg.norm(x, axis=1, keepdims=True)
+    i, j = np.nonzero((u @ u.T >= 0.9) & ~np.eye(len(u), dtype=bool))
+    label = tile_dedup.local_labels(len(u), i, j)
+    assert got == {k: (int((i == k).sum()), int(label[k])) for k in range(len(u))}
+
+
 def test_quantisation_bound_is_rigorous():
     r = np.random.default_rng(2)
     x = r.normal(size=(60, 24))
