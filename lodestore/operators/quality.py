@@ -10,6 +10,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+#: Vectors of a source that are a tile, where pairs are counted.
+PAIR_TILE = 8192
+
 
 def near_duplicates(chunks: DataFrame, max_distance: float = 0.15, least_chars: int = 20, least_group: int = 5) -> DataFrame:
     """id, source_file, kept: longest first, a chunk goes if short or near a kept one of its source.
@@ -39,6 +42,44 @@ def near_duplicates(chunks: DataFrame, max_distance: float = 0.15, least_chars:
     return out.unionByName(rows.where(F.col("n") < least_group).select("id", "source_file", F.lit(True).alias("kept")))
 
 
+def near_pairs(rows: DataFrame, max_distance: float, source_col: str = "source_file", id_col: str = "id", vec_col: str = "embedding") -> DataFrame:
+    """source_file, pairs: how many pairs of different ids of a source are nearer than max_distance; sources without any are left out.
+
+    A source's vectors are dealt into tiles, and each two tiles meet in a task. Distances so near to the limit that the order of the sum
+    may tell are summed again one component after the other. Vectors that are null, zero or hold nulls or NaN are near nothing.
+    """
+    v = rows.select(F.col(source_col).alias("source"), F.col(id_col).alias("i"), F.col(vec_col).cast("array<double>").alias("v"))
+    v = v.where("source IS NOT NULL AND i IS NOT NULL AND size(v) > 0").where(~F.exists("v", lambda x: x.isNull())).withColumn("width", F.size("v"))
+    sizes = v.groupBy("source", "width").agg(F.ceil(F.count(F.lit(1)) / PAIR_TILE).cast("long").alias("tiles"))
+    dealt = v.join(sizes, ["source", "width"]).withColumn("tile", F.pmod(F.xxhash64("i", "v"), F.col("tiles")))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("tiles") - 1))).withColumns({"lo": F.least("tile", "other"), "hi": F.greatest("tile", "other")})
+
+    def counted(t: pd.DataFrame) -> pd.DataFrame:
+        x, place, tile = np.stack(t.v.to_numpy()).astype(np.float64), np.unique(t.i.to_numpy(), return_inverse=True)[1], t.tile.to_numpy()
+        left, right, one = np.flatnonzero(tile == t.lo.iloc[0]), np.flatnonzero(tile == t.hi.iloc[0]), t.lo.iloc[0] == t.hi.iloc[0]
+        pairs = 0
+        with np.errstate(all="ignore"):
+            total, y = np.einsum("ij,ij->i", x, x), x[right].T
+            for at in range(0, len(left), 256):
+                some = left[at : at + 256]
+                far = 1 - (x[some] @ y) / np.sqrt(total[some][:, None] * total[right])
+                a, b = np.nonzero(np.abs(far - max_distance) < 1e-9)
+                far[a, b] = _summed_distance(x[some[a]], x[right[b]])
+                p, q = place[some][:, None], place[right]
+                pairs += int(((far < max_distance) & np.isfinite(far) & ((p < q) if one else (p != q))).sum())
+        return pd.DataFrame({"source": t.source.iloc[:1], "pairs": [pairs]})
+
+    kind = v.schema["source"].dataType.simpleString()
+    met = dealt.groupBy("source", "width", "lo", "hi").applyInPandas(counted, f"source {kind}, pairs long")
+    return met.groupBy(F.col("source").alias("source_file")).agg(F.sum("pairs").alias("pairs")).where("pairs > 0")
+
+
+def _summed_distance(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Cosine distances of rows, summed from the first component to the last."""
+    a, b, c = (np.add.accumulate(p * q, axis=1)[:, -1] for p, q in ((x, y), (x, x), (y, y)))
+    return 1 - a / np.sqrt(b * c)
+
+
 def parity(src: DataFrame, dst: DataFrame, columns: list[str], vec_col: str | None = None, tolerance: float = 1e-6) -> DataFrame:
     """id and state of every row in which two stores differ: missing, phantom, or the columns that differ."""
     a = src.select("id", F.struct(*columns, *([vec_col] if vec_col else [])).alias("a"))

@@ -751,10 +751,7 @@ def near_dup_greedy(s, d):
 @query("""SELECT label AS source_file, count(*) AS pairs FROM (SELECT a.label FROM embeddings a JOIN embeddings b ON a.label = b.label AND a.vec_id < b.vec_id
 WHERE list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[]) > 0.3) GROUP BY 1""")
 def near_dup_pairs(s, d):
-    v = t.table(s, d, "embeddings")
-    a, b = v.select("label", F.col("vec_id").alias("i"), F.col("embedding").alias("x")), v.select("label", F.col("vec_id").alias("j"), F.col("embedding").alias("y"))
-    met = a.join(b, "label").where("i < j").where(vectors.cosine_distance(F.col("x"), F.col("y")) < 0.7)
-    return met.groupBy(F.col("label").alias("source_file")).agg(F.count(F.lit(1)).alias("pairs"))
+    return quality.near_pairs(t.table(s, d, "embeddings"), 0.7, "label", "vec_id")
 
 
 # --- text

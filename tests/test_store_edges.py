@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lodestore.functions import tools
-from lodestore.operators import collection, search, vectors
+from lodestore.operators import collection, quality, search, vectors
 
 
 @pytest.mark.parametrize("most", [4096, 7])
@@ -45,3 +45,20 @@ def test_equal_rows_of_a_batch_go_in_once(spark):
     first = collection.from_tool(rows, spark.createDataFrame([], "id string"))
     assert sorted(r.document for r in first.collect()) == ["other", "same"]
     assert collection.from_tool(rows, first).count() == 0
+
+
+def test_near_pairs_meet_in_tiles(spark, monkeypatch):
+    monkeypatch.setattr(quality, "PAIR_TILE", 16)
+    r = np.random.default_rng(5)
+    rows = [(i, i % 3, v.tolist()) for i, v in enumerate(r.normal(size=(120, 6)))]
+    rows += [(3, 0, [1.0] * 6), (500, 0, None), (501, 0, [0.0] * 6), (502, 0, [None] * 6), (503, 0, [float("nan")] * 6), (None, 0, [1.0] * 6), (504, None, [1.0] * 6), (505, 0, [1.0, 2.0]), (506, 9, [1.0] * 6)]
+    df = spark.createDataFrame(rows, "id long, source_file int, embedding array<double>")
+    want = {}
+    good = [x for x in rows if x[0] is not None and x[1] is not None and x[2] and None not in x[2] and any(x[2]) and x[2][0] == x[2][0]]
+    for i, s, a in good:
+        for j, q, b in good:
+            if s == q and i < j and len(a) == len(b) and np.dot(a, b) / np.sqrt(np.dot(a, a) * np.dot(b, b)) > 0.3:
+                want[s] = want.get(s, 0) + 1
+    assert {x.source_file: x.pairs for x in quality.near_pairs(df, 0.7).collect()} == want
+    plan = quality.near_pairs(df, 0.7)._jdf.queryExecution().executedPlan().toString()
+    assert "FlatMapGroupsInPandas" in plan  # tiles of vectors meet, not rows
