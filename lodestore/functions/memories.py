@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lodestore import scratch
 from lodestore.functions.text import strip
 
 # The markers of each type, in the order that settles ties.
@@ -64,6 +68,8 @@ CODE: tuple[str, ...] = (
 LEAST_CHARS, LEAST_CONFIDENCE = 20, 0.3
 #: Share of letters below which a line is code, if it has more characters than that.
 CODE_LETTERS, CODE_CHARS = 0.4, 10
+#: Bytes of memories of distinct texts that go to all tasks.
+BROADCAST_BYTES = 16 << 20
 
 
 def segments(text: Column) -> Column:
@@ -81,7 +87,8 @@ def is_code(line: Column) -> Column:
     """Whether a line, without white space around it, looks like code."""
     letters = F.regexp_count(line, F.lit(r"\p{L}")) / F.greatest(F.char_length(line), F.lit(1))
     few = (letters < CODE_LETTERS) & (F.char_length(line) > CODE_CHARS)
-    return F.exists(F.array(*[F.lit(c) for c in CODE]), lambda c: F.regexp_like(line, c)) | few
+    # a constant pattern is compiled once; one that comes from an array, for each line
+    return reduce(or_, [F.regexp_like(line, F.lit(c)) for c in CODE]) | few
 
 
 def prose(text: Column) -> Column:
@@ -117,7 +124,7 @@ def classified(rows: DataFrame, text_col: str = "content") -> DataFrame:
     bonus = F.when(F.char_length(c) > 500, 2).when(F.char_length(c) > 200, 1).otherwise(0)
     scored = scored.withColumns({"_first": first, "confidence": F.least(F.lit(1.0), (most + bonus) / 5.0)})
     happy = F.col("_mood") > 0
-    solved = F.exists(F.array(*[F.lit(x) for x in RESOLVED]), lambda x: F.regexp_like(F.lower(p), x))
+    solved = F.regexp_like(F.lower(p), F.lit("|".join(RESOLVED)))
     problem = F.col("_first") == "problem"
     kind = (
         F.when(problem & solved & (F.col("_emotional") > 0) & happy, "emotional").when(problem & solved, "milestone")
@@ -128,9 +135,13 @@ def classified(rows: DataFrame, text_col: str = "content") -> DataFrame:
 
 
 def extract(docs: DataFrame, id_col: str = "id", text_col: str = "text") -> DataFrame:
-    """id, segment, content, memory_type, confidence of the segments that hold a memory."""
-    parts = docs.select(id_col, F.posexplode(segments(F.coalesce(F.col(text_col), F.lit("")))).alias("segment", "content"))
-    rows = classified(parts).withColumn("content", strip("content"))
+    """id, segment, content, memory_type, confidence of the segments that hold a memory. Equal texts are read once."""
+    rows = docs.select(id_col, F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
+    key = F.sha2(F.col("_text").cast("binary"), 256).alias("_key")
+    parts = rows.select("_text").distinct().select(key, F.posexplode(segments(F.col("_text"))).alias("segment", "content"))
+    said = classified(parts).withColumn("content", strip("content"))
     # exploded, not filtered: Spark would put the whole of the type's expression, with all that it repeats, into the filter
     kind = F.explode(F.when(F.col("memory_type").isNotNull(), F.array("memory_type")))
-    return rows.select(id_col, "segment", "content", "confidence", kind.alias("memory_type"))
+    said = scratch.written(said.select("_key", "segment", "content", "confidence", kind.alias("memory_type")), f"{scratch.folder(docs.sparkSession)}/memories")
+    size = said.agg(F.sum(F.octet_length("content") + 100)).first()[0] or 0
+    return rows.select(id_col, key).join(F.broadcast(said) if size <= BROADCAST_BYTES else said, "_key").drop("_key")

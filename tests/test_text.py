@@ -179,3 +179,16 @@ def test_queries_equal_their_sql(spark):
         if sorted(cols) != sorted(df.columns) or not _same([r.asDict() for r in df.collect()], [dict(zip(cols, r, strict=True)) for r in cur.fetchall()], cols):
             wrong.append(name)
     assert wrong == []
+
+
+def test_memories_of_equal_texts_are_read_once(spark, monkeypatch):
+    texts = ["We decided to go with a queue because it is simpler.\n\nThere is a bug: the import keeps failing with an error, and it is broken.", "I prefer tabs. Please always use tabs, never use spaces.", "", None]
+    df = spark.createDataFrame([(i, texts[i % 4]) for i in range(40)], "id long, text string")
+    seen = []
+    whole = memories.classified
+    monkeypatch.setattr(memories, "classified", lambda rows, *a: seen.append(rows) or whole(rows, *a))
+    for most in (memories.BROADCAST_BYTES, 0):
+        monkeypatch.setattr(memories, "BROADCAST_BYTES", most)
+        got = sorted((x.id, x.segment, x.memory_type) for x in memories.extract(df).collect())
+        assert got == [x for i in range(40) for x in ([(i, 0, "decision"), (i, 1, "problem")] if i % 4 == 0 else [(i, 0, "preference")] if i % 4 == 1 else [])]
+    assert [x.count() for x in seen] == [3, 3]
