@@ -136,11 +136,63 @@ def lookup(words: DataFrame, entries: DataFrame, confirmed: DataFrame | None = N
     return out.withColumn("name", F.when(found_elsewhere, F.col(word)).otherwise(F.col("name"))).drop("_low", "alias", "entry", "ambiguous")
 
 
+_inner = lambda c: c.isalnum() or c == "_"
+_PATTERNS = [p.split("{name}") for p in (*PERSON_CONTEXTS, *CONCEPT_CONTEXTS)]
+# "x" stands for a name, which begins and ends with a letter, digit or underscore
+_BEFORE, _AFTER = [re.compile(f"(?:{before})x\\Z") for before, _ in _PATTERNS], [re.compile(f"x(?:{after})") for _, after in _PATTERNS]
+#: What follows a name, as far as a pattern may look: white space and a word, an end of a possessive and the word it is in, or one character.
+_FOLLOWS = re.compile(r"\s+\w*|s?'\w*|.?", re.DOTALL)
+_PERSON = (1 << len(PERSON_CONTEXTS)) - 1
+
+
 @lru_cache(4096)
 def _patterns(word: str) -> list[list[re.Pattern]]:
     return [[re.compile(p.replace("{name}", re.escape(word))) for p in kind] for kind in (PERSON_CONTEXTS, CONCEPT_CONTEXTS)]
 
 
+@lru_cache(1 << 16)
+def _met_before(context: str) -> int:
+    """The patterns, as bits, whose part before the name the context ends with."""
+    return sum(1 << i for i, p in enumerate(_BEFORE) if p.search(context + "x"))
+
+
+@lru_cache(1 << 16)
+def _met_after(context: str) -> int:
+    return sum(1 << i for i, p in enumerate(_AFTER) if p.match("x" + context))
+
+
+def _before(low: str, at: int) -> str:
+    """The two words before a place and the white space after each; one character where none stands before it. Empty at the line's start only."""
+    begin = at
+    for _ in range(2):
+        end = begin
+        while end and low[end - 1].isspace():
+            end -= 1
+        if end == begin:
+            break
+        begin = end
+        while begin and _inner(low[begin - 1]):
+            begin -= 1
+        if begin == end:
+            break
+    return low[max(begin - 1, 0) : at]
+
+
+def _line_votes(low: str, places: dict[str, list[int]]) -> dict[str, tuple[int, int]]:
+    """Votes for a person and for a concept of words by all places where they stand in a line, inside other words too."""
+    out = {}
+    for word, ats in places.items():
+        if _inner(word[0]) and _inner(word[-1]):
+            bits = 0
+            for at in ats:
+                if after := _met_after(_FOLLOWS.match(low, at + len(word)).group()):
+                    bits |= after & _met_before(_before(low, at))
+            out[word] = (bits & _PERSON).bit_count(), (bits >> len(PERSON_CONTEXTS)).bit_count()
+        else:  # borders of such names lie elsewhere
+            out[word] = tuple(sum(p.search(low) is not None for p in kind) for kind in _patterns(word))
+    return out
+
+
 def mentions(docs: DataFrame, entries: DataFrame, id_col: str = "id", text_col: str = "document", common: Sequence[str] = COMMON_WORDS) -> DataFrame:
     """One row per mention of an alias as whole words: id_col, line (from 0), at (place in the line), word, canonical, and what ``lookup`` says."""
     spark = docs.sparkSession
@@ -153,23 +205,26 @@ def mentions(docs: DataFrame, entries: DataFrame, id_col: str = "id", text_col:
         automaton.add_word(x, len(x))
     if len(known):
         automaton.make_automaton()
-    inner = lambda c: c.isalnum() or c == "_"
     some = len(known) > 0
 
     def in_line(line: str) -> Iterator[tuple[int, str, int, int]]:
-        """Place, word and votes of each mention; a word's votes are counted once for the line."""
+        """Place, word and votes of each mention; a word's votes are counted once for the line, from what stands around it."""
         low = line.lower()
         if len(low) != len(line):  # letters whose lower case is longer
             low = "".join(x if len(x := c.lower()) == 1 else c for c in line)
-        counted: dict[str, tuple[int, int]] = {}
+        met: list[tuple[int, str]] = []
+        places: dict[str, list[int]] = {}
         for end, size in automaton.iter(low):
             at = end - size + 1
-            if (at and inner(low[at - 1]) and inner(low[at])) or (end + 1 < len(low) and inner(low[end + 1]) and inner(low[end])):
-                continue
             word = low[at : end + 1]
-            if word not in counted:
-                counted[word] = tuple(sum(p.search(low) is not None for p in kind) for kind in _patterns(word)) if word in ambiguous else (0, 0)
-            yield at, line[at : end + 1], *counted[word]
+            if word in ambiguous:
+                places.setdefault(word, []).append(at)
+            if not ((at and _inner(low[at - 1]) and _inner(low[at])) or (end + 1 < len(low) and _inner(low[end + 1]) and _inner(low[end]))):
+                met.append((at, word))
+        if met:
+            counted = _line_votes(low, {word: places[word] for word in {w for _, w in met} if word in places}) if places else {}
+            for at, word in met:
+                yield at, line[at : at + len(word)], *counted.get(word, (0, 0))
 
     def found(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import random
 import re
 
 import pytest
@@ -88,3 +89,14 @@ def test_what_is_learned_is_merged_in_any_order(spark, entries):
     assert (zelda.seen_count, zelda.source) == (8, "learned")
     again = registry.merged(entries, first)
     assert registry.learned(spark.createDataFrame([(1, text)], "id int, document string"), again).count() == 0
+
+
+def test_votes_come_from_what_stands_around_a_name():
+    """As the patterns over the whole line, for names at borders, in other words, twice, and with odd white space."""
+    words = "will will's wills' goodwill said told is was with saw picked up drop dropped off hey thanks my son have you if not would the of in to since : , ' - _ é 5 mark".split()
+    rnd = random.Random(1)
+    for _ in range(3000):
+        line = "".join(rnd.choice(words) + rnd.choice([" ", " ", "", "  ", "\t", " ' "]) for _ in range(rnd.randint(1, 7)))
+        for name in ("will", "off", "mark", "s", "with", "'s"):
+            if places := [m.start() for m in re.finditer(f"(?={re.escape(name)})", line)]:
+                assert list(registry._line_votes(line, {name: places})[name]) == plain_votes(name, line), (line, name)
