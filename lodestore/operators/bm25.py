@@ -8,6 +8,8 @@ from pyspark.sql.window import Window
 
 K1, B = 1.5, 0.75
 WORD = r"(?U)\w{2,}"
+#: Terms of all queries whose tables go to all tasks; more are shuffled.
+BROADCAST_TERMS = 200_000
 
 
 def tokens(text: str | Column) -> Column:
@@ -31,19 +33,21 @@ def corpus_scores(docs: DataFrame, queries: DataFrame, id_col: str = "id", text_
     """queries (query_id, query) over all docs: query_id, id, score of each document with a query term.
 
     Query terms, a set for each query, prune the postings before anything is shuffled; counts
-    and the mean length are of the whole corpus, empty documents included.
+    and the mean length are of the whole corpus, empty documents included. What is left is shuffled once, by id:
+    frequencies, and after joins with tables of the query terms the scores too, are summed where a document's words lie.
     """
     terms = queries.select("query_id", F.explode(F.array_distinct(tokens("query"))).alias("term"))
-    asked = terms.select("term").distinct()
+    near = F.broadcast if terms.count() <= BROADCAST_TERMS else lambda x: x
+    asked = near(terms.select("term").distinct())
     t = docs.select(F.col(id_col).alias("id"), tokens(text_col).alias("t")).withColumn("length", F.size("t").cast("double"))
     lengths = docs.select(F.regexp_count(F.lower(F.coalesce(F.col(text_col), F.lit(""))), F.lit(WORD)).alias("length"))  # no arrays, no rows for words
     whole = lengths.agg(F.count(F.lit(1)).cast("double").alias("n"), F.greatest(F.avg("length"), F.lit(1.0)).alias("mean"))
-    hits = t.select("id", "length", F.explode("t").alias("term")).join(asked, "term", "left_semi")
+    hits = t.select("id", "length", F.explode("t").alias("term")).join(asked, "term", "left_semi").repartition("id")
     tf = hits.groupBy("term", "id", "length").agg(F.count(F.lit(1)).cast("double").alias("tf"))
     df = tf.groupBy("term").agg(F.count(F.lit(1)).cast("double").alias("df"))
-    scored = tf.join(df, "term").crossJoin(F.broadcast(whole))  # one row
+    scored = tf.join(near(df), "term").crossJoin(F.broadcast(whole))  # one row
     scored = scored.select("term", "id", _score(F.col("tf"), F.col("df"), F.col("n"), F.col("length"), F.col("mean"), k1, b).alias("s"))
-    return scored.join(terms, "term").groupBy("query_id", "id").agg(F.sum("s").alias("score"))
+    return scored.join(near(terms), "term").groupBy("query_id", "id").agg(F.sum("s").alias("score"))
 
 
 def top_k(scores: DataFrame, k: int) -> DataFrame:

@@ -6,6 +6,8 @@ import glob
 import json
 import math
 import os
+import re
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -192,3 +194,28 @@ def test_memories_of_equal_texts_are_read_once(spark, monkeypatch):
         got = sorted((x.id, x.segment, x.memory_type) for x in memories.extract(df).collect())
         assert got == [x for i in range(40) for x in ([(i, 0, "decision"), (i, 1, "problem")] if i % 4 == 0 else [(i, 0, "preference")] if i % 4 == 1 else [])]
     assert [x.count() for x in seen] == [3, 3]
+
+
+@pytest.mark.parametrize("most", [1000, 0])
+def test_documents_are_shuffled_once_for_scores(spark, monkeypatch, most):
+    monkeypatch.setattr(bm25, "BROADCAST_TERMS", most)
+    rows = [(i, f"red {'fox ' * (i % 4)} word{i}") for i in range(30)] + [(5, "red word5 fox"), (None, "fox"), (40, None)]
+    docs = spark.createDataFrame(rows, "id long, document string")
+    queries = spark.createDataFrame([(1, "red fox"), (2, "word7 Fox fox"), (3, "absent")], "query_id int, query string")
+    scores = bm25.corpus_scores(docs, queries)
+    lists = [(i, re.findall(r"\w{2,}", (x or "").lower())) for i, x in rows]
+    n, mean, tf, want = len(rows), sum(len(x) for _, x in lists) / len(rows), Counter(), Counter()
+    for i, x in lists:
+        for term, k in Counter(x).items():
+            tf[term, i, len(x)] += k
+    df = Counter(term for term, *_ in tf)
+    for q, asked in ((1, {"red", "fox"}), (2, {"word7", "fox"})):
+        for (term, i, length), k in tf.items():
+            if term in asked:
+                want[q, i] += math.log((n - df[term] + 0.5) / (df[term] + 0.5) + 1) * k * 2.5 / (k + 1.5 * (0.25 + 0.75 * length / mean))
+    got = {(x.query_id, x.id): x.score for x in scores.collect()}
+    assert got.keys() == want.keys() and all(abs(got[x] - want[x]) < 1e-9 for x in want)
+    plan = scores._jdf.queryExecution().optimizedPlan()
+    if most:  # grouping by a document's terms and by its queries needs no exchange of its own
+        text = bm25.top_k(scores, 2)._jdf.queryExecution().sparkPlan().toString()
+        assert plan.toString().count("RepartitionByExpression [id") >= 1 and "SortMergeJoin" not in text
