@@ -20,6 +20,10 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lodestore import scratch
+
+#: Fixes that go to all tasks; more are shuffled.
+BROADCAST_FIXES = 200_000
 #: Edits within reach; letters of a dictionary word that is indexed by deletions.
 EDITS, SHORT = 2, 16
 # Letters of the shortest word that is checked, marks at a word's end, what words aren't checked.
@@ -50,9 +54,12 @@ def checkable(word: Column) -> Column:
 
 
 def words_of(docs: DataFrame, text_col: str = "document") -> DataFrame:
-    """word, n: the checkable words of texts and how often each stands there."""
-    tokens = docs.select(F.explode(F.regexp_extract_all(text_col, F.lit(r"(?U)\S+"), F.lit(0))).alias("token"))
-    return tokens.select(stem(F.col("token")).alias("word")).where(checkable(F.col("word"))).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    """word, n: the checkable words of texts and how often each stands there. The texts are read once, and each distinct token is checked once."""
+    tokens = docs.select(F.explode(F.regexp_extract_all(text_col, F.lit(r"(?U)\S+"), F.lit(0))).alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("n"))
+    folder = scratch.folder(docs.sparkSession)
+    tokens = scratch.written(tokens, f"{folder}/tokens")  # or the checks would be moved before the aggregate, to every token
+    words = tokens.select(stem(F.col("token")).alias("word"), "n").where(checkable(F.col("word"))).groupBy("word").agg(F.sum("n").alias("n"))
+    return scratch.written(words, f"{folder}/words")
 
 
 def frequent(words: DataFrame, least: int) -> DataFrame:
@@ -60,16 +67,22 @@ def frequent(words: DataFrame, least: int) -> DataFrame:
     return words.groupBy(F.lower("word").alias("word")).agg(F.sum("n").alias("n")).where(F.col("n") >= least)
 
 
-def _without_one(word: Column) -> Column:
-    return F.transform(F.sequence(F.lit(1), F.char_length(word)), lambda i: F.concat(F.substring(word, F.lit(1), i - 1), F.substring(word, i + 1, F.char_length(word))))
+def _without(word: Column, at: Column) -> Column:
+    return F.concat(F.substring(word, F.lit(1), at - 1), F.substring(word, at + 1, F.char_length(word)))
 
 
 def deletions(word: Column, edits: int = EDITS) -> Column:
-    """The distinct strings that a word becomes by losing up to so many letters."""
-    out = level = F.array(word)
+    """The distinct strings that a word becomes by losing up to so many letters. Letters are lost from left to right, so each set of places comes once."""
+    none = F.array().cast("array<int>")
+
+    def fewer(x: Column) -> Column:
+        places = F.when(x["at"] <= F.char_length(x["w"]), F.sequence(x["at"], F.char_length(x["w"]))).otherwise(none)
+        return F.transform(places, lambda i: F.struct(_without(x["w"], i).alias("w"), i.alias("at")))
+
+    out, level = F.array(word), F.array(F.struct(word.alias("w"), F.lit(1).alias("at")))
     for _ in range(edits):
-        level = F.array_distinct(F.flatten(F.transform(level, lambda w: F.when(w == "", F.array().cast("array<string>")).otherwise(_without_one(w)))))
-        out = F.concat(out, level)
+        level = F.flatten(F.transform(level, fewer))
+        out = F.concat(out, F.transform(level, lambda x: x["w"]))
     return F.array_distinct(out)
 
 
@@ -110,11 +123,13 @@ def fixes(words: DataFrame, dictionary: DataFrame, names: DataFrame | None = Non
     names: known names (name), in any case, that stay as they are.
     """
     known = dictionary.where(F.col("word") != "").groupBy(F.col("word").alias("fix")).agg(F.sum("n").alias("n"))
-    asked = words.select("word").distinct().where(checkable(F.col("word"))).withColumn("low", F.lower("word"))
+    asked = scratch.written(words.select("word").distinct(), f"{scratch.folder(words.sparkSession)}/asked")  # or every word would be checked wherever it stands
+    asked = asked.where(checkable(F.col("word"))).withColumn("low", F.lower("word"))
     stay = known.select(F.col("fix").alias("low"))
     if names is not None:
         stay = stay.unionByName(names.select(F.lower("name").alias("low")).distinct())
-    asked = asked.join(stay, "low", "left_anti").select("word")
+    # a word has some hundred keys, so its few bytes are no measure of the work
+    asked = asked.join(stay, "low", "left_anti").select("word").repartition(4 * words.sparkSession.sparkContext.defaultParallelism, "word")
     met = asked.select("word", F.explode(lookup_keys(F.col("word"), edits)).alias("key")).join(known.select("fix", "n", F.explode(index_keys(F.col("fix"), edits)).alias("key")), "key")
     far = F.levenshtein("word", "fix", edits)
     near = met.select("word", "fix", "n", far.alias("distance")).where(F.col("distance") >= 0)  # met by several keys: harmless for a minimum
@@ -140,8 +155,10 @@ def _with_fixes(docs: DataFrame, read: Column, dictionary: DataFrame, text_col:
     """docs with _fixes, a map from the words of read (a column of _text) to what they are to be, or null. Equal texts are read once."""
     key = F.sha2(F.col(text_col).cast("binary"), 256)
     texts = docs.where(F.col(text_col).isNotNull()).groupBy(key.alias("_key")).agg(F.first(text_col).alias("_text"))
-    held = texts.select("_key", F.explode(F.array_distinct(F.transform(_tokens(read), stem))).alias("word")).where(checkable(F.col("word")))
-    fixed = held.join(fixes(held, dictionary, names, edits), "word").groupBy("_key").agg(F.map_from_entries(F.collect_list(F.struct("word", "fix"))).alias("_fixes"))
+    held = texts.select("_key", F.explode(F.array_distinct(F.transform(_tokens(read), stem))).alias("word"))
+    found = scratch.written(fixes(held, dictionary, names, edits), f"{scratch.folder(docs.sparkSession)}/fixes")
+    few = found.count() <= BROADCAST_FIXES
+    fixed = held.join(F.broadcast(found) if few else found, "word").groupBy("_key").agg(F.map_from_entries(F.collect_list(F.struct("word", "fix"))).alias("_fixes"))
     return docs.withColumn("_key", key).join(fixed, "_key", "left").drop("_key")
 
 

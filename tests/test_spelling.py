@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 import random
 import re
 
@@ -78,3 +79,18 @@ def test_keys_of_near_words_meet(spark):
             pairs.append((a, b))
     df = spark.createDataFrame(pairs, "a string, b string")
     assert df.where(~F.arrays_overlap(spelling.index_keys(F.col("a")), spelling.lookup_keys(F.col("b")))).count() == 0
+
+
+def test_words_are_checked_once_and_letters_lost_once(spark, monkeypatch):
+    for edits in (1, 2, 3):
+        words = ["", "a", "aa", "abca", "letter", "naïve"]
+        want = [{"".join(c for i, c in enumerate(w) if i not in lost) for n in range(edits + 1) for lost in itertools.combinations(range(len(w)), n)} for w in words]
+        got = [r.d for r in spark.createDataFrame([(w,) for w in words], "w string").select(spelling.deletions(F.col("w"), edits).alias("d")).collect()]
+        assert [set(x) for x in got] == want and all(len(x) == len(set(x)) for x in got)
+    assert spelling.deletions(F.lit("a"))._jc.toString().count("array_distinct") == 1
+    checked = spark.sparkContext.accumulator(0)
+    seen = F.udf(lambda w: checked.add(1) or True, "boolean")
+    monkeypatch.setattr(spelling, "checkable", lambda word: seen(word))
+    docs = spark.createDataFrame([("often words, words often",)] * 50, "document string")
+    assert {(r.word, r.n) for r in spelling.words_of(docs).collect()} == {("often", 100), ("words", 100)}
+    assert checked.value == 3  # often, words and words with its comma
