@@ -11,6 +11,7 @@ Defined results: null text has no words. Words with a letter outside a-z, and nu
 
 from __future__ import annotations
 
+import re
 import unicodedata
 from collections.abc import Callable
 
@@ -36,10 +37,11 @@ def _marked() -> dict[str, str]:
 def folded(text: Column) -> Column:
     """text in lower case without the marks of Latin letters."""
     marked = _marked()
-    out = F.translate(F.lower(F.coalesce(text, F.lit(""))), "".join(marked) + "".join(map(chr, range(0x300, 0x370))), "".join(marked.values()))
+    plain = F.lower(F.coalesce(text, F.lit("")))
+    out = F.translate(plain, "".join(marked) + "".join(map(chr, range(0x300, 0x370))), "".join(marked.values()))
     for a, b in FOLDS.items():
         out = F.replace(out, F.lit(a), F.lit(b))
-    return out
+    return F.when(F.octet_length(text) == F.length(text), plain).otherwise(out)  # nothing to fold in ASCII
 
 
 def words(text: str | Column) -> Column:
@@ -133,10 +135,12 @@ def steps(word: str, replace: Callable[[str, str, str], str]) -> list[list[tuple
 def stemmed(vocabulary: DataFrame, word_col: str = "word") -> DataFrame:
     """vocabulary (distinct words, already folded) with a column stem."""
     named = [x for level in steps(word_col, lambda c, pattern, then: f"regexp_replace({c}, '{pattern}', '$1{then}')") for x in level]
+    named = [(name, re.sub(r"regexp_extract\((\w+), '\(([^']*)\)', 1\) <> ''", r"\1 rlike '\2'", sql)) for name, sql in named]  # no need of the text that is found
     out = named[-1][1]
     for name, sql in reversed(named[:-1]):  # each step is a lambda variable: as columns, the optimizer would write them into each other
         out = f"aggregate(cast(array() AS array<int>), {sql}, (a, b) -> a, {name} -> {out})"
-    return vocabulary.select("*", F.expr(out).alias("stem"))
+    word = F.col(word_col)
+    return vocabulary.select("*", F.when(word.isNull() | (F.length(word) <= 2) | ~word.rlike("^[a-z]*$"), word).otherwise(F.expr(out)).alias("stem"))
 
 
 def stem_sql(source: str, word: str = "word") -> str:

@@ -8,11 +8,12 @@ import re
 import unicodedata
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from lodestore.functions import analyze
-from lodestore.operators import filters, textindex
+from lodestore.operators import filters, ranking, textindex
 from lodestore.schema import UnsupportedFilter
 
 # Published pairs of the English stemmer.
@@ -189,3 +190,19 @@ def test_index_of_nothing(spark):
     index = textindex.build(spark.createDataFrame([], "id long, document string"))
     queries = spark.createDataFrame([(1, "wolf")], "query_id int, query string")
     assert textindex.search(index, queries, 3).collect() == [] and textindex.search(index, queries.limit(0), 3).collect() == []
+
+
+def test_a_block_gives_each_query_its_best_rows_only(spark, corpus):
+    """Scores leave a block's task as the best k of each query, not as a row for each document that has one of its words."""
+    index = textindex.build(spark.createDataFrame(corpus, "id long, document string").coalesce(1))
+    queries = spark.createDataFrame([(1, "the wolf runs"), (2, "cat")], "query_id int, query string")
+    terms = textindex.query_terms(index, queries)
+    rows = textindex._scores(index, index.table(textindex.POSTINGS), terms, 3, None, False, None)
+    assert [r["count"] for r in rows.groupBy("query_id", "block").count().collect()] == [3, 3, 3, 3]
+    assert index.table(textindex.POSTINGS).count() == index.table(textindex.POSTINGS).select("term", "block").distinct().count()
+
+
+def test_millionths_round_as_sql(spark):
+    x = [0.5e-6, 1.5e-6, 2.5e-6, 1.0000005, 7.1234565, 3.4999995, 12.3456785, 100.0000015, 0.1, 2 / 3]
+    got = spark.createDataFrame([(v,) for v in x], "x double").select(F.round("x", 6).alias("r")).collect()
+    assert [round(r.r * 1e6) for r in got] == ranking.millionths(np.array(x)).astype(int).tolist()
