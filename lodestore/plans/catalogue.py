@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from lodestore import scratch
 from lodestore.functions import memories, text, tools, validate
 from lodestore.operators import bm25, browse, collection, filters, graph, kg, metrics, quality, search, vectors
 from lodestore.plans import tables as t
@@ -161,7 +162,7 @@ def _bm25_sql(k1: str = "1.5::DOUBLE") -> str:
 
 
 def _bm25_top(s, d, k, **kw):
-    return bm25.top_k(bm25.corpus_scores(t.chunks(s, d), t.queries(s, d), **kw), k)
+    return bm25.search(t.chunks(s, d), t.queries(s, d), k, **kw)
 
 
 @query(_bm25_sql("1.5::DOUBLE") + "SELECT query_id, id, round(score, 4) AS score, CAST(rank AS INT) AS rank FROM r WHERE rank <= 5")
@@ -187,7 +188,10 @@ ca AS (SELECT c.query_id, c.id, c.distance, coalesce(cs.bm25, 0) AS bm25 FROM c
 
 def _candidates(s, d):
     hits = _bm25_top(s, d, 10).select("query_id", "id", (F.col("rank") / 20.0).alias("distance"))
-    return hits.join(t.queries(s, d), "query_id").join(t.chunks(s, d).select("id", "document"), "id")
+    # the hits go to the texts, which aren't shuffled, and are found once
+    found = scratch.written(hits.join(t.queries(s, d), "query_id"), f"{scratch.folder(s)}/found")
+    near = F.broadcast if found.count() <= bm25.BROADCAST_TERMS else lambda x: x
+    return scratch.written(t.chunks(s, d).select("id", "document").join(near(found), "id"), f"{scratch.folder(s)}/candidates")
 
 
 @query(_CAND + " SELECT query_id, id, round(bm25, 4) AS bm25 FROM ca")

@@ -219,3 +219,27 @@ def test_documents_are_shuffled_once_for_scores(spark, monkeypatch, most):
     if most:  # grouping by a document's terms and by its queries needs no exchange of its own
         text = bm25.top_k(scores, 2)._jdf.queryExecution().sparkPlan().toString()
         assert plan.toString().count("RepartitionByExpression [id") >= 1 and "SortMergeJoin" not in text
+
+
+def test_bm25_search_equals_the_ranks_of_all_scores_and_shuffles_only_best_rows(spark, monkeypatch):
+    import random
+
+    monkeypatch.setattr(bm25, "ROWS", 16)
+    rng = random.Random(5)
+    words = ["wolf", "cat", "the", "the", "zug", "straße", "x9", "run"]
+    docs = [(f"d{i:03}", " ".join(rng.choice(words) for _ in range(rng.randrange(0, 12)))) for i in range(300)]
+    docs += [(f"c{i:03}", "wolf cat") for i in range(40)] + [(None, "wolf wolf"), ("n", None)]
+    asked = [(1, "the wolf"), (2, "Zug cat wolf"), (3, "unknown"), (None, "run"), (4, "")]
+    queries = spark.createDataFrame(asked, "query_id int, query string")
+
+    def rows(found):
+        return sorted(((r.query_id or 0), r["rank"], r.id or "", round(r.score, 9)) for r in found.select("query_id", "id", "score", "rank").collect())
+
+    for extra in ([], [("d001", "wolf wolf cat"), ("d002", "zug")]):  # rows with one id are one document
+        df = spark.createDataFrame(docs + extra, "id string, document string").repartition(3)
+        found = bm25.search(df, queries, 7)
+        assert rows(found) == rows(bm25.top_k(bm25.corpus_scores(df, queries), 7))
+        if not extra:
+            plan = found._jdf.queryExecution().sparkPlan().toString()
+            assert "MapInArrow" in plan and "HashAggregate" not in plan  # no sums by query and document
+    assert bm25.search(df, queries.limit(0), 3).collect() == [] == bm25.search(df.limit(0), queries, 3).collect()
