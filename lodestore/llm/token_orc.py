@@ -7,8 +7,10 @@ running sum within a file upon the sum of the files before.
 
 White space never joins or takes part in a token of the tokenizers meant here (NORMALIZERS and the
 pre-tokenizer of one file; with others whole texts are encoded), so a text's
-ids are those of its chunks between blanks; chunks met before in the worker are taken
-from a cache whose bytes are counted, each other chunk is encoded by the library. Special tokens in a text get
+ids are those of its chunks between ASCII blanks. Of a step's texts, Arrow finds the distinct chunks
+and, of chunks of letters and then marks, the distinct stems in lower case and marks; those met before in
+the worker are taken from caches whose bytes are counted, each other one is encoded by the library, and
+Arrow puts the ids in the texts' order. Special tokens in a text get
 their own ids, as is the library's default; a chunk that holds one is encoded whole.
 
 Defined results: null text counts as empty and has the end id alone. Null ids come first;
@@ -20,36 +22,34 @@ from __future__ import annotations
 
 import json
 import os
-import re
 import unicodedata
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from lodestore.llm.common import stored, text_or_empty
 
-#: Bytes that a worker's caches of chunks, and of parts of chunks, hold; they start anew beyond.
+#: Bytes that a worker's caches of chunks, and of stems, hold; they start anew beyond.
 CACHE_BYTES, PART_BYTES = 140 << 20, 250 << 20
-#: Bytes of an entry besides two for each character of its key and its ids, at most; parts encoded in one call.
+#: Bytes of an entry besides two for each character of its key and its ids, at most; stems encoded in one call.
 ENTRY, CALL = 212, 400
-#: Characters of a chunk that the caches keep, at most.
+#: Characters of a key that the caches keep, at most.
 CACHED_CHARS = 128
+#: Bytes of the texts whose chunks are taken together; a longer text is taken by itself.
+STEP = 4 << 20
 # How a tokenizer prepares a text that may be cut between blanks.
 NORMALIZERS = ["NFC", "Replace", "Lowercase"]
 PRE_TOKENIZER = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
-#: Stands between chunks that are encoded together.
-MARK = "\x01"
-#: Bytes that Python counts as white space and the tokenizer doesn't.
-_ODD = re.compile("[\x1c-\x1f]")
-_BLANK = re.compile("[ \t\n\r]+")
+#: Ends the last token of a stretch of letters, and no other.
+LAST = "</w>"
 #: Marks that may end a chunk; letters whose lower case is more than one letter or depends on others.
 MARKS = ".,;:!?*%$&#|"
-_LOWER_BY_CONTEXT = re.compile("[İΣ]")
+_LOWER_BY_CONTEXT = "[İΣ]"
 _workers: dict = {}
 
 
@@ -57,8 +57,23 @@ def _held(entries: dict[str, bytes]) -> int:
     return ENTRY * len(entries) + 2 * sum(map(len, entries)) + sum(map(len, entries.values()))
 
 
+def _strings(texts: pa.Array) -> list[str]:
+    return texts.to_numpy(zero_copy_only=False).tolist()
+
+
+def _lists(blobs: list[bytes]) -> pa.ListArray:
+    """Lists of ids from their bytes."""
+    offsets = np.concatenate([[0], np.cumsum(np.fromiter(map(len, blobs), np.int64, len(blobs)) // 4)]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.Array.from_buffers(pa.int32(), int(offsets[-1]), [None, pa.py_buffer(b"".join(blobs))]))
+
+
+def _joined(lists: pa.ListArray, at: np.ndarray) -> pa.ListArray:
+    """Of neighbouring lists one each: from list at[i] up to at[i + 1]."""
+    return pa.ListArray.from_arrays(pa.array(np.asarray(lists.offsets)[at]), lists.values)
+
+
 class _Encoder:
-    """One tokenizer with its cache; lives as long as its Python worker."""
+    """One tokenizer with its caches; lives as long as its Python worker."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -72,68 +87,106 @@ class _Encoder:
         normalizers = [x["type"] for x in (known["normalizer"] or {}).get("normalizers", [])]
         split = (known["pre_tokenizer"] or {}).get("pretokenizers", [{}])[0].get("pattern", {}).get("Regex")
         self.by_chunk = (normalizers, split) == (NORMALIZERS, PRE_TOKENIZER)
-        if self.by_chunk:
-            (self.mark,) = self._encode(MARK)
+        self.stems = self._for_stems(known) if self.by_chunk else None
 
-    def learn(self, new: set[str]) -> dict[str, bytes]:
-        """The ids of chunks that the cache hasn't, which has them afterwards."""
+    def _for_stems(self, known: dict):
+        """The tokenizer without what leaves letters in lower case as they are, or None where ends of stems don't show in its tokens."""
+        from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel
+
+        model, bytes_only = known["model"], known["pre_tokenizer"]["pretokenizers"][1:]
+        if [x["type"] for x in bytes_only] != ["ByteLevel"] or bytes_only[0]["add_prefix_space"] or bytes_only[0]["use_regex"]:
+            return None
+        if model["type"] != "BPE" or model["end_of_word_suffix"] != LAST or not all(c in model["vocab"] and c + LAST in model["vocab"] for c in ByteLevel.alphabet()):
+            return None
+        vocab = model["vocab"]
+        self.last = np.zeros(max(vocab.values()) + 1, bool)
+        self.last[[i for t, i in vocab.items() if t.endswith(LAST)]] = True
+        at_spaces = {"type": "Split", "pattern": {"String": " "}, "behavior": "Removed", "invert": False}
+        short = {"normalizer": None, "added_tokens": [], "pre_tokenizer": {"type": "Sequence", "pretokenizers": [at_spaces, *bytes_only]}}
+        return Tokenizer.from_str(json.dumps(known | short))
+
+    def _whole(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text. One to a call: as fast as many, and only one is in the library's memory."""
+        return [np.array(self.tokenizer.encode_batch_fast([t], add_special_tokens=False)[0].ids, "<u4").tobytes() for t in texts]
+
+    def _of_stems(self, stems: list[str]) -> list[bytes]:
+        """The ids of each stem, from many stems in one text."""
+        if self.stems is None:
+            return self._whole(stems)
+        out = []
+        for at in range(0, len(stems), CALL):
+            some = stems[at : at + CALL]
+            (found,) = self.stems.encode_batch_fast([" ".join(some)], add_special_tokens=False)
+            ids = np.array(found.ids, "<u4")
+            ends, raw = 4 * (np.flatnonzero(self.last[ids]) + 1), ids.tobytes()
+            out += [raw[i:j] for _, i, j in zip(some, [0, *ends[:-1].tolist()], ends.tolist(), strict=True)]
+        return out
+
+    @staticmethod
+    def _learn(keys: list[str], held: dict[str, bytes], encode) -> tuple[list[bytes], int]:
+        """The ids of keys, those that held hasn't by encode; held keeps the short ones, whose bytes are returned."""
+        found = list(map(held.get, keys))
+        new = [k for k, x in zip(keys, found, strict=True) if x is None]
+        learned = dict(zip(new, encode(new), strict=True))
+        short = {k: x for k, x in learned.items() if len(k) <= CACHED_CHARS}
+        held.update(short)
+        return [learned[k] if x is None else x for k, x in zip(keys, found, strict=True)], _held(short)
+
+    def _of_chunks(self, chunks: pa.Array) -> pa.ListArray:
+        """The ids of each distinct chunk.
+
+        A chunk of letters and then marks is cut in two, and the letters lowered: the tokenizer cuts there and lowers itself.
+        Only where lowering is by the letter and the chunk is composed already.
+        """
         if self.cache_bytes > CACHE_BYTES:
             self.cache.clear()
             self.cache_bytes = 0
-        cut = {c: self._cut(c) for c in new}
-        needed = set(chain.from_iterable(cut.values()))
         if self.part_bytes > PART_BYTES:
             self.parts.clear()
             self.part_bytes = 0
-        parts = [c for c in needed if c not in self.parts]
-        plain = [c for c in parts if MARK not in c]
-        for at in range(0, len(plain), CALL):
-            some = plain[at : at + CALL]
-            # many parts in one call, with a mark between them that is a token by itself
-            ids = np.array(self._encode(f" {MARK} ".join(some)), "<u4")
-            ends = np.flatnonzero(ids == self.mark)
-            starts = np.concatenate([[0], ends + 1])
-            for c, i, j in zip(some, starts.tolist(), [*ends.tolist(), len(ids)], strict=True):
-                self.parts[c] = ids[i:j].tobytes()
-        for c in parts:
-            if MARK in c:
-                self.parts[c] = np.array(self._encode(c), "<u4").tobytes()
-        learned = {c: b"".join(map(self.parts.__getitem__, ps)) for c, ps in cut.items()}
-        short = {c: x for c, x in learned.items() if len(c) <= CACHED_CHARS}
-        self.cache.update(short)
-        self.cache_bytes += _held(short)
-        for c in parts:
-            if len(c) > CACHED_CHARS:
-                del self.parts[c]
-        self.part_bytes += _held({c: self.parts[c] for c in parts if len(c) <= CACHED_CHARS})
-        return learned
-
-    @staticmethod
-    def _cut(chunk: str) -> tuple[str, ...]:
-        """A chunk of letters and then marks in two, in lower case: the tokenizer cuts there and lowers itself.
+        stem = pc.utf8_rtrim(chunks, characters=MARKS)
+        cut = pc.and_not(pc.utf8_is_alpha(stem), pc.match_substring_regex(stem, _LOWER_BY_CONTEXT))
+        mask, wide = np.array(cut, bool), ~np.asarray(pc.string_is_ascii(stem), bool)
+        mask[wide] &= np.array([unicodedata.is_normalized("NFC", s) for s in _strings(stem.filter(pa.array(wide)))], bool)
+        cut = pa.array(mask)
+        stems = pc.utf8_lower(stem.filter(cut)).dictionary_encode()
+        marks = pc.replace_substring_regex(chunks.filter(cut), f"^[^{MARKS}]+", "")
+        rest = pa.concat_arrays([chunks.filter(pc.invert(cut)), marks]).dictionary_encode()
+        of_stems, more = self._learn(_strings(stems.dictionary), self.parts, self._of_stems)
+        self.part_bytes += more
+        of_rest, more = self._learn(_strings(rest.dictionary), self.cache, self._whole)
+        self.cache_bytes += more
+        # two lists of ids to a chunk: its stem's and its marks', or its own and an empty one
+        two = np.full((len(chunks), 2), len(of_stems) + len(of_rest), np.int32)
+        places, whole = np.asarray(rest.indices) + len(of_stems), len(chunks) - len(marks)
+        two[mask, 0], two[mask, 1], two[~mask, 0] = np.asarray(stems.indices), places[whole:], places[:whole]
+        pairs = _lists([*of_stems, *of_rest, b""]).take(pa.array(two.ravel()))
+        return _joined(pairs, np.arange(0, 2 * len(chunks) + 1, 2))
+
+    def encode(self, texts: pa.Array, end: bytes) -> pa.ListArray:
+        """The ids of each text and then the end's."""
+        if not self.by_chunk:
+            return _lists([x + end for x in self._whole(texts.to_pylist())])
+        split = pc.ascii_split_whitespace(texts)
+        chunks, offsets = split.values.dictionary_encode(), np.asarray(split.offsets)
+        known = pa.concat_arrays([self._of_chunks(chunks.dictionary), _lists([end])])
+        places = np.insert(np.asarray(chunks.indices), offsets[1:], len(known) - 1)
+        return _joined(known.take(pa.array(places)), offsets + np.arange(len(offsets)))
 
-        Only where lowering is by the letter and the chunk is composed already.
-        """
-        stem = chunk.rstrip(MARKS)
-        if not stem.isalpha() or not (chunk.isascii() or (unicodedata.is_normalized("NFC", chunk) and not _LOWER_BY_CONTEXT.search(chunk))):
-            return (chunk,)
-        low = stem.lower()
-        return (low, chunk[len(stem) :]) if len(stem) < len(chunk) else (low,)
+    def ids(self, texts: list[str]) -> list[bytes]:
+        lists = self.encode(pa.array(texts, pa.string()), b"")
+        values, offsets = np.asarray(lists.values).astype("<u4"), np.asarray(lists.offsets)
+        return [values[i:j].tobytes() for i, j in zip(offsets[:-1], offsets[1:], strict=True)]
 
-    def _encode(self, text: str) -> list[int]:
-        return self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
 
-    def ids(self, texts: list[str]) -> list[bytes]:
-        if not self.by_chunk:
-            return [np.array(self._encode(t), "<u4").tobytes() for t in texts]
-        out = []
-        for at in range(0, len(texts), 64):
-            chunks = [_BLANK.split(t) if _ODD.search(t) else t.split() for t in texts[at : at + 64]]
-            found = [list(map(self.cache.get, cs)) for cs in chunks]
-            learned = self.learn({c for cs, fs in zip(chunks, found, strict=True) if None in fs for c, f in zip(cs, fs, strict=True) if f is None})
-            for cs, fs in zip(chunks, found, strict=True):
-                out.append(b"".join(fs if None not in fs else [learned[c] if f is None else f for c, f in zip(cs, fs, strict=True)]))
-        return out
+def _steps(texts: pa.Array) -> Iterator[tuple[int, int]]:
+    """Where steps of at most STEP bytes, or one text, begin and end."""
+    ends, at = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False), dtype=np.int64), 0
+    while at < len(ends):
+        to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + STEP, "right")))
+        yield at, to
+        at = to
 
 
 def _encoder(path: str) -> _Encoder:
@@ -149,12 +202,10 @@ def encode(docs: DataFrame, tokenizer_path: str, end_id: int, text_col: str = "t
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = _encoder(tokenizer_path)
         for b in batches:
-            for at in range(0, b.num_rows, 512):
-                part = b.slice(at, 512)
-                blobs = [x + end for x in enc.ids([t or "" for t in part.column(1).to_pylist()])]
-                offsets = np.concatenate([[0], np.cumsum([len(x) // 4 for x in blobs])]).astype(np.int32)
-                values = pa.Array.from_buffers(pa.int32(), int(offsets[-1]), [None, pa.py_buffer(b"".join(blobs))])
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.ListArray.from_arrays(pa.array(offsets), values)], names=["doc_id", "ids"])
+            texts = pc.fill_null(b.column(1), "")
+            for i, j in _steps(texts):
+                ids = enc.encode(texts.slice(i, j - i), end)
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(i, j - i), ids], names=["doc_id", "ids"])
 
     kind = docs.schema["id"].dataType.simpleString()
     return docs.select("id", text_col).mapInArrow(run, f"doc_id {kind}, ids array<int>")

@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 import hashlib
+import unicodedata
+from itertools import product
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -133,6 +136,51 @@ def test_caches_of_tokens_count_their_bytes(monkeypatch):
     assert encoder.ids(texts[:5]) == [np.array(tokenizer.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts[:5]]
 
 
+def test_stems_take_the_short_way_through_the_library():
+    """Of letters and marks, only the marks go through the tokenizer's normalizer and patterns (op3 over its CPU budget before)."""
+    encoder, seen = token_orc._Encoder(public_tokenizers.path("word_bpe_49k.json")), []
+
+    class Watched:
+        def __init__(self, tokenizer):
+            self.tokenizer = tokenizer
+
+        def encode_batch_fast(self, texts, **how):
+            seen.extend(texts)
+            return self.tokenizer.encode_batch_fast(texts, **how)
+
+    words = ["".join(x) for x in product("thé", "ingß", "aeiou", "nñdж")]
+    texts = [f"{a} {a.title()}, {b}. {b.upper()}&&&" for a, b in zip(words, words[1:], strict=False)]
+    want = [np.array(encoder.tokenizer.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+    encoder.tokenizer = Watched(encoder.tokenizer)
+    assert encoder.ids(texts) == want
+    assert set(seen) <= {"", ",", ".", "&&&"} and len(seen) <= 4
+    assert set(words) <= set(encoder.parts)
+
+
+def test_tokens_of_awkward_texts_equal_the_librarys(monkeypatch):
+    encoder = token_orc._Encoder(public_tokenizers.path("word_bpe_49k.json"))
+
+    def same(texts):
+        want = [np.array(x.ids, "<u4").tobytes() for x in encoder.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        assert [t for t, g, w in zip(texts, encoder.ids(texts), want, strict=True) if g != w] == []
+
+    ideographs = [range(0x3400, 0xA000), range(0xAC00, 0xE000), range(0x17000, 0x18D00), range(0x20000, 0x110000)]
+    letters = [chr(i) for i in range(0x110000) if not any(i in r for r in ideographs) and unicodedata.category(chr(i))[0] == "L"]
+    same([f"{c} a{c}b. {c}{c}!" for c in letters])
+    bits = [*"aBéÉİΣσςßẞǅ\u212a\u2126日アがク가각क़א1²½'’-_.,!&|#$<\x00\x01\x1c\x1f\x85\xa0\u3000\u200b\ufeff \t\n\x0b\x0c", "\u0301", "\u3099", "\ufb1d", "'s", "  ", "\r\n", "the", "tion", "</w>", "<|endoftext|>", "<|startoftext|>"]
+    rng = np.random.default_rng(3)
+    same(["".join(bits[k] for k in rng.integers(0, len(bits), n)) for n in rng.integers(0, 25, 4000)])
+    same(["", " ", "x" * 5000, ("ab" * 200 + "! ") * 40])
+    assert encoder.ids([]) == []
+    short, encoder.stems, encoder.parts = encoder.stems, None, {}  # as for tokenizers whose tokens don't show where a stem ends
+    assert short is not None
+    same(["Plain words, and more words."])
+    monkeypatch.setattr(token_orc, "STEP", 10)
+    texts = pa.array(["abc", "", "x" * 25, "defg", "hij", "klm", "é" * 5]).slice(1)
+    assert list(token_orc._steps(texts)) == [(0, 1), (1, 2), (2, 5), (5, 6)]
+    assert list(token_orc._steps(pa.array([], pa.large_string()))) == []
+
+
 def test_marginals_and_gradient_equal_enumeration():
     from itertools import product
 
