@@ -94,3 +94,16 @@ def test_words_are_checked_once_and_letters_lost_once(spark, monkeypatch):
     docs = spark.createDataFrame([("often words, words often",)] * 50, "document string")
     assert {(r.word, r.n) for r in spelling.words_of(docs).collect()} == {("often", 100), ("words", 100)}
     assert checked.value == 3  # often, words and words with its comma
+
+
+def test_words_meet_in_groups_and_no_deletions_are_rows(spark, monkeypatch):
+    monkeypatch.setattr(spelling, "ASKED", 40, raising=False)
+    monkeypatch.setattr(spelling, "KNOWN", 30, raising=False)
+    rng, letters = random.Random(8), "abcé😀"
+    dictionary = {"".join(rng.choice(letters) for _ in range(rng.choice([2, 4, 6, 9, 16, 17]))): rng.randrange(3) for _ in range(100)}
+    words = {changed(rng, rng.choice(list(dictionary)), letters) for _ in range(200)}
+    df = spelling.fixes(spark.createDataFrame([(w,) for w in words], "word string"), spark.createDataFrame([*dictionary.items()], "word string, n long"))
+    got = {r.word: (r.distance, r.fix) for r in df.collect()}
+    assert got == {w: (b[0], b[2]) for w in words if len(w) >= 4 and w not in dictionary and (b := best(w, dictionary))} and len(got) > 50
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "array_distinct" not in plan and "CoGroup" in plan  # no rows for all deletions of dictionary words, which a join may send through the driver
