@@ -4,8 +4,8 @@ A registry is a table of entries: name (canonical), type (person or project), so
 seen_count. Words that are names and common words as well are ambiguous: patterns around the word vote for a person or for a concept, and
 a tie leaves the person.
 
-Mentions are found in one pass over the texts by an automaton of all aliases, which goes to all tasks: ``MAX_ALIASES``
-bounds it, and more raise ValueError. A mention is a row with its place; its context is the line, whose votes are counted
+Mentions are found in one pass over the texts: aliases that are one word by looking each word up, others by an automaton. The aliases go to all tasks: ``MAX_ALIASES``
+bounds them, and more raise ValueError. A mention is a row with its place; its context is the line, whose votes are counted
 once for each ambiguous word in it. What is learned from texts is merged as an aggregate by name, so batches may come in any order.
 
 Defined results: null texts have no mentions and null words are unknown. Matching ignores case. Of entries that
@@ -142,6 +142,11 @@ _PATTERNS = [p.split("{name}") for p in (*PERSON_CONTEXTS, *CONCEPT_CONTEXTS)]
 _BEFORE, _AFTER = [re.compile(f"(?:{before})x\\Z") for before, _ in _PATTERNS], [re.compile(f"x(?:{after})") for _, after in _PATTERNS]
 #: What follows a name, as far as a pattern may look: white space and a word, an end of a possessive and the word it is in, or one character.
 _FOLLOWS = re.compile(r"\s+\w*|s?'\w*|.?", re.DOTALL)
+_WORD = re.compile(r"\w+")
+# The words that a pattern may have right before and right after a name, and those after a name that may end another word.
+_CUES_BEFORE = set("with saw called took up off drop dropped hey thank thanks son daughter kid child brother sister friend partner colleague coworker you not would could will".split())
+_CUES_AFTER_END = {"of", "in", "at", "for", "to"}
+_CUES_AFTER = set("said told asked laughed smiled was is called texted since again more".split()) | _CUES_AFTER_END
 _PERSON = (1 << len(PERSON_CONTEXTS)) - 1
 
 
@@ -193,6 +198,38 @@ def _line_votes(low: str, places: dict[str, list[int]]) -> dict[str, tuple[int,
     return out
 
 
+def _word_places(low: str, plain: set[str], ambiguous: set[str]) -> tuple[list[tuple[int, str]], dict[str, list[int]]]:
+    """Words of a line that are in plain, and of the ambiguous among them the places where a pattern may hold, be they in other words."""
+    met: list[tuple[int, str]] = []
+    places: dict[str, list[int]] = {}
+    ends: list[tuple[int, str]] = []
+    asked, before, at, word, doubt = set(), "", 0, "", False
+    for x in (*_WORD.finditer(low), None):
+        after, begin = (x.group(), x.start()) if x else ("", len(low))
+        if doubt:
+            end = at + len(word)
+            if after in _CUES_AFTER or before in _CUES_BEFORE or not at or low.startswith("'", end):
+                places.setdefault(word, []).append(at)
+        if after in _CUES_AFTER_END and word:
+            ends.append((at, word))
+        if word.endswith("s") and low.startswith("'", at + len(word)):
+            ends.append((at, word))
+        before, at, word, doubt = word, begin, after, False
+        if word in plain:
+            met.append((at, word))
+            if word in ambiguous:
+                asked.add(word)
+                doubt = True
+    if asked:
+        for at, word in ends:
+            if (most := word[:-1]) in asked:
+                places.setdefault(most, []).append(at)
+            for i in range(1, len(word)):
+                if word[i:] in asked:
+                    places.setdefault(word[i:], []).append(at + i)
+    return met, places
+
+
 def mentions(docs: DataFrame, entries: DataFrame, id_col: str = "id", text_col: str = "document", common: Sequence[str] = COMMON_WORDS) -> DataFrame:
     """One row per mention of an alias as whole words: id_col, line (from 0), at (place in the line), word, canonical, and what ``lookup`` says."""
     spark = docs.sparkSession
@@ -201,20 +238,20 @@ def mentions(docs: DataFrame, entries: DataFrame, id_col: str = "id", text_col:
     if len(known) > MAX_ALIASES:
         raise ValueError(f"more than {MAX_ALIASES} aliases")
     ambiguous, automaton = set(known.alias[known.ambiguous]), ahocorasick.Automaton()
-    for x in known.alias:
+    plain = {x for x in known.alias if _WORD.fullmatch(x)}
+    for x in set(known.alias) - plain:
         automaton.add_word(x, len(x))
-    if len(known):
+    if len(automaton):
         automaton.make_automaton()
-    some = len(known) > 0
+    some, odd = len(known) > 0, len(automaton) > 0
 
     def in_line(line: str) -> Iterator[tuple[int, str, int, int]]:
         """Place, word and votes of each mention; a word's votes are counted once for the line, from what stands around it."""
         low = line.lower()
         if len(low) != len(line):  # letters whose lower case is longer
             low = "".join(x if len(x := c.lower()) == 1 else c for c in line)
-        met: list[tuple[int, str]] = []
-        places: dict[str, list[int]] = {}
-        for end, size in automaton.iter(low):
+        met, places = _word_places(low, plain, ambiguous)
+        for end, size in automaton.iter(low) if odd else ():
             at = end - size + 1
             word = low[at : end + 1]
             if word in ambiguous:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from lodestore import scratch
 from lodestore.functions import analyze, registry, spelling, zettel
 from lodestore.operators import textindex
 from lodestore.plans import tables as t
@@ -121,7 +122,7 @@ NAMED = 300
 def _entries(s, d):
     """People: capitalised words of the documents. Those that stand in lower case as often are ambiguous."""
     words = t.chunks(s, d).select(F.explode(F.regexp_extract_all("document", F.lit(r"(?U)\b[A-Za-z]{3,}\b"), F.lit(0))).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
-    often = words.where(F.col("n") >= NAMED)
+    often = scratch.written(words.where(F.col("n") >= NAMED), f"{scratch.folder(s)}/often")  # or the texts would be read for each kind of word
     none = F.array().cast("array<string>")
     names = often.where(F.regexp_like("word", F.lit("^[A-Z][a-z]+$")))
     rows = names.select(F.col("word").alias("name"), F.lit("person").alias("type"), F.lit("learned").alias("source"), F.lit(0.9).alias("confidence"), none.alias("aliases"), F.array(F.lit("personal")).alias("contexts"), F.col("n").alias("seen_count"))

@@ -100,3 +100,16 @@ def test_votes_come_from_what_stands_around_a_name():
         for name in ("will", "off", "mark", "s", "with", "'s"):
             if places := [m.start() for m in re.finditer(f"(?={re.escape(name)})", line)]:
                 assert list(registry._line_votes(line, {name: places})[name]) == plain_votes(name, line), (line, name)
+
+
+def test_votes_are_counted_only_where_a_pattern_may_hold():
+    """Names that are words are looked up, not searched inside other words; votes stay those of the patterns over the whole line."""
+    words = "will will's wills' goodwill mark's marks' said told is was with saw called took picked up drop dropped off hey thanks thank my son have you if not would the of in to at for since : , ' - _ é 5 mark again more".split()
+    rnd, names = random.Random(2), {"will", "off", "mark", "s", "with", "é"}
+    for _ in range(3000):
+        line = "".join(rnd.choice(words) + rnd.choice([" ", " ", "", "  ", "\t", " ' ", "'x", "s'y"]) for _ in range(rnd.randint(1, 8)))
+        met, places = registry._word_places(line, names, names)
+        assert sorted(met) == sorted((m.start(), m.group()) for m in re.finditer(r"\w+", line) if m.group() in names)
+        counted = registry._line_votes(line, places)
+        assert all(list(counted.get(w, (0, 0))) == plain_votes(w, line) for _, w in met), line
+    assert registry._word_places("a goodwill, willing to will; willow", {"will"}, {"will"}) == ([(23, "will")], {})
